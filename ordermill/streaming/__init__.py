@@ -1,0 +1 @@
+"""Empty on purpose: every table of this library is a static batch, so nothing here streams."""
