@@ -1,24 +1,50 @@
 """Exact money arithmetic.
 
-Prices have two decimals and discounts are whole percents or hundredths of one, so many sums
-end exactly in half a cent and binary floats would decide the rounding by noise. Line revenue
-is therefore a decimal of scale 6, sums stay decimal, and only the rounded result is a double.
+Prices have two decimals and so have discount percentages, so the revenue of a line is a whole
+number of millionths, and many sums end exactly in half a cent. Binary floats would decide their
+rounding by noise; wide decimals are exact but cost an object per row. A line is therefore a
+bigint of millionths. To be summed it is split into whole units and the rest, so that no total
+below nine quintillion units overflows; a line of more than nine trillion raises under ANSI mode.
+Totals are decimals, and only the rounded result is a double.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Two-decimal numbers up to 10^13 keep their hundredths exactly through a double.
+MILLIONTHS = (
+    "quantity * CAST(rint(CAST(unit_price AS DOUBLE) * 100) AS BIGINT)"
+    " * (10000 - CAST(rint(CAST(discount_percent AS DOUBLE) * 100) AS BIGINT))"
+)
 
-def line_revenue() -> Column:
-    """``quantity * unit_price * (1 - discount_percent / 100)`` as an exact decimal."""
-    return F.expr(
-        "CAST(quantity AS DECIMAL(10,0)) * CAST(unit_price AS DECIMAL(14,2))"
-        " * (1 - CAST(discount_percent AS DECIMAL(5,2)) * 0.01)"
+
+def with_amounts(items: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep``, and ``quantity * unit_price * (1 - discount_percent / 100)`` as
+    ``units`` and ``millionths``; both are NULL if a factor is, and sums skip them."""
+    return items.select(
+        *keep,
+        F.expr(f"({MILLIONTHS}) div 1000000").alias("units"),
+        F.expr(f"({MILLIONTHS}) % 1000000").alias("millionths"),
     )
 
 
+def _joined(units: Column, millionths: Column) -> Column:
+    rest = millionths.cast("decimal(20,0)") * F.expr("0.000001")
+    return (units.cast("decimal(38,6)") + rest).cast("decimal(38,6)")
+
+
+def line_revenue() -> Column:
+    """Revenue of one item as an exact decimal."""
+    return _joined(F.expr("0L"), F.expr(MILLIONTHS))
+
+
+def total_revenue() -> Column:
+    """Aggregate of ``units`` and ``millionths``: their exact total."""
+    return _joined(F.sum("units"), F.sum("millionths"))
+
+
 def money(amount: Column) -> Column:
     """Round an exact amount to cents, half away from zero."""
     return F.round(amount, 2).cast("double")

@@ -7,22 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.money import line_revenue
+from ordermill.functions.money import total_revenue, with_amounts
 
 Tables = Mapping[str, DataFrame]
 
+AMOUNTS = ["units", "millionths"]
+
 # An id and one or two short texts per row: some tens of megabytes on each executor.
 BROADCAST_ROWS = 500_000
 
 
 def order_revenue(items: DataFrame) -> DataFrame:
-    """Revenue per order.
+    """Revenue per order, in units and millionths.
 
     Summed before any join: the partial sums leave one row per order and map task, so an order
     that owns a large share of all items is no hot key, and the join to ``orders`` on the same
     key needs no further shuffle of this side.
     """
-    return items.groupBy("order_id").agg(F.sum(line_revenue()).alias("revenue"))
+    amounts = with_amounts(items, "order_id")
+    return amounts.groupBy("order_id").agg(*[F.sum(a).alias(a) for a in AMOUNTS])
 
 
 def valued_orders(tables: Tables, orders: DataFrame | None = None) -> DataFrame:
@@ -37,24 +40,23 @@ def customer_revenue(tables: Tables) -> DataFrame:
     return (
         valued_orders(tables, known.select("order_id", "customer_id"))
         .groupBy("customer_id")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(total_revenue().alias("revenue"))
     )
 
 
-def sum_by_product(
+def with_products(
     facts: DataFrame, products: DataFrame, keys: list[str], measures: list[str]
 ) -> DataFrame:
-    """Sum ``measures`` of ``facts`` by product attributes ``keys``.
+    """``facts`` with the product attributes ``keys``, ready for sums of ``measures`` by them.
 
     A product table of few rows, which are counted, is broadcast to the facts: then nothing but
     the small result is shuffled. A larger one would make the join shuffle every fact row by
     product, a hot product included, so the facts are first summed per product.
     """
-    sums = [F.sum(m).alias(m) for m in measures]
     products = products.select("product_id", *[k for k in keys if k != "product_id"])
     facts = facts.select("product_id", *measures)
     if products.count() <= BROADCAST_ROWS:
         products = F.broadcast(products)
     else:
-        facts = facts.groupBy("product_id").agg(*sums)
-    return facts.join(products, "product_id").groupBy(*keys).agg(*sums)
+        facts = facts.groupBy("product_id").agg(*[F.sum(m).alias(m) for m in measures])
+    return facts.join(products, "product_id").select(*keys, *measures)

@@ -58,7 +58,7 @@ def dirty_order_items(items: DataFrame, extra: bool = False) -> DataFrame:
     def slot(slots: int) -> Column:
         return _slot(items, "product_id", slots)
 
-    quantity, discount = F.col("quantity"), F.col("discount_percent")
+    quantity, discount = F.col("quantity"), F.col("discount_percent").cast("double")
     amount = F.when(slot(33) == 1, -quantity).otherwise(quantity)
     changed = {"quantity": amount}
     if extra:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import elapsed_days, month_text
-from ordermill.functions.money import money, percent_of
+from ordermill.functions.money import money, percent_of, total_revenue
 from ordermill.operators.joins import Tables, customer_revenue, valued_orders
 from ordermill.operators.ranges import (
     global_ntile,
@@ -74,7 +74,7 @@ def monthly_value_bands(tables: Tables, low: float = 5000, high: float = 10000)
     monthly = (
         valued_orders(tables, known.select("order_id", "customer_id", "order_date"))
         .groupBy("customer_id", month_text(F.col("order_date")).alias("order_month"))
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(total_revenue().alias("revenue"))
     )
     band = (
         F.when(F.col("revenue") > high, "High")

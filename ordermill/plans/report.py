@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, midnight
-from ordermill.functions.money import line_revenue, money, percent_change
-from ordermill.operators.joins import Tables, valued_orders
+from ordermill.functions.money import money, percent_change, total_revenue, with_amounts
+from ordermill.operators.joins import AMOUNTS, Tables, valued_orders
 
 Day = str | dt.date
 GRAINS = ("day", "week", "month")
@@ -46,12 +46,15 @@ def _metrics(tables: Tables, orders: DataFrame, bucket: str) -> DataFrame:
     per_customer = (
         valued_orders(tables, orders.select("order_id", "customer_id", bucket))
         .groupBy(bucket, "customer_id")
-        .agg(F.count_distinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
+        .agg(
+            F.count_distinct("order_id").alias("orders"),
+            *[F.sum(amount).alias(amount) for amount in AMOUNTS],
+        )
     )
     return per_customer.groupBy(bucket).agg(
         F.sum("orders").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
-        money(F.sum("revenue")).alias("total_revenue"),
+        money(total_revenue()).alias("total_revenue"),
     )
 
 
@@ -93,11 +96,10 @@ def top_products(tables: Tables, start: Day, end: Day, k: int = 3) -> DataFrame:
     """
     orders = tables["orders"].filter(_within(*period(start, end))).select("order_id")
     per_product = (
-        tables["order_items"]
-        .select("order_id", "product_id", line_revenue().alias("revenue"))
+        with_amounts(tables["order_items"], "order_id", "product_id")
         .join(orders, "order_id")
         .groupBy("product_id")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(total_revenue().alias("revenue"))
     )
     return (
         per_product.join(tables["products"].select("product_id", "product_name"), "product_id")

@@ -8,18 +8,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, midnight, month_text
-from ordermill.functions.money import line_revenue, money, percent_of
-from ordermill.operators.joins import Tables, customer_revenue, sum_by_product, valued_orders
+from ordermill.functions.money import money, percent_of, total_revenue, with_amounts
+from ordermill.operators.joins import (
+    AMOUNTS,
+    Tables,
+    customer_revenue,
+    valued_orders,
+    with_products,
+)
 from ordermill.operators.ranges import dense_rank_in_groups
 from ordermill.operators.storage import store
 
 
 def category_revenue(tables: Tables) -> DataFrame:
     """Revenue per category, largest first. Orders are not consulted, so orphan items count."""
-    items = tables["order_items"].withColumn("total_revenue", line_revenue())
+    lines = with_amounts(tables["order_items"], "product_id")
     return (
-        sum_by_product(items, tables["products"], ["category"], ["total_revenue"])
-        .select("category", money(F.col("total_revenue")).alias("total_revenue"))
+        with_products(lines, tables["products"], ["category"], AMOUNTS)
+        .groupBy("category")
+        .agg(money(total_revenue()).alias("total_revenue"))
         .orderBy(F.desc("total_revenue"), "category")
     )
 
@@ -73,13 +80,13 @@ def more_returned(tables: Tables) -> DataFrame:
     """Products with more units returned than in all other orders together."""
     keys, measures = ["product_id", "product_name"], ["returned_qty", "purchased_qty"]
     return (
-        sum_by_product(_lines_by_outcome(tables), tables["products"], keys, measures)
-        .filter(F.col("returned_qty") > F.col("purchased_qty"))
-        .select(
-            *keys,
-            F.col("returned_qty").alias("total_returned_qty"),
-            F.col("purchased_qty").alias("total_purchased_qty"),
+        with_products(_lines_by_outcome(tables), tables["products"], keys, measures)
+        .groupBy(*keys)
+        .agg(
+            F.sum("returned_qty").alias("total_returned_qty"),
+            F.sum("purchased_qty").alias("total_purchased_qty"),
         )
+        .filter(F.col("total_returned_qty") > F.col("total_purchased_qty"))
     )
 
 
@@ -87,14 +94,14 @@ def return_rate(tables: Tables) -> DataFrame:
     """Returned units as a percentage of all units per category; NULL without units."""
     measures = ["returned_qty", "total_items"]
     return (
-        sum_by_product(_lines_by_outcome(tables), tables["products"], ["category"], measures)
-        .select(
-            "category",
-            F.col("returned_qty").alias("returned_items"),
-            "total_items",
-            percent_of(F.col("returned_qty"), F.col("total_items")).alias(
-                "return_rate_percentage"
-            ),
+        with_products(_lines_by_outcome(tables), tables["products"], ["category"], measures)
+        .groupBy("category")
+        .agg(
+            F.sum("returned_qty").alias("returned_items"),
+            F.sum("total_items").alias("total_items"),
+        )
+        .withColumn(
+            "return_rate_percentage", percent_of(F.col("returned_items"), F.col("total_items"))
         )
         .orderBy(F.desc("return_rate_percentage"), "category")
     )
@@ -108,7 +115,7 @@ def region_running_revenue(tables: Tables) -> DataFrame:
     daily = (
         valued_orders(tables, tables["orders"].select("order_id", "region_code", "order_date"))
         .groupBy("region_code", F.to_date("order_date").alias("order_date"))
-        .agg(F.sum("revenue").alias("daily"))
+        .agg(total_revenue().alias("daily"))
     )
     so_far = Window.partitionBy("region_code").orderBy("order_date")
     return daily.select(
@@ -121,11 +128,15 @@ def region_running_revenue(tables: Tables) -> DataFrame:
 
 def product_rank(tables: Tables, **sizes) -> DataFrame:
     """Dense rank of product names by revenue within their category."""
-    items = tables["order_items"].withColumn("revenue", line_revenue())
     keys = ["category", "product_name"]
-    per_name = store(sum_by_product(items, tables["products"], keys, ["revenue"]), "product-rank")
+    lines = with_amounts(tables["order_items"], "product_id")
+    per_name = (
+        with_products(lines, tables["products"], keys, AMOUNTS)
+        .groupBy(*keys)
+        .agg(total_revenue().alias("revenue"))
+    )
     ranked = dense_rank_in_groups(
-        per_name, "category", "revenue", "product_name", "rank_in_category", **sizes
+        store(per_name, "product-rank"), "category", "revenue", "product_name", "rank_in_category", **sizes
     )
     return ranked.select(
         "category",
@@ -143,7 +154,7 @@ def year_over_year(tables: Tables) -> DataFrame:
             F.date_format("order_date", "yyyy").alias("year"),
             F.date_format("order_date", "MM").alias("month"),
         )
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(total_revenue().alias("revenue"))
     )
     years = Window.partitionBy("month").orderBy("year")
     before = monthly.withColumn("before", F.lag("revenue").over(years))

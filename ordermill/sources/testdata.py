@@ -84,7 +84,7 @@ def order_items(spark: SparkSession, directory: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(14,2)").alias("unit_price"),
-        F.round(F.col("l_discount") * 100, 2).alias("discount_percent"),
+        (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_percent"),
     )
 
 
