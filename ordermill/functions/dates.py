@@ -30,7 +30,7 @@ def month_text(ts: Column) -> Column:
 
 def elapsed_days(start: Column, end: Column) -> Column:
     """Whole 24-hour days between two timestamps (not the number of midnights)."""
-    return F.timestamp_diff("DAY", start, end)
+    return F.extract(F.lit("DAY"), end - start).cast("bigint")
 
 
 def thirty_day_month(start: Column, day: Column) -> Column:

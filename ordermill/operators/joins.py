@@ -28,10 +28,25 @@ def order_revenue(items: DataFrame) -> DataFrame:
     return amounts.groupBy("order_id").agg(*[F.sum(a).alias(a) for a in AMOUNTS])
 
 
-def valued_orders(tables: Tables, orders: DataFrame | None = None) -> DataFrame:
-    """Orders that have items, each with its revenue. ``orders`` may be a filtered version."""
-    orders = tables["orders"] if orders is None else orders
-    return orders.join(order_revenue(tables["order_items"]), "order_id")
+def broadcast_if_few(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df``, marked for broadcast if its rows are counted to be few, and whether they are."""
+    few = df.count() <= BROADCAST_ROWS
+    return (F.broadcast(df) if few else df), few
+
+
+def valued_orders(tables: Tables, orders: DataFrame, selective: bool = False) -> DataFrame:
+    """The rows of ``orders`` that have items, with their ``units`` and ``millionths``.
+
+    ``selective`` says that ``orders`` may be a small part of all: if its rows are few, they are
+    broadcast and the items of other orders go no further than their scan. Only sums over the
+    amounts are meaningful then, because each order comes in as many rows as it has items.
+    """
+    items = tables["order_items"]
+    if selective:
+        orders, few = broadcast_if_few(orders)
+        if few:
+            return with_amounts(items, "order_id").join(orders, "order_id")
+    return orders.join(order_revenue(items), "order_id")
 
 
 def customer_revenue(tables: Tables) -> DataFrame:
@@ -55,8 +70,7 @@ def with_products(
     """
     products = products.select("product_id", *[k for k in keys if k != "product_id"])
     facts = facts.select("product_id", *measures)
-    if products.count() <= BROADCAST_ROWS:
-        products = F.broadcast(products)
-    else:
+    products, few = broadcast_if_few(products)
+    if not few:
         facts = facts.groupBy("product_id").agg(*[F.sum(m).alias(m) for m in measures])
     return facts.join(products, "product_id").select(*keys, *measures)

@@ -14,7 +14,10 @@ The sample decides only how even the ranges are. Every row takes part in every r
 
 from __future__ import annotations
 
+import datetime as dt
 import decimal
+import json
+from collections import Counter
 from dataclasses import dataclass
 from decimal import Decimal
 from math import ceil
@@ -35,7 +38,6 @@ class Ranges:
 
     rows: DataFrame
     cuts: list[Row]
-    count: int
 
     def broadcast(self, records: list[tuple], schema: T.StructType) -> DataFrame:
         """A frame of at most a few rows per range, to be joined by broadcast."""
@@ -46,40 +48,57 @@ class Ranges:
 def split(
     df: DataFrame,
     order: dict[str, Column],
+    group: str | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
     min_ranges: int | None = None,
 ) -> Ranges:
     """Cut ``df`` into ranges along ``order``: named sort keys, all ascending, NULLs first.
 
-    The keys should identify a row: rows that agree on all of them stay in one range.
+    The keys should identify a row: rows that agree on all of them stay in one range. With a
+    ``group`` column, which then is the first key, only groups that fill more than a range are
+    cut. The other groups are small enough as they are, and their rows skip the search.
     """
     if min_ranges is None:
-        min_ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Ranges are hashed to partitions; several for each even out the load.
+        min_ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = df.count()
-    ranges = min(MAX_RANGES, count, max(min_ranges, ceil(count / rows_per_range)))
+    number = min(MAX_RANGES, count, max(min_ranges, ceil(count / rows_per_range)))
+    if group is not None:
+        order = {"grp": F.col(group)} | order
     key = F.struct(*[column.alias(name) for name, column in order.items()])
+    cuts = _sample_cuts(df.select(key.alias("key")), count, number) if number > 1 else []
+    if group is not None:
+        owned = Counter(cut.grp for cut in cuts)
+        cuts = [cut for cut in cuts if owned[cut.grp] > 1]
+    if not cuts:
+        return Ranges(df.withColumn(RANGE, F.lit(0)), cuts)
+    position = _cuts_before(key, cuts, df.select(key.alias("key")).schema["key"].dataType)
+    if group is not None:
+        position = F.when(_is_one_of(F.col(group), {cut.grp for cut in cuts}), position)
+    return Ranges(df.withColumn(RANGE, F.coalesce(position, F.lit(0))), cuts)
+
+
+def _sample_cuts(keys: DataFrame, count: int, number: int) -> list[Row]:
+    """Up to ``number - 1`` distinct keys that split the rows about evenly, in order."""
+    # Twice the aim, because the sample size varies around its mean.
+    share = min(1.0, 2 * SAMPLES_PER_RANGE * number / count)
+    sample = keys.sample(share, 7).repartition(1).sortWithinPartitions("key").collect()
     cuts = []
-    if ranges > 1:
-        # Twice the aim: the sample size varies around its mean.
-        share = min(1.0, 2 * SAMPLES_PER_RANGE * ranges / count)
-        sample = [r.key for r in df.select(key.alias("key")).sample(share, 7).sort("key").collect()]
-        picks = {len(sample) * i // ranges for i in range(1, ranges)}
-        cuts = [sample[i] for i in sorted(picks) if i < len(sample)]
-        cuts = [cut for i, cut in enumerate(cuts) if i == 0 or cut != cuts[i - 1]]
-    types = df.select(key.alias("key")).schema["key"].dataType
-    return Ranges(df.withColumn(RANGE, _cuts_before(key, cuts, types)), cuts, count)
-
-
-def _cuts_before(key: Column, cuts: list[Row], types: T.StructType) -> Column:
+    for i in range(1, number):
+        place = len(sample) * i // number
+        if place < len(sample) and (not cuts or sample[place].key != cuts[-1]):
+            cuts.append(sample[place].key)
+    return cuts
+
+
+def _cuts_before(key: Column, cuts: list[Row], key_type: T.StructType) -> Column:
     """Number of cuts that sort before ``key``, by binary search in a constant array."""
-    if not cuts:
-        return F.lit(0)
-    bounds = F.array(
-        *[
-            F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, types)])
-            for cut in cuts
-        ]
-    )
+    texts = [
+        {n: v if v is None or isinstance(v, (bool, int)) else _text(v) for n, v in c.asDict().items()}
+        for c in cuts
+    ]
+    options = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    bounds = F.from_json(F.lit(json.dumps(texts)), T.ArrayType(key_type), options)
     steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
 
     def advance(position: Column, step: Column) -> Column:
@@ -90,6 +109,18 @@ def _cuts_before(key: Column, cuts: list[Row], types: T.StructType) -> Column:
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
+def _text(value: object) -> str:
+    """Exact, and for timestamps free of any time zone."""
+    if isinstance(value, dt.datetime):
+        return value.isoformat(timespec="microseconds")
+    return str(value)
+
+
+def _is_one_of(column: Column, values: set) -> Column:
+    known = column.isin(sorted(v for v in values if v is not None))
+    return known | column.isNull() if None in values else known
+
+
 def _descending(value: str) -> dict[str, Column]:
     """Sort keys for ``value DESC NULLS LAST``."""
     return {"unknown": F.col(value).isNull(), "value": -F.col(value)}
@@ -107,7 +138,7 @@ def global_row_number(df: DataFrame, value: str, tiebreak: str, **sizes) -> tupl
     within = Window.partitionBy(RANGE).orderBy(F.desc_nulls_last(value), F.asc(tiebreak))
     numbered = (
         ranges.rows.withColumn("row_number", F.row_number().over(within))
-        .join(offset, RANGE)
+        .join(offset, RANGE, "left")
         .withColumn("row_number", F.col("row_number") + F.col("_offset"))
         .drop(RANGE, "_offset")
     )
@@ -175,7 +206,7 @@ def global_running_sum(
     )
     result = (
         rows.withColumn("_inside", inside)
-        .join(offset, RANGE)
+        .join(offset, RANGE, "left")
         .join(shared, value, "left")
         .withColumn(name, running)
         .drop(RANGE, "_inside", "_before", "_shared")
@@ -200,8 +231,8 @@ def dense_rank_in_groups(
     Only the first group of a range can have begun in an earlier one. Its rows add the number
     of distinct values seen there, less one if the first of them goes on across the cut.
     """
-    order = {"grp": F.col(group)} | _descending(value) | {"tiebreak": F.col(tiebreak)}
-    ranges = split(df, order, **sizes)
+    order = _descending(value) | {"tiebreak": F.col(tiebreak)}
+    ranges = split(df, order, group, **sizes)
     rows, cuts = ranges.rows, ranges.cuts
 
     group_type = df.schema[group].dataType.simpleString()
@@ -223,7 +254,7 @@ def dense_rank_in_groups(
         f"{RANGE} int, _first_group {group_type}, _first_value {value_type}, _has_first boolean,"
         f" _last_group {group_type}, _has_last boolean",
     )
-    bordered = rows.join(border, RANGE)
+    bordered = rows.join(border, RANGE, "left")
     carried = F.col("_has_first") & F.col(group).eqNullSafe(F.col("_first_group"))
     spans = carried & F.col(value).eqNullSafe(F.col("_first_value"))
     leaving = F.col("_has_last") & F.col(group).eqNullSafe(F.col("_last_group"))
@@ -250,7 +281,7 @@ def dense_rank_in_groups(
     rank = F.dense_rank().over(within)
     return (
         bordered.withColumn("_inside", rank)
-        .join(offset, RANGE)
+        .join(offset, RANGE, "left")
         .withColumn(name, F.col("_inside") + F.when(carried, F.col("_offset")).otherwise(0))
         .select(*df.columns, name)
     )
@@ -263,23 +294,19 @@ def lag_in_groups(
 
     ``at`` is a zone-free timestamp. The row before the first row of a range is the cut itself.
     """
-    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, F.col(at))
-    order = {"grp": F.col(group), "at": micros, "tiebreak": F.col(tiebreak)}
-    ranges = split(df, order, **sizes)
+    ranges = split(df, {"at": F.col(at), "tiebreak": F.col(tiebreak)}, group, **sizes)
     group_type = df.schema[group].dataType.simpleString()
     borders = [(number + 1, cut.grp, cut.at) for number, cut in enumerate(ranges.cuts)]
-    border = ranges.broadcast(borders, f"{RANGE} int, _group {group_type}, _micros bigint")
-    carried = F.when(
-        F.col("_group") == F.col(group), F.timestamp_add("MICROSECOND", F.col("_micros"), epoch)
-    )
+    border = ranges.broadcast(borders, f"{RANGE} int, _group {group_type}, _cut timestamp_ntz")
+    carried = F.when(F.col("_group") == F.col(group), F.col("_cut"))
     within = Window.partitionBy(RANGE, group).orderBy(at, tiebreak)
+    is_first = F.row_number().over(within) == 1
+    previous = F.when(is_first, F.col("_carried")).otherwise(F.lag(at).over(within))
     ranges.rows = (
         ranges.rows.join(border, RANGE, "left")
         .withColumn("_carried", carried)
-        .withColumn(name, F.coalesce(F.lag(at).over(within), F.when(
-            F.row_number().over(within) == 1, F.col("_carried"))))
-        .drop("_group", "_micros", "_carried")
+        .withColumn(name, previous)
+        .drop("_group", "_cut", "_carried")
     )
     return ranges
 
@@ -287,17 +314,16 @@ def lag_in_groups(
 def totals_in_groups(ranges: Ranges, group: str, totals: dict[str, Column]) -> DataFrame:
     """Add each group's sums of the ``totals`` columns to its rows, and drop the range number.
 
-    A group inside one range is summed there. The few groups that own a cut may go on in
-    other ranges; they are summed by an aggregate with one row for each.
+    A group that was not split is summed where it is. The few that were are summed by an
+    aggregate with one row for each, and ``group`` must not be NULL in them.
     """
     rows = ranges.rows
     within = Window.partitionBy(RANGE, group)
     inside = {name: F.sum(column).over(within) for name, column in totals.items()}
-    if not ranges.cuts:
+    if not ranges.cuts:  # no group was split
         return rows.withColumns(inside).drop(RANGE)
-    owners = sorted({cut.grp for cut in ranges.cuts})
     at_cuts = (
-        rows.filter(F.col(group).isin(owners))
+        rows.filter(_is_one_of(F.col(group), {cut.grp for cut in ranges.cuts}))
         .groupBy(group)
         .agg(*[F.sum(c).alias(f"_{name}") for name, c in totals.items()], F.lit(True).alias("_cut"))
     )

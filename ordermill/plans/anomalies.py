@@ -40,7 +40,7 @@ def dirty_orders(orders: DataFrame, extra: bool = False) -> DataFrame:
     """Missing customers, and dates as text in two formats; ``extra`` adds future dates."""
     slot, date = _slot(orders, "order_id", 20), F.col("order_date")
     if extra:
-        future = F.timestamp_add("YEAR", F.lit(100), date)
+        future = date + F.make_ym_interval(F.lit(100))
         date = F.when(_slot(orders, "order_id", 211) == 9, future).otherwise(date)
     day_first = F.date_format(date, "dd-MM-yyyy HH:mm:ss")
     iso = F.date_format(date, "yyyy-MM-dd HH:mm:ss")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, midnight
 from ordermill.functions.money import money, percent_change, total_revenue, with_amounts
-from ordermill.operators.joins import AMOUNTS, Tables, valued_orders
+from ordermill.operators.joins import AMOUNTS, Tables, broadcast_if_few, valued_orders
 
 Day = str | dt.date
 GRAINS = ("day", "week", "month")
@@ -36,15 +36,14 @@ def _within(start: dt.date, end: dt.date) -> Column:
     return (stamp >= midnight(start)) & (stamp < midnight(end + dt.timedelta(days=1)))
 
 
-def _metrics(tables: Tables, orders: DataFrame, bucket: str) -> DataFrame:
+def _metrics(tables: Tables, orders: DataFrame, bucket: str, selective: bool) -> DataFrame:
     """Orders with items, their customers and revenue, per value of the column ``bucket``.
 
     Instead of two distinct counts over all orders, which would copy every row twice, orders are
-    first counted per customer. The joined rows are partitioned by order already, so that count
-    needs no shuffle, and only customer rows move on. An order has one customer.
+    first counted per customer, and only customer rows move on. An order has one customer.
     """
     per_customer = (
-        valued_orders(tables, orders.select("order_id", "customer_id", bucket))
+        valued_orders(tables, orders.select("order_id", "customer_id", bucket), selective)
         .groupBy(bucket, "customer_id")
         .agg(
             F.count_distinct("order_id").alias("orders"),
@@ -62,7 +61,7 @@ def period_metrics(tables: Tables, start: Day, end: Day) -> DataFrame:
     """One row: orders, customers and revenue of a period, zeros if nothing was sold."""
     start, end = period(start, end)
     orders = tables["orders"].filter(_within(start, end)).withColumn("bucket", F.lit(0))
-    return _metrics(tables, orders, "bucket").agg(
+    return _metrics(tables, orders, "bucket", selective=True).agg(
         F.coalesce(F.max("total_orders"), F.lit(0)).alias("total_orders"),
         F.coalesce(F.max("unique_customers"), F.lit(0)).alias("unique_customers"),
         F.coalesce(F.max("total_revenue"), F.lit(0.0)).alias("total_revenue"),
@@ -94,7 +93,8 @@ def top_products(tables: Tables, start: Day, end: Day, k: int = 3) -> DataFrame:
 
     Revenue is summed per product before the product table is joined.
     """
-    orders = tables["orders"].filter(_within(*period(start, end))).select("order_id")
+    in_period = tables["orders"].filter(_within(*period(start, end))).select("order_id")
+    orders, _ = broadcast_if_few(in_period)
     per_product = (
         with_amounts(tables["order_items"], "order_id", "product_id")
         .join(orders, "order_id")
@@ -116,7 +116,7 @@ def executive_summary(tables: Tables, start: Day, end: Day) -> DataFrame:
     before, last = previous_period(start, end)
     is_current = F.col("order_date") >= midnight(start)
     orders = tables["orders"].filter(_within(before, end)).withColumn("is_current", is_current)
-    metrics = _metrics(tables, orders, "is_current")
+    metrics = _metrics(tables, orders, "is_current", selective=True)
 
     def pick(name: str, current: bool) -> Column:
         chosen = F.max(F.when(F.col("is_current") == current, F.col(name)))
@@ -146,7 +146,7 @@ def grain_report(tables: Tables, grain: str = "month") -> DataFrame:
         raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
     bucket = F.date_trunc(grain, "order_date").cast("date")
     dated = tables["orders"].filter(F.col("order_date").isNotNull()).withColumn("bucket", bucket)
-    metrics = _metrics(tables, dated, "bucket")
+    metrics = _metrics(tables, dated, "bucket", selective=False)
     # One row per bucket is left, and buckets are bounded by the calendar.
     in_time = Window.orderBy("bucket")
     previous = metrics.withColumns(

@@ -61,7 +61,7 @@ def write_tables(
         writer = df.write.mode(mode).format(fmt)
         if fmt == "csv":
             stamps = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
-            texts = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in stamps}
+            texts = {c: F.substring(F.col(c).cast("string"), 1, 19) for c in stamps}
             writer = df.withColumns(texts).write.mode(mode).format(fmt).options(**CSV_OPTIONS)
         writer.save(f"{directory}/{name}.{fmt}")
 

@@ -34,12 +34,8 @@ def customers(spark: SparkSession, directory: str, registered: bool = False) ->
             .agg(F.min("o_orderdate").alias("first_order"))
         )
         source = source.join(first, "c_custkey", "left")
-        columns.insert(
-            3,
-            F.expr("timestampadd(DAY, CAST(c_custkey % 61 - 30 AS INT), first_order)").alias(
-                "registration_date"
-            ),
-        )
+        days = F.make_dt_interval((F.col("c_custkey") % 61 - 30).cast("int"))
+        columns.insert(3, (F.col("first_order") + days).alias("registration_date"))
     return source.select(*columns)
 
 
