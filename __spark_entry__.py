@@ -15,6 +15,7 @@ from ordermill.operators.joins import Tables
 from ordermill.operators.storage import scratch_path
 from ordermill.plans import anomalies, cleaning, cohort, customers, quality, report, sales
 from ordermill.sources import testdata
+from ordermill.sources.lazy import LazyTables
 from ordermill.sources.schemas import CLEAN_SCHEMAS, SCHEMAS
 from ordermill.sources.tables import load_tables, read_csv_table, read_raw, write_tables
 from oracle_queries import ORACLE_SQL
@@ -59,7 +60,10 @@ def _dirty(plan: Callable[[Tables], DataFrame]) -> Query:
 def _parsed(tables: Tables) -> Tables:
     """Raw tables whose order dates are read, with no order dropped."""
     dates = cleaning.parse_mixed_timestamp(F.col("order_date"))
-    return dict(tables) | {"orders": tables["orders"].withColumn("order_date", dates)}
+    return LazyTables(
+        orders=lambda: tables["orders"].withColumn("order_date", dates),
+        order_items=lambda: tables["order_items"],
+    )
 
 
 def _report(tables: Tables) -> DataFrame:
@@ -87,16 +91,13 @@ def _pipeline_and_load(tables: Tables) -> DataFrame:
 
 
 def _category_revenue_of_cleaned(tables: Tables) -> DataFrame:
-    """The flagship query on what the cleaning pipeline wrote."""
-    spark = tables["orders"].sparkSession
-    cleaned = scratch_path(spark, "cleaned")
-    used = {n: tables[n].select(s.fieldNames()) for n, s in SCHEMAS.items()}
-    write_tables(cleaning.clean_tables(used), cleaned)
+    """The flagship query on cleaned tables that were written and read back."""
+    spark = tables["products"].sparkSession
+    folder, cleaned = scratch_path(spark, "cleaned"), cleaning.clean_tables(tables)
+    used = ("products", "order_items")
+    write_tables({n: cleaned[n].select(SCHEMAS[n].fieldNames()) for n in used}, folder)
     return sales.category_revenue(
-        {
-            name: read_csv_table(spark, f"{cleaned}/{name}.csv", CLEAN_SCHEMAS[name])
-            for name in ("products", "order_items")
-        }
+        {n: read_csv_table(spark, f"{folder}/{n}.csv", CLEAN_SCHEMAS[n]) for n in used}
     )
 
 

@@ -24,8 +24,13 @@ def parse_mixed_timestamp(raw: Column) -> Column:
     )
 
 
-def month_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+def month_start(ts: Column) -> Column:
+    """The first day of the month. Group by this and format the few results, not every row."""
+    return F.trunc(ts, "month")
+
+
+def month_text(day: Column) -> Column:
+    return F.date_format(day, "yyyy-MM")
 
 
 def elapsed_days(start: Column, end: Column) -> Column:

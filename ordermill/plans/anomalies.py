@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.operators.joins import Tables
+from ordermill.sources.lazy import LazyTables
 
 
 def _slot(df: DataFrame, key: str, slots: int) -> Column:
@@ -58,7 +59,7 @@ def dirty_order_items(items: DataFrame, extra: bool = False) -> DataFrame:
     def slot(slots: int) -> Column:
         return _slot(items, "product_id", slots)
 
-    quantity, discount = F.col("quantity"), F.col("discount_percent").cast("double")
+    quantity, discount = F.col("quantity"), F.col("discount_percent")
     amount = F.when(slot(33) == 1, -quantity).otherwise(quantity)
     changed = {"quantity": amount}
     if extra:
@@ -73,11 +74,11 @@ def dirty_order_items(items: DataFrame, extra: bool = False) -> DataFrame:
     return items.withColumns(changed)
 
 
-def inject_anomalies(tables: Tables, extra: bool = False) -> dict[str, DataFrame]:
+def inject_anomalies(tables: Tables, extra: bool = False) -> LazyTables:
     """All four tables, dirtied."""
-    return {
-        "customers": dirty_customers(tables["customers"]),
-        "products": dirty_products(tables["products"]),
-        "orders": dirty_orders(tables["orders"], extra),
-        "order_items": dirty_order_items(tables["order_items"], extra),
-    }
+    return LazyTables(
+        customers=lambda: dirty_customers(tables["customers"]),
+        products=lambda: dirty_products(tables["products"]),
+        orders=lambda: dirty_orders(tables["orders"], extra),
+        order_items=lambda: dirty_order_items(tables["order_items"], extra),
+    )

@@ -13,6 +13,7 @@ from ordermill.functions.dates import parse_mixed_timestamp
 from ordermill.functions.text import is_valid_email, title_case
 from ordermill.operators.joins import Tables
 from ordermill.operators.storage import store
+from ordermill.sources.lazy import LazyTables
 from ordermill.sources.tables import write_tables
 
 
@@ -67,14 +68,14 @@ def absolute_quantity(items: DataFrame) -> DataFrame:
     return items.withColumn("quantity", F.abs("quantity"))
 
 
-def clean_tables(tables: Tables, on_bad: str = "raise") -> dict[str, DataFrame]:
+def clean_tables(tables: Tables, on_bad: str = "raise") -> LazyTables:
     """All cleaning steps; customers pass through unchanged."""
-    return {
-        "customers": tables["customers"],
-        "products": clean_products(tables["products"]),
-        "orders": clean_orders(tables["orders"], on_bad),
-        "order_items": absolute_quantity(tables["order_items"]),
-    }
+    return LazyTables(
+        customers=lambda: tables["customers"],
+        products=lambda: clean_products(tables["products"]),
+        orders=lambda: clean_orders(tables["orders"], on_bad),
+        order_items=lambda: absolute_quantity(tables["order_items"]),
+    )
 
 
 def split_invalid(tables: Tables) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:

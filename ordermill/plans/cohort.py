@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.functions.dates import month_text, thirty_day_month
+from ordermill.functions.dates import month_start, month_text, thirty_day_month
 from ordermill.functions.money import percent_of
 from ordermill.operators.joins import Tables
 
@@ -22,20 +22,16 @@ def _active_users(tables: Tables, max_month: int) -> DataFrame:
         .select("customer_id", F.to_date("order_date").alias("day"))
         .distinct()
     )
-    registered = F.col("registration_date")
-    number = thirty_day_month(F.trunc(registered, "month"), F.col("day"))
+    number = thirty_day_month(F.col("cohort"), F.col("day"))
     return (
         tables["customers"]
-        .select("customer_id", "registration_date")
+        .select("customer_id", month_start(F.col("registration_date")).alias("cohort"))
         .join(order_days, "customer_id")
-        .select(
-            "customer_id",
-            month_text(registered).alias("cohort_month"),
-            number.alias("month_number"),
-        )
+        .select("customer_id", "cohort", number.alias("month_number"))
         .filter(F.col("month_number").between(0, max_month))
-        .groupBy("cohort_month", "month_number")
+        .groupBy("cohort", "month_number")
         .agg(F.count_distinct("customer_id").alias("active_users"))
+        .select(month_text(F.col("cohort")).alias("cohort_month"), "month_number", "active_users")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.dates import elapsed_days, month_text
+from ordermill.functions.dates import elapsed_days, month_start, month_text
 from ordermill.functions.money import money, percent_of, total_revenue
 from ordermill.operators.joins import Tables, broadcast_if_few, customer_revenue, valued_orders
 from ordermill.operators.ranges import (
@@ -73,7 +73,7 @@ def monthly_value_bands(tables: Tables, low: float = 5000, high: float = 10000)
     known = tables["orders"].filter(F.col("customer_id").isNotNull())
     monthly = (
         valued_orders(tables, known.select("order_id", "customer_id", "order_date"))
-        .groupBy("customer_id", month_text(F.col("order_date")).alias("order_month"))
+        .groupBy("customer_id", month_start(F.col("order_date")).alias("month"))
         .agg(total_revenue().alias("revenue"))
     )
     band = (
@@ -82,8 +82,11 @@ def monthly_value_bands(tables: Tables, low: float = 5000, high: float = 10000)
         .otherwise("Low")
     )
     return (
-        monthly.groupBy("order_month", band.alias("customer_category"))
+        monthly.groupBy("month", band.alias("customer_category"))
         .agg(F.count("customer_id").alias("customer_count"))
+        .select(
+            month_text(F.col("month")).alias("order_month"), "customer_category", "customer_count"
+        )
         .orderBy("order_month", "customer_category")
     )
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.functions.dates import as_date, midnight, month_text
+from ordermill.functions.dates import as_date, month_start, month_text
 from ordermill.functions.money import money, percent_of, total_revenue, with_amounts
 from ordermill.operators.joins import (
     AMOUNTS,
@@ -49,8 +49,9 @@ def monthly_orders(tables: Tables, as_of: str | dt.date, months: int = 12) -> Da
     return (
         tables["orders"]
         .filter(F.col("order_date") >= since)
-        .groupBy(month_text(F.col("order_date")).alias("order_month"))
+        .groupBy(month_start(F.col("order_date")).alias("month"))
         .agg(F.count_distinct("order_id").alias("total_orders"))
+        .select(month_text(F.col("month")).alias("order_month"), "total_orders")
         .orderBy("order_month")
     )
 
@@ -150,11 +151,14 @@ def year_over_year(tables: Tables) -> DataFrame:
     """Revenue per calendar month against the same month of the previous available year."""
     monthly = (
         valued_orders(tables, tables["orders"].select("order_id", "order_date"))
-        .groupBy(
-            F.date_format("order_date", "yyyy").alias("year"),
-            F.date_format("order_date", "MM").alias("month"),
-        )
+        .groupBy(month_start(F.col("order_date")).alias("first_day"))
         .agg(total_revenue().alias("revenue"))
+        .withColumns(
+            {
+                "year": F.date_format("first_day", "yyyy"),
+                "month": F.date_format("first_day", "MM"),
+            }
+        )
     )
     years = Window.partitionBy("month").orderBy("year")
     before = monthly.withColumn("before", F.lag("revenue").over(years))
