@@ -93,12 +93,9 @@ def _sample_cuts(keys: DataFrame, count: int, number: int) -> list[Row]:
 
 def _cuts_before(key: Column, cuts: list[Row], key_type: T.StructType) -> Column:
     """Number of cuts that sort before ``key``, by binary search in a constant array."""
-    texts = [
-        {n: v if v is None or isinstance(v, (bool, int)) else _text(v) for n, v in c.asDict().items()}
-        for c in cuts
-    ]
+    texts = json.dumps([cut.asDict() for cut in cuts], default=_text)
     options = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    bounds = F.from_json(F.lit(json.dumps(texts)), T.ArrayType(key_type), options)
+    bounds = F.from_json(F.lit(texts), T.ArrayType(key_type), options)
     steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
 
     def advance(position: Column, step: Column) -> Column:
@@ -109,8 +106,8 @@ def _cuts_before(key: Column, cuts: list[Row], key_type: T.StructType) -> Column
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
-def _text(value: object) -> str:
-    """Exact, and for timestamps free of any time zone."""
+def _text(value: Decimal | dt.datetime) -> str:
+    """What JSON has no type for, exactly and free of any time zone."""
     if isinstance(value, dt.datetime):
         return value.isoformat(timespec="microseconds")
     return str(value)
@@ -234,6 +231,9 @@ def dense_rank_in_groups(
     order = _descending(value) | {"tiebreak": F.col(tiebreak)}
     ranges = split(df, order, group, **sizes)
     rows, cuts = ranges.rows, ranges.cuts
+    within = Window.partitionBy(RANGE, group).orderBy(F.desc_nulls_last(value))
+    if not cuts:  # no group was split
+        return rows.withColumn(name, F.dense_rank().over(within)).drop(RANGE)
 
     group_type = df.schema[group].dataType.simpleString()
     value_type = df.schema[value].dataType.simpleString()
@@ -277,10 +277,8 @@ def dense_rank_in_groups(
             seen = fact.distinct_values + (offset if whole else 0)
     offset = ranges.broadcast(offsets, f"{RANGE} int, _offset bigint")
 
-    within = Window.partitionBy(RANGE, group).orderBy(F.desc_nulls_last(value))
-    rank = F.dense_rank().over(within)
     return (
-        bordered.withColumn("_inside", rank)
+        bordered.withColumn("_inside", F.dense_rank().over(within))
         .join(offset, RANGE, "left")
         .withColumn(name, F.col("_inside") + F.when(carried, F.col("_offset")).otherwise(0))
         .select(*df.columns, name)
@@ -295,11 +293,14 @@ def lag_in_groups(
     ``at`` is a zone-free timestamp. The row before the first row of a range is the cut itself.
     """
     ranges = split(df, {"at": F.col(at), "tiebreak": F.col(tiebreak)}, group, **sizes)
+    within = Window.partitionBy(RANGE, group).orderBy(at, tiebreak)
+    if not ranges.cuts:  # no group was split
+        ranges.rows = ranges.rows.withColumn(name, F.lag(at).over(within))
+        return ranges
     group_type = df.schema[group].dataType.simpleString()
     borders = [(number + 1, cut.grp, cut.at) for number, cut in enumerate(ranges.cuts)]
     border = ranges.broadcast(borders, f"{RANGE} int, _group {group_type}, _cut timestamp_ntz")
     carried = F.when(F.col("_group") == F.col(group), F.col("_cut"))
-    within = Window.partitionBy(RANGE, group).orderBy(at, tiebreak)
     is_first = F.row_number().over(within) == 1
     previous = F.when(is_first, F.col("_carried")).otherwise(F.lag(at).over(within))
     ranges.rows = (

@@ -1,0 +1,478 @@
+"""Business rules on small hand-made tables."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.functions import money
+from ordermill.functions.dates import as_date, elapsed_days, thirty_day_month
+from ordermill.operators import joins
+from ordermill.plans import anomalies, cohort, customers, quality, report, sales
+
+ORDERS = "order_id string, customer_id string, order_date timestamp_ntz, status string, region_code string"
+ITEMS = "item_id string, order_id string, product_id string, quantity int, unit_price decimal(14,2), discount_percent decimal(5,2)"
+PRODUCTS = "product_id string, product_name string, category string"
+CUSTOMERS = "customer_id string, customer_name string, email string, registration_date timestamp_ntz"
+
+
+def at(text):
+    return dt.datetime.fromisoformat(text) if text else None
+
+
+def shop(spark, orders=(), items=(), products=(), people=()):
+    """orders: (id, customer, date, status); items: (order, product, quantity, price, discount)."""
+    return {
+        "orders": spark.createDataFrame(
+            [(o, c, at(d), s, "R1") for o, c, d, s in orders], ORDERS
+        ),
+        "order_items": spark.createDataFrame(
+            [
+                (f"I{i}", o, p, q, None if u is None else Decimal(u), None if d is None else Decimal(d))
+                for i, (o, p, q, u, d) in enumerate(items)
+            ],
+            ITEMS,
+        ),
+        "products": spark.createDataFrame(products, PRODUCTS),
+        "customers": spark.createDataFrame(
+            [(c, n, None, at(r)) for c, n, r in people], CUSTOMERS
+        ),
+    }
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+PRODUCT_ROWS = [("P1", "pen", "Books"), ("P2", "pot", "Home"), ("P3", "pen", "Books")]
+
+
+# Money and ratios
+
+
+@pytest.mark.parametrize(
+    "quantity, price, discount, expected",
+    [
+        (3, "19.99", "12.50", "52.473750"),
+        (1, "0.01", "99.99", "0.000001"),
+        (-2, "10.00", "50.00", "-10.000000"),
+        (10, "1.00", "150.00", "-5.000000"),
+        (2_000_000, "104997.88", "0.00", "209995760000.000000"),
+        (None, "1.00", "0.00", None),
+        (1, None, "0.00", None),
+        (1, "1.00", None, None),
+    ],
+)
+def test_line_revenue_is_exact(spark, quantity, price, discount, expected):
+    items = shop(spark, items=[("O1", "P1", quantity, price, discount)])["order_items"]
+    expected = None if expected is None else Decimal(expected)
+    assert items.select(money.line_revenue()).first()[0] == expected
+    doubles = items.withColumns({c: F.col(c).cast("double") for c in ("unit_price", "discount_percent")})
+    assert doubles.select(money.line_revenue()).first()[0] == expected
+    total = money.with_amounts(items.union(items)).agg(money.total_revenue()).first()[0]
+    assert total == (None if expected is None else 2 * expected)
+
+
+def test_totals_beyond_bigint_millionths(spark):
+    """A thousand lines of a trillion each: their millionths would overflow a bigint."""
+    items = spark.range(1000).selectExpr(
+        "100000 AS quantity", "10000000.05D AS unit_price", "0D AS discount_percent"
+    )
+    total = money.with_amounts(items).agg(money.total_revenue()).first()[0]
+    assert total == Decimal("1000000005000000.000000")
+    wide = items.withColumn("units", F.lit(9 * 10**15)).withColumn("millionths", F.lit(999_999))
+    assert wide.agg(money.total_revenue()).first()[0] == 9 * 10**18 + Decimal("999.999")
+
+
+def test_a_line_too_large_raises(spark):
+    items = spark.sql("SELECT 2000000000 AS quantity, 99999999.99D AS unit_price, 0D AS discount_percent")
+    with pytest.raises(Exception, match="(?i)overflow"):
+        items.select(money.line_revenue()).collect()
+
+
+def test_half_cents_round_away_from_zero(spark):
+    amounts = spark.sql("SELECT 1.005000BD AS a, -1.005000BD AS b, 2.675BD AS c")
+    got = amounts.select(*[money.money(F.col(c)) for c in "abc"])
+    assert rows(got) == [(1.01, -1.01, 2.68)]
+
+
+@pytest.mark.parametrize(
+    "current, previous, expected",
+    [(5.0, 0.0, 100.0), (0.0, 0.0, 0.0), (-1.0, 0.0, 0.0), (150.0, 100.0, 50.0), (1.0, 3.0, -66.67), (None, 1.0, None)],
+)
+def test_percent_change(spark, current, previous, expected):
+    pair = spark.createDataFrame([(current, previous)], "c double, p double")
+    assert pair.select(money.percent_change(F.col("c"), F.col("p"))).first()[0] == expected
+
+
+# Dates
+
+
+def test_elapsed_days_are_not_midnights(spark):
+    pair = spark.createDataFrame(
+        [(at("2024-03-30T10:00:00"), at("2024-04-01T09:59:59"))], "a timestamp_ntz, b timestamp_ntz"
+    )
+    for zone in ("UTC", "Europe/Berlin"):  # the clocks there change in between
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            assert pair.select(elapsed_days(F.col("a"), F.col("b"))).first()[0] == 1
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("days, month", [(-30, -1), (-29, 0), (0, 0), (29, 0), (30, 1), (119, 3)])
+def test_thirty_day_months_truncate_toward_zero(spark, days, month):
+    frame = spark.sql(f"SELECT date'2024-05-01' AS s, date_add(date'2024-05-01', {days}) AS d")
+    assert frame.select(thirty_day_month(F.col("s"), F.col("d"))).first()[0] == month
+
+
+def test_argument_dates_are_strict():
+    assert as_date("2024-02-29") == dt.date(2024, 2, 29)
+    for bad in ("2024-02-30", "29-02-2024", "yesterday"):
+        with pytest.raises(ValueError):
+            as_date(bad)
+
+
+# Sales
+
+
+def test_category_revenue_counts_orphans_and_returns(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-01-01", "CANCELLED")],
+        items=[
+            ("O1", "P1", 1, "10.00", "0"),
+            ("O9", "P3", 1, "5.00", "0"),
+            ("O1", "P2", 2, "10.00", "50"),
+            ("O1", "PX", 1, "99.00", "0"),
+            ("O1", "P2", 1, None, "0"),
+        ],
+        products=PRODUCT_ROWS,
+    )
+    assert rows(sales.category_revenue(tables)) == [("Books", 15.0), ("Home", 10.0)]
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_both_ways_to_join_products_agree(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-01-01", "RETURNED"), ("O2", "C1", "2024-01-01", "PLACED"), ("O3", None, None, None)],
+        items=[("O1", "P1", 5, "1", "0"), ("O2", "P1", 4, "1", "0"), ("O3", "P1", 9, "1", "0"), ("O2", "P2", 4, "1", "0"), ("O2", "P3", 1, "1", "0")],
+        products=PRODUCT_ROWS,
+    )
+    assert rows(sales.category_revenue(tables)) == [("Books", 19.0), ("Home", 4.0)]
+    # An unknown status counts neither as returned nor as kept.
+    assert rows(sales.more_returned(tables)) == [("P1", "pen", 5, 4)]
+    assert rows(sales.return_rate(tables)) == [("Books", 5, 19, 26.32), ("Home", 0, 4, 0.0)]
+    ranks = sorted(rows(sales.product_rank(tables)))
+    assert ranks == [("Books", "pen", 19.0, 1), ("Home", "pot", 4.0, 1)]
+    assert rows(report.top_products(tables, "2024-01-01", "2024-01-01", 2)) == [("P1", "pen", 9.0), ("P2", "pot", 4.0)]
+    assert rows(report.period_metrics(tables, "2024-01-01", "2024-01-01")) == [(2, 1, 14.0)]
+    shift = customers.category_shift(tables)
+    assert rows(shift) == [("C1", "Books", "Home", "Yes")]
+
+
+def test_return_rate_without_units_is_null(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-01-01", "RETURNED")],
+        items=[("O1", "P1", 2, "1", "0"), ("O1", "P1", -2, "1", "0")],
+        products=PRODUCT_ROWS,
+    )
+    assert rows(sales.return_rate(tables)) == [("Books", 0, 0, None)]
+
+
+def test_top_customers_ties_go_by_id(spark):
+    tables = shop(
+        spark,
+        orders=[(f"O{i}", f"C{i}", "2024-01-01", "PLACED") for i in range(4)],
+        items=[(f"O{i}", "P1", 1, "10" if i else "20", "0") for i in (3, 2, 1, 0)],
+        people=[(f"C{i}", f"n{i}", None) for i in range(4)],
+    )
+    assert rows(sales.top_customers(tables, 3)) == [("C0", "n0", 20.0), ("C1", "n1", 10.0), ("C2", "n2", 10.0)]
+
+
+def test_duplicate_rows_count_as_in_a_plain_join(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-01-01", "PLACED")] * 2,
+        items=[("O1", "P1", 1, "10", "0")] * 3,
+        people=[("C1", "n", None)] * 2,
+    )
+    assert rows(sales.top_customers(tables)) == [("C1", "n", 120.0)]
+    assert rows(sales.monthly_orders(tables, "2024-01-31")) == [("2024-01", 1)]
+    for limit in (0, 10):
+        joins.BROADCAST_ROWS, saved = limit, joins.BROADCAST_ROWS
+        assert rows(report.period_metrics(tables, "2024-01-01", "2024-01-01")) == [(1, 1, 60.0)]
+        joins.BROADCAST_ROWS = saved
+
+
+def test_monthly_orders_starts_twelve_months_back(spark):
+    dates = ["2023-02-27T23:59:59", "2023-02-28T00:00:00", "2024-02-29", "2024-12-01", None]
+    tables = shop(spark, orders=[(f"O{i}", "C1", d, "PLACED") for i, d in enumerate(dates)])
+    got = rows(sales.monthly_orders(tables, "2024-02-29"))
+    assert got == [("2023-02", 1), ("2024-02", 1), ("2024-12", 1)]
+
+
+def test_year_over_year_uses_the_previous_available_year(spark):
+    dates = ["2020-05-01", "2022-05-09", "2023-05-31", None]
+    prices = ["100", "150", "0", "7"]
+    tables = shop(
+        spark,
+        orders=[(f"O{i}", "C1", d, "PLACED") for i, d in enumerate(dates)],
+        items=[(f"O{i}", "P1", 1, p, "0") for i, p in enumerate(prices)],
+    )
+    assert rows(sales.year_over_year(tables)) == [
+        (None, None, 7.0, None, None),
+        ("2020", "05", 100.0, None, None),
+        ("2022", "05", 150.0, 100.0, 50.0),
+        ("2023", "05", 0.0, 150.0, -100.0),
+    ]
+
+
+def test_running_total_adds_unrounded_days(spark):
+    tables = shop(
+        spark,
+        orders=[(f"O{i}", "C1", f"2024-01-0{i}T08:00:00", "PLACED") for i in (1, 2, 3)],
+        items=[(f"O{i}", "P1", 1, "0.01", "60") for i in (1, 2, 3)],
+    )
+    got = [(r[2], r[3]) for r in rows(sales.region_running_revenue(tables))]
+    assert got == [(0.0, 0.0), (0.0, 0.01), (0.0, 0.01)]
+
+
+# Customers
+
+
+def test_never_delivered(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", None, "PLACED"), ("O2", "C1", None, "DELIVERED"), ("O3", "C2", None, "PLACED"), ("O4", "C3", None, None), ("O5", None, None, "DELIVERED"), ("O6", "CX", None, "PLACED")],
+        people=[("C1", "a", None), ("C2", "b", None), ("C3", "c", None), ("C4", "no orders", None)],
+    )
+    assert sorted(rows(customers.never_delivered(tables))) == [("C2", "b"), ("C3", "c")]
+
+
+def test_order_gaps(spark):
+    dates = {
+        "C1": ["2024-01-01", "2024-01-31", "2024-03-01"],  # 30 and 30: not above 30
+        "C2": ["2024-01-01", "2024-02-01"],  # 31
+        "C3": ["2024-01-01"],
+        "C4": ["2024-01-01T10:00:00", "2024-01-03T09:59:59", "2024-01-03T09:59:59"],
+        "C5": [None, "2024-01-01", "2024-01-02"],
+    }
+    orders = [(f"{c}{i}", c, d, "PLACED") for c, ds in dates.items() for i, d in enumerate(ds)]
+    tables = shop(spark, orders=[*orders, ("N", None, "2024-01-01", "PLACED")])
+    for sizes in ({}, {"rows_per_range": 1, "min_ranges": 1}):
+        got = sorted((r[0], r[3], r[4]) for r in rows(customers.order_gaps(tables, **sizes)))
+        assert got == [("C1", 30, "Safe"), ("C1", 30, "Safe"), ("C2", 31, "At Risk"), ("C4", 0, "Safe"), ("C4", 1, "Safe"), ("C5", 1, "Safe")]
+
+
+def test_value_bands(spark):
+    values = ["4999.99", "5000", "10000", "10000.01", None]
+    tables = shop(
+        spark,
+        orders=[(f"O{i}", f"C{i}", "2024-01-05", "PLACED") for i in range(5)],
+        items=[(f"O{i}", "P1", 1, v, "0") for i, v in enumerate(values)],
+    )
+    got = rows(customers.monthly_value_bands(tables))
+    assert got == [("2024-01", "High", 1), ("2024-01", "Low", 2), ("2024-01", "Medium", 2)]
+
+
+def spenders(spark, values):
+    return shop(
+        spark,
+        orders=[(f"O{i}", f"C{i}", "2024-01-05", "PLACED") for i in range(len(values))],
+        items=[(f"O{i}", "P1", 1, v, "0") for i, v in enumerate(values)],
+    )
+
+
+@pytest.mark.parametrize("n, sizes", [(10, [3, 3, 2, 2]), (3, [1, 1, 1])])
+def test_quartile_sizes(spark, n, sizes):
+    got = rows(customers.ltv_quartiles(spenders(spark, [str(10 * i) for i in range(n)])))
+    tiles = [r[2] for r in got]
+    assert [tiles.count(t) for t in range(1, len(sizes) + 1)] == sizes
+    assert {(r[2], r[3]) for r in got} <= {(1, "Platinum"), (2, "Gold"), (3, "Silver"), (4, "Bronze")}
+
+
+def test_concentration_ties_share_a_total(spark):
+    got = {r[0]: r[1:] for r in rows(customers.revenue_concentration(spenders(spark, ["5", "1", "5", None])))}
+    assert got == {"C0": (5.0, 10.0, 90.91), "C2": (5.0, 10.0, 90.91), "C1": (1.0, 11.0, 100.0), "C3": (None, 11.0, 100.0)}
+
+
+def test_concentration_without_any_revenue(spark):
+    got = rows(customers.revenue_concentration(spenders(spark, [None, None])))
+    assert [r[1:] for r in got] == [(None, None, None)] * 2
+    assert [r[3] for r in rows(customers.revenue_concentration(spenders(spark, ["0", "0"])))] == [None] * 2
+
+
+def test_category_shift_ties(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-01-01", "P"), ("O2", "C1", "2024-01-01", "P"), ("O3", "C2", "2024-01-01", "P"), ("O4", "C2", "2024-02-01", "P")],
+        items=[("O2", "P2", 1, "1", "0"), ("O1", "P2", 1, "1", "0"), ("O1", "P1", 1, "1", "0"), ("O3", "P1", 1, "1", "0"), ("O4", "PX", 1, "1", "0")],
+        products=PRODUCT_ROWS,
+    )
+    got = sorted(rows(customers.category_shift(tables)))
+    assert got == [("C1", "Books", "Home", "Yes"), ("C2", "Books", "Books", "No")]
+
+
+# Cohorts
+
+
+def test_cohorts(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-04-02", "P"), ("O2", "C1", "2024-06-01", "P"), ("O3", "C2", "2024-05-31", "P"), ("O4", "C2", "2024-05-30", "P"), ("O5", "C3", "2024-04-01", "P"), ("O6", "C4", "2024-07-15", "P"), ("O7", None, "2024-05-01", "P")],
+        people=[("C1", "a", "2024-05-20"), ("C2", "b", "2024-05-01"), ("C3", "c", "2024-05-02"), ("C4", "d", "2024-06-30"), ("C5", "e", "2024-01-01")],
+    )
+    # C1: 29 days early is month 0, then day 31; C2: days 30 and 29; C3: 30 days early is out.
+    assert rows(cohort.cohort_activity(tables)) == [
+        ("2024-06", 0, 1, 0, 0, None),
+        ("2024-05", 2, 2, 0, 0, 100.0),
+    ]
+    assert rows(cohort.cohort_activity(tables, k=1)) == [("2024-06", 0, 1, 0, 0, None)]
+    assert rows(cohort.retention_rate(tables)) == [
+        ("2024-05", 0, 2, 100.0),
+        ("2024-05", 1, 2, 100.0),
+        ("2024-06", 1, 1, None),
+    ]
+
+
+# Quality rules
+
+
+def test_quality_rules(spark):
+    orders = spark.createDataFrame([("ORD_001",), ("ORD_002",)], "order_id string")
+    items = spark.createDataFrame([("I_01", "ORD_001"), ("I_02", "ORD_999")], "item_id string, order_id string")
+    assert [r[0] for r in rows(quality.orphans({"orders": orders, "order_items": items}))] == ["I_02"]
+
+    discounts = [("I_01", 10.0), ("I_02", 150.0), ("I_03", -5.0), ("I_04", 0.0), ("I_05", 100.0), ("I_06", None)]
+    items = spark.createDataFrame(discounts, "item_id string, discount_percent double")
+    assert [r[0] for r in rows(quality.bad_discounts({"order_items": items}))] == ["I_02", "I_03"]
+
+    items = spark.createDataFrame([("I_01", 5), ("I_02", 0), ("I_03", None)], "item_id string, quantity int")
+    assert [r[0] for r in rows(quality.zero_quantities({"order_items": items}))] == ["I_02"]
+
+    dates = [("O1", at("2023-01-01")), ("O2", at("2099-12-31")), ("O3", None), ("O4", at("2026-01-01"))]
+    orders = spark.createDataFrame(dates, "order_id string, order_date timestamp_ntz")
+    assert [r[0] for r in rows(quality.future_orders({"orders": orders}, "2026-01-01"))] == ["O2"]
+
+
+def test_quality_summary(spark):
+    tables = shop(
+        spark,
+        orders=[("O1", "C1", "2024-01-01", "P"), ("O1", "C1", "2024-01-01", "P"), ("O2", "C1", "2099-01-01", "P")],
+        items=[("O1", "P1", 0, "1", "150"), ("O9", "P1", 1, "1", "-1"), (None, "P1", 1, "1", "0")],
+    )
+    got = {r[0]: r[1:] for r in rows(quality.quality_summary(tables, "2026-01-01"))}
+    assert got == {"orphan_items": (2, 3), "bad_discount": (2, 3), "zero_quantity": (1, 3), "future_orders": (1, 3)}
+    empty = {r[0]: r[1:] for r in rows(quality.quality_summary(shop(spark), "2026-01-01"))}
+    assert set(empty.values()) == {(0, 0)} and len(empty) == 4
+
+
+# Reports
+
+
+def test_previous_period():
+    assert report.previous_period("2024-03-01", "2024-03-31") == (dt.date(2024, 1, 30), dt.date(2024, 2, 29))
+    assert report.previous_period("2024-03-01", "2024-03-01") == (dt.date(2024, 2, 29),) * 2
+    with pytest.raises(ValueError):
+        report.previous_period("2024-03-02", "2024-03-01")
+
+
+@pytest.fixture
+def sold(spark):
+    return shop(
+        spark,
+        orders=[
+            ("O1", "C1", "2024-03-01T00:00:00", "P"),
+            ("O2", "C1", "2024-03-31T23:59:59", "CANCELLED"),
+            ("O3", "C2", "2024-04-01T00:00:00", "P"),
+            ("O4", "C2", "2024-02-29T12:00:00", "P"),
+            ("O5", "C3", "2024-03-05T12:00:00", "P"),  # no items
+            ("O6", None, "2024-03-05T12:00:00", "P"),
+        ],
+        items=[("O1", "P1", 1, "10", "0"), ("O1", "P2", 1, "20", "50"), ("O2", "P1", 1, "40", "0"), ("O3", "P1", 1, "1", "0"), ("O4", "P1", 1, "50", "0"), ("O6", "P2", 1, "5", "0")],
+        products=PRODUCT_ROWS,
+    )
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_reports(sold, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    period = ("2024-03-01", "2024-03-31")
+    assert rows(report.period_metrics(sold, *period)) == [(3, 1, 65.0)]
+    assert rows(report.period_metrics(sold, "1999-01-01", "1999-01-02")) == [(0, 0, 0.0)]
+    assert rows(report.top_products(sold, *period)) == [("P1", "pen", 50.0), ("P2", "pot", 15.0)]
+    summary = report.executive_summary(sold, *period).first().asDict()
+    assert summary == {
+        "start_date": dt.date(2024, 3, 1),
+        "end_date": dt.date(2024, 3, 31),
+        "prev_start_date": dt.date(2024, 1, 30),
+        "prev_end_date": dt.date(2024, 2, 29),
+        "total_revenue": 65.0,
+        "prev_revenue": 50.0,
+        "total_orders": 3,
+        "prev_orders": 1,
+        "unique_customers": 1,
+        "revenue_change": 30.0,
+        "orders_change": 200.0,
+    }
+    nothing = report.executive_summary(sold, "1999-01-01", "1999-01-02").first()
+    assert (nothing.total_revenue, nothing.revenue_change, nothing.orders_change) == (0.0, 0.0, 0.0)
+    first = report.executive_summary(sold, "2024-02-01", "2024-02-29").first()
+    assert (first.prev_orders, first.orders_change) == (0, 100.0)
+
+
+def test_report_arguments(sold):
+    for bad in (("2024-03-02", "2024-03-01"), ("2024-02-30", "2024-03-01"), ("x", "y")):
+        for query in (report.period_metrics, report.top_products, report.executive_summary):
+            with pytest.raises(ValueError):
+                query(sold, *bad)
+    with pytest.raises(ValueError):
+        report.grain_report(sold, "year")
+
+
+def test_period_comparison(sold):
+    got = {r[0]: r[1:] for r in rows(report.period_comparison(sold, "2024-03-01", "2024-03-31"))}
+    assert got == {
+        "current": (dt.date(2024, 3, 1), dt.date(2024, 3, 31), 4),
+        "previous": (dt.date(2024, 1, 30), dt.date(2024, 2, 29), 1),
+    }
+
+
+def test_grains(sold):
+    months = rows(report.grain_report(sold, "month"))
+    assert months == [
+        (dt.date(2024, 2, 1), 1, 1, 50.0, None, None),
+        (dt.date(2024, 3, 1), 3, 1, 65.0, 30.0, 200.0),
+        (dt.date(2024, 4, 1), 1, 1, 1.0, -98.46, -66.67),
+    ]
+    weeks = rows(report.grain_report(sold, "week"))
+    assert [w[0] for w in weeks] == [dt.date(2024, 2, 26), dt.date(2024, 3, 4), dt.date(2024, 3, 25), dt.date(2024, 4, 1)]
+    assert len(rows(report.grain_report(sold, "day"))) == 5
+
+
+# Anomalies
+
+
+def test_anomalies_are_repeatable_and_near_their_rates(spark):
+    n = 20_000
+    ids = spark.range(n)
+    people = ids.selectExpr("concat('C', id) AS customer_id", "'a@b.co' AS email")
+    dirty = anomalies.dirty_customers(people)
+    assert abs(dirty.filter("email <> 'a@b.co'").count() / n - 0.02) < 0.005
+    assert {r[0] for r in dirty.select("email").distinct().collect()} == {"a@b.co", "ab.co", "a"}
+    assert dirty.exceptAll(anomalies.dirty_customers(people.repartition(7))).count() == 0
+    orders = ids.selectExpr("id AS order_id", "'C' AS customer_id", "timestamp_ntz'2024-02-01 03:04:05' AS order_date")
+    dirty = anomalies.dirty_orders(orders)
+    assert dirty.filter("customer_id IS NULL").count() == n / 20
+    assert dirty.filter("order_date = '01-02-2024 03:04:05'").count() == n / 20
+    items = ids.selectExpr("id AS product_id", "id AS order_id", "5 AS quantity", "1D AS discount_percent")
+    dirty = anomalies.dirty_order_items(items)
+    assert abs(dirty.filter("quantity = -5").count() / n - 0.03) < 0.005
+    assert dirty.filter("order_id < 0 OR quantity = 0 OR discount_percent <> 1").count() == 0
+    extra = anomalies.dirty_order_items(items, extra=True)
+    assert extra.filter("order_id < 0").count() > 0 and extra.filter("discount_percent = 150").count() > 0
