@@ -47,11 +47,11 @@ def _clean(plan: Callable[[Tables], DataFrame], **options: bool) -> Query:
     return lambda spark, sf_dir: _portable(plan(testdata.tables(spark, sf_dir, **options)))
 
 
-def _dirty(plan: Callable[[Tables], DataFrame]) -> Query:
+def _dirty(plan: Callable[[Tables], DataFrame], **options: bool) -> Query:
     """A query over the tables with injected anomalies."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = testdata.tables(spark, sf_dir, registered=True, regions=True)
+        tables = testdata.tables(spark, sf_dir, **options)
         return _portable(plan(anomalies.inject_anomalies(tables, extra=True)))
 
     return run
@@ -124,7 +124,7 @@ def queries() -> dict[str, Query]:
         "q14_revenue_concentration": _clean(customers.revenue_concentration),
         "q15_cohort_activity": _clean(cohort.cohort_activity, registered=True),
         "q16_retention_rate": _clean(cohort.retention_rate, registered=True),
-        "c01_clean_orders": _dirty(lambda t: cleaning.clean_orders(t["orders"])),
+        "c01_clean_orders": _dirty(lambda t: cleaning.clean_orders(t["orders"]), regions=True),
         "c02_clean_products": _dirty(lambda t: cleaning.clean_products(t["products"])),
         "c03_invalid_emails": _dirty(lambda t: cleaning.invalid_emails(t["customers"])),
         "c04_orphan_items": _dirty(
@@ -133,7 +133,7 @@ def queries() -> dict[str, Query]:
             ).select("item_id", "order_id")
         ),
         "c05_abs_quantity": _dirty(lambda t: cleaning.absolute_quantity(t["order_items"])),
-        "c06_clean_pipeline": _dirty(_pipeline_and_load),
+        "c06_clean_pipeline": _dirty(_pipeline_and_load, registered=True, regions=True),
         "c06_category_revenue_of_cleaned": _dirty(_category_revenue_of_cleaned),
         "c07_validation_report": _dirty(_report),
         "d01_orphan_items": _dirty(lambda t: quality.orphans(t).select("item_id", "order_id")),
@@ -154,13 +154,13 @@ def queries() -> dict[str, Query]:
         "r05_day_report": _clean(lambda t: report.grain_report(t, "day")),
         "r05_week_report": _clean(lambda t: report.grain_report(t, "week")),
         "r05_month_report": _clean(lambda t: report.grain_report(t, "month")),
-        "s01_csv_customers": _dirty(_csv_round_trip("customers")),
+        "s01_csv_customers": _dirty(_csv_round_trip("customers"), registered=True),
         "s01_csv_products": _dirty(_csv_round_trip("products")),
-        "s01_csv_orders": _dirty(_csv_round_trip("orders")),
+        "s01_csv_orders": _dirty(_csv_round_trip("orders"), regions=True),
         "s01_csv_order_items": _dirty(_csv_round_trip("order_items")),
-        "x01_dirty_customers": _dirty(lambda t: t["customers"]),
+        "x01_dirty_customers": _dirty(lambda t: t["customers"], registered=True),
         "x01_dirty_products": _dirty(lambda t: t["products"]),
-        "x01_dirty_orders": _dirty(lambda t: t["orders"]),
+        "x01_dirty_orders": _dirty(lambda t: t["orders"], regions=True),
         "x01_dirty_order_items": _dirty(lambda t: t["order_items"]),
     }
 

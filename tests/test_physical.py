@@ -9,6 +9,7 @@ import __spark_entry__ as driver
 from ordermill.functions.money import line_revenue
 from ordermill.operators import joins, ranges, storage
 from ordermill.plans import cleaning, cohort, customers, report, sales
+from ordermill.sources import tables as storing
 from ordermill.sources import testdata
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -192,3 +193,23 @@ def test_the_shared_folder_is_the_one_the_session_names(spark):
     stored = storage.store(spark.range(5), "five")
     assert all(f"file:{named}/" in f.replace("///", "/") for f in stored.inputFiles())
     assert stored.count() == 5
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, skewed, no_broadcast, tmp_path, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    for name, df in skewed.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    names = ["orders", "order_items"]
+    loaded = storing.load_tables(spark, str(tmp_path), names, "parquet", {}, "bucketed", 4)
+    assert {r.status for r in loaded.collect()} == {"loaded"}
+    bucketed = {n: spark.table(f"bucketed.{n}") for n in names}
+    plan = plan_of(joins.customer_revenue(bucketed))
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(customer_id" in plan
+    ours = joins.customer_revenue(bucketed)
+    assert ours.exceptAll(joins.customer_revenue(skewed)).count() == 0 < ours.count()
+
+    # One order owns a third of the items: too much for one of many buckets.
+    assert storing._fits_buckets(skewed["order_items"], "order_id", 100)
+    monkeypatch.setattr(storing, "MANY_ROWS", 10_000)
+    assert not storing._fits_buckets(skewed["order_items"], "order_id", 100)
+    assert storing._fits_buckets(skewed["orders"], "order_id", 100)
