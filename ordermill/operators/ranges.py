@@ -59,8 +59,8 @@ def split(
     cut. The other groups are small enough as they are, and their rows skip the search.
     """
     if min_ranges is None:
-        # Ranges are hashed to partitions; several for each even out the load.
-        min_ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Ranges are hashed to tasks; several for each core even out the load.
+        min_ranges = 4 * df.sparkSession.sparkContext.defaultParallelism
     count = df.count()
     number = min(MAX_RANGES, count, max(min_ranges, ceil(count / rows_per_range)))
     if group is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from ordermill.functions.money import line_revenue
-from ordermill.operators import joins, ranges, storage
+from ordermill.operators import joins, ranges
 from ordermill.plans import cleaning, cohort, customers, report, sales
 from ordermill.sources import tables as storing
 from ordermill.sources import testdata
@@ -187,14 +187,6 @@ def test_results_on_skewed_tables(spark, skewed, no_broadcast, monkeypatch):
     assert {r.month_number for r in active} == {0, 1, 2, 3}
 
 
-def test_the_shared_folder_is_the_one_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert storage.scratch_path(spark, "x").startswith(named)
-    stored = storage.store(spark.range(5), "five")
-    assert all(f"file:{named}/" in f.replace("///", "/") for f in stored.inputFiles())
-    assert stored.count() == 5
-
-
 def test_bucketed_tables_join_without_a_shuffle(spark, skewed, no_broadcast, tmp_path, monkeypatch):
     spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
     for name, df in skewed.items():
