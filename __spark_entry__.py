@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.functions.dates import stamp_text
 from ordermill.operators.joins import Tables
 from ordermill.operators.storage import scratch_path
 from ordermill.plans import anomalies, cleaning, cohort, customers, quality, report, sales
@@ -31,12 +32,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _portable(df: DataFrame) -> DataFrame:
     """Dates as text and decimals as doubles, so that engines need not agree on those types."""
-    formats = {"date": "yyyy-MM-dd", "timestamp_ntz": "yyyy-MM-dd HH:mm:ss"}
     changed = {}
     for field in df.schema:
         kind = field.dataType.simpleString()
-        if kind in formats:
-            changed[field.name] = F.date_format(field.name, formats[kind])
+        if kind == "date":
+            changed[field.name] = F.col(field.name).cast("string")
+        elif kind == "timestamp_ntz":
+            changed[field.name] = stamp_text(F.col(field.name))
         elif kind.startswith("decimal"):
             changed[field.name] = F.col(field.name).cast("double")
     return df.withColumns(changed)

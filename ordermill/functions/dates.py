@@ -24,6 +24,17 @@ def parse_mixed_timestamp(raw: Column) -> Column:
     )
 
 
+def stamp_text(ts: Column) -> Column:
+    """``YYYY-MM-DD HH:MM:SS``. By cast, since formatting goes through the session's time zone,
+    in which some local times do not exist."""
+    return F.substring(ts.cast("string"), 1, 19)
+
+
+def day_first_text(ts: Column) -> Column:
+    """``DD-MM-YYYY HH:MM:SS``."""
+    return F.regexp_replace(stamp_text(ts), r"^(\d+)-(\d+)-(\d+)", "$3-$2-$1")
+
+
 def month_start(ts: Column) -> Column:
     """The first day of the month. Group by this and format the few results, not every row."""
     return F.trunc(ts, "month")

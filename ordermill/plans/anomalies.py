@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.functions.dates import day_first_text, stamp_text
 from ordermill.operators.joins import Tables
 from ordermill.sources.lazy import LazyTables
 
@@ -43,12 +44,10 @@ def dirty_orders(orders: DataFrame, extra: bool = False) -> DataFrame:
     if extra:
         future = date + F.make_ym_interval(F.lit(100))
         date = F.when(_slot(orders, "order_id", 211) == 9, future).otherwise(date)
-    day_first = F.date_format(date, "dd-MM-yyyy HH:mm:ss")
-    iso = F.date_format(date, "yyyy-MM-dd HH:mm:ss")
     return orders.withColumns(
         {
             "customer_id": F.when(slot != 0, F.col("customer_id")),
-            "order_date": F.when(slot == 7, day_first).otherwise(iso),
+            "order_date": F.when(slot == 7, day_first_text(date)).otherwise(stamp_text(date)),
         }
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.functions.dates import stamp_text
 from ordermill.sources.schemas import NA_TOKENS, SCHEMAS
 
 # Quotes are doubled inside quoted fields; blanks at the ends of a field are data.
@@ -64,7 +65,7 @@ def write_tables(
         writer = df.write.mode(mode).format(fmt)
         if fmt == "csv":
             stamps = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
-            texts = {c: F.substring(F.col(c).cast("string"), 1, 19) for c in stamps}
+            texts = {c: stamp_text(F.col(c)) for c in stamps}
             writer = df.withColumns(texts).write.mode(mode).format(fmt).options(**CSV_OPTIONS)
         writer.save(f"{directory}/{name}.{fmt}")
 
