@@ -9,7 +9,8 @@ of its own, and what crosses a cut is carried over from a few numbers per range:
    that is run again puts it into the same range;
 3. one small aggregate per range gives the offsets of the following ranges.
 
-The sample decides only how even the ranges are. Every row takes part in every result.
+The sample decides only how even the ranges are. Every row takes part in every result. Cuts and
+offsets are constant arrays in the plan, looked up by the number of the range.
 """
 
 from __future__ import annotations
@@ -28,21 +29,35 @@ from pyspark.sql import types as T
 
 RANGE = "_range"
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1_000  # also bounds what is collected and broadcast: a few rows per range
+MAX_RANGES = 1_000  # also bounds what is collected and kept in plans: a few values per range
 SAMPLES_PER_RANGE = 50
 
 
 @dataclass
 class Ranges:
-    """``rows`` with their range number, and the cuts: range i ends with the row cuts[i]."""
+    """``rows`` with their range number, and the cuts: range i ends with the row ``cuts[i]``."""
 
     rows: DataFrame
     cuts: list[Row]
+    bounds: Column  # the cuts as an array of structs
 
-    def broadcast(self, records: list[tuple], schema: T.StructType) -> DataFrame:
-        """A frame of at most a few rows per range, to be joined by broadcast."""
-        assert len(records) <= 2 * MAX_RANGES
-        return F.broadcast(self.rows.sparkSession.createDataFrame(records, schema))
+    @property
+    def before(self) -> Column:
+        """The cut that ends the range before a row's range; NULL in range 0."""
+        return F.get(self.bounds, F.col(RANGE) - 1)
+
+    @property
+    def after(self) -> Column:
+        """The cut that ends a row's range; NULL in the last one."""
+        return F.get(self.bounds, F.col(RANGE))
+
+    @property
+    def has_before(self) -> Column:
+        return F.col(RANGE) > 0
+
+    @property
+    def has_after(self) -> Column:
+        return F.col(RANGE) < len(self.cuts)
 
 
 def split(
@@ -55,27 +70,30 @@ def split(
     """Cut ``df`` into ranges along ``order``: named sort keys, all ascending, NULLs first.
 
     The keys should identify a row: rows that agree on all of them stay in one range. With a
-    ``group`` column, which then is the first key, only groups that fill more than a range are
-    cut. The other groups are small enough as they are, and their rows skip the search.
+    ``group`` column, which then is the first key ``grp``, only groups that fill more than a
+    range are cut. The other groups are small enough as they are, and their rows skip the search.
     """
     if min_ranges is None:
         # Ranges are hashed to tasks; several for each core even out the load.
         min_ranges = 4 * df.sparkSession.sparkContext.defaultParallelism
-    count = df.count()
-    number = min(MAX_RANGES, count, max(min_ranges, ceil(count / rows_per_range)))
     if group is not None:
         order = {"grp": F.col(group)} | order
     key = F.struct(*[column.alias(name) for name, column in order.items()])
-    cuts = _sample_cuts(df.select(key.alias("key")), count, number) if number > 1 else []
+    keys = df.select(key.alias("key"))
+    count = df.count()
+    number = min(MAX_RANGES, count, max(min_ranges, ceil(count / rows_per_range)))
+    cuts = _sample_cuts(keys, count, number) if number > 1 else []
     if group is not None:
         owned = Counter(cut.grp for cut in cuts)
         cuts = [cut for cut in cuts if owned[cut.grp] > 1]
-    if not cuts:
-        return Ranges(df.withColumn(RANGE, F.lit(0)), cuts)
-    position = _cuts_before(key, cuts, df.select(key.alias("key")).schema["key"].dataType)
-    if group is not None:
-        position = F.when(_is_one_of(F.col(group), {cut.grp for cut in cuts}), position)
-    return Ranges(df.withColumn(RANGE, F.coalesce(position, F.lit(0))), cuts)
+    bounds = _constant([cut.asDict() for cut in cuts], keys.schema["key"].dataType)
+    position = F.lit(0)
+    if cuts:
+        position = _cuts_before(key, bounds, len(cuts))
+        if group is not None:
+            position = F.when(_is_one_of(F.col(group), {cut.grp for cut in cuts}), position)
+        position = F.coalesce(position, F.lit(0))
+    return Ranges(df.withColumn(RANGE, position), cuts, bounds)
 
 
 def _sample_cuts(keys: DataFrame, count: int, number: int) -> list[Row]:
@@ -91,21 +109,24 @@ def _sample_cuts(keys: DataFrame, count: int, number: int) -> list[Row]:
     return cuts
 
 
-def _cuts_before(key: Column, cuts: list[Row], key_type: T.StructType) -> Column:
-    """Number of cuts that sort before ``key``, by binary search in a constant array."""
-    texts = json.dumps([cut.asDict() for cut in cuts], default=_text)
-    options = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    bounds = F.from_json(F.lit(texts), T.ArrayType(key_type), options)
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+def _cuts_before(key: Column, bounds: Column, number: int) -> Column:
+    """How many of the ``number`` cuts sort before ``key``, by binary search."""
+    steps = [1 << i for i in reversed(range(number.bit_length()))]
 
     def advance(position: Column, step: Column) -> Column:
         target = position + step
-        ahead = (target <= len(cuts)) & (F.get(bounds, target - 1) < key)
+        ahead = (target <= number) & (F.get(bounds, target - 1) < key)
         return F.when(ahead, target).otherwise(position)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
+def _constant(values: list, dtype: T.DataType) -> Column:
+    """A constant array; through JSON, because a literal per value takes long to set up."""
+    options = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.from_json(F.lit(json.dumps(values, default=_text)), T.ArrayType(dtype), options)
+
+
 def _text(value: Decimal | dt.datetime) -> str:
     """What JSON has no type for, exactly and free of any time zone."""
     if isinstance(value, dt.datetime):
@@ -125,21 +146,16 @@ def _descending(value: str) -> dict[str, Column]:
 
 def global_row_number(df: DataFrame, value: str, tiebreak: str, **sizes) -> tuple[DataFrame, int]:
     """Add ``row_number`` by ``value`` descending over all rows; also return their number."""
-    order = _descending(value) | {"tiebreak": F.col(tiebreak)}
-    ranges = split(df, order, **sizes)
+    ranges = split(df, _descending(value) | {"tiebreak": F.col(tiebreak)}, **sizes)
+    counts = {row[RANGE]: row["count"] for row in ranges.rows.groupBy(RANGE).count().collect()}
     offsets, seen = [], 0
-    for row in ranges.rows.groupBy(RANGE).count().sort(RANGE).collect():
-        offsets.append((row[RANGE], seen))
-        seen += row["count"]
-    offset = ranges.broadcast(offsets, f"{RANGE} int, _offset bigint")
+    for number in range(len(ranges.cuts) + 1):
+        offsets.append(seen)
+        seen += counts.get(number, 0)
+    offset = F.get(_constant(offsets, T.LongType()), F.col(RANGE))
     within = Window.partitionBy(RANGE).orderBy(F.desc_nulls_last(value), F.asc(tiebreak))
-    numbered = (
-        ranges.rows.withColumn("row_number", F.row_number().over(within))
-        .join(offset, RANGE, "left")
-        .withColumn("row_number", F.col("row_number") + F.col("_offset"))
-        .drop(RANGE, "_offset")
-    )
-    return numbered, seen
+    numbered = ranges.rows.withColumn("row_number", F.row_number().over(within) + offset)
+    return numbered.drop(RANGE), seen
 
 
 def global_ntile(
@@ -161,59 +177,46 @@ def global_running_sum(
 ) -> tuple[DataFrame, Decimal | None]:
     """``SUM(value) OVER (ORDER BY value DESC)``; also return the grand total.
 
-    Equal values share the sum that includes all of them. A value so frequent that its rows
-    fill several ranges is then the value of a cut, and its sum comes from the range totals.
+    Equal values share the sum that includes all of them. A value whose rows go on across a cut
+    is the value of that cut, and its sum comes from the range totals.
     """
-    order = _descending(value) | {"tiebreak": F.col(tiebreak)}
-    ranges = split(df, order, **sizes)
-    rows, dtype = ranges.rows, df.schema[value].dataType
-
-    cut_values = [_negated(cut.value) for cut in ranges.cuts]
-    edge_values = sorted({v for v in cut_values if v is not None})
-    edge = F.when(F.col(value).isin(edge_values), F.col(value)).alias("edge")
-    totals = rows.groupBy(RANGE, edge).agg(F.sum(value).alias("total")).sort(RANGE).collect()
+    ranges = split(df, _descending(value) | {"tiebreak": F.col(tiebreak)}, **sizes)
+    dtype = df.schema[value].dataType
+    at_before = -F.col(value) == ranges.before["value"]
+    at_after = -F.col(value) == ranges.after["value"]
+    edge = F.when(at_before | at_after, F.col(value)).alias("edge")
+    totals = ranges.rows.groupBy(RANGE, edge).agg(F.sum(value).alias("total")).collect()
 
     with decimal.localcontext(prec=38):
-        per_range: dict[int, Decimal | None] = {}
-        for row in totals:
-            per_range[row[RANGE]] = _add(per_range.get(row[RANGE]), row.total)
-        before, seen = {}, None
-        for number in sorted(per_range):
-            before[number] = seen
-            seen = _add(seen, per_range[number])
-        # All rows up to the first cut with an edge value are that value or more; ties that
-        # lie beyond the cut are added.
-        edges: dict[Decimal, Decimal] = {}
-        for number, edge_value in enumerate(cut_values):
-            if edge_value is not None and edge_value not in edges:
-                beyond = [r.total for r in totals if r.edge == edge_value and r[RANGE] > number]
-                up_to = _add(before[number], per_range[number])
-                edges[edge_value] = sum(beyond, up_to)
-
-    kind = dtype.simpleString()
-    offset = ranges.broadcast(list(before.items()), f"{RANGE} int, _before {kind}")
-    shared = ranges.broadcast(list(edges.items()), f"{value} {kind}, _shared {kind}")
-    within = Window.partitionBy(RANGE).orderBy(F.desc_nulls_last(value))
-    inside = F.sum(value).over(within)
-    running = F.coalesce(
-        F.col("_shared"),
-        F.when(F.col("_inside").isNull(), F.col("_before")).otherwise(
-            F.coalesce(F.col("_before"), F.lit(0)) + F.col("_inside")
-        ),
-    )
-    result = (
-        rows.withColumn("_inside", inside)
-        .join(offset, RANGE, "left")
-        .join(shared, value, "left")
-        .withColumn(name, running)
-        .drop(RANGE, "_inside", "_before", "_shared")
+        before, seen = [], None  # the sum of all earlier ranges
+        for number in range(len(ranges.cuts) + 1):
+            before.append(seen)
+            for row in totals:
+                if row[RANGE] == number:
+                    seen = _add(seen, row.total)
+        # Up to a cut, all values are the cut's or larger; its ties beyond it are added.
+        at_cut: list[Decimal | None] = []
+        for number, cut in enumerate(ranges.cuts):
+            if number and cut.value == ranges.cuts[number - 1].value:
+                at_cut.append(at_cut[-1])
+                continue
+            shared = before[number + 1]
+            for row in totals:
+                if row[RANGE] > number and row.edge is not None and row.edge == -cut.value:
+                    shared = _add(shared, row.total)
+            at_cut.append(shared)
+
+    offset = F.get(_constant(before, dtype), F.col(RANGE))
+    sums = _constant(at_cut, dtype)
+    inside = F.sum(value).over(Window.partitionBy(RANGE).orderBy(F.desc_nulls_last(value)))
+    running = (
+        F.when(at_before, F.get(sums, F.col(RANGE) - 1))
+        .when(at_after, F.get(sums, F.col(RANGE)))
+        .when(F.col("_inside").isNull(), offset)
+        .otherwise(F.coalesce(offset, F.lit(0)) + F.col("_inside"))
     )
-    return result, seen
-
-
-def _negated(value: Decimal | int | None) -> Decimal | int | None:
-    """Exact: a unary minus would round a decimal to the context's precision."""
-    return value.copy_negate() if isinstance(value, Decimal) else value and -value
+    result = ranges.rows.withColumn("_inside", inside).withColumn(name, running)
+    return result.drop(RANGE, "_inside"), seen
 
 
 def _add(a: Decimal | None, b: Decimal | None) -> Decimal | None:
@@ -225,64 +228,39 @@ def dense_rank_in_groups(
 ) -> DataFrame:
     """``DENSE_RANK() OVER (PARTITION BY group ORDER BY value DESC)`` for groups of any size.
 
-    Only the first group of a range can have begun in an earlier one. Its rows add the number
-    of distinct values seen there, less one if the first of them goes on across the cut.
+    Only the group of the cut before a range can have begun in an earlier one. Its rows add the
+    number of distinct values seen there, less one if the cut's own value goes on in this range.
     """
-    order = _descending(value) | {"tiebreak": F.col(tiebreak)}
-    ranges = split(df, order, group, **sizes)
+    ranges = split(df, _descending(value) | {"tiebreak": F.col(tiebreak)}, group, **sizes)
     rows, cuts = ranges.rows, ranges.cuts
-    within = Window.partitionBy(RANGE, group).orderBy(F.desc_nulls_last(value))
-    if not cuts:  # no group was split
-        return rows.withColumn(name, F.dense_rank().over(within)).drop(RANGE)
-
-    group_type = df.schema[group].dataType.simpleString()
-    value_type = df.schema[value].dataType.simpleString()
-    last = len(cuts)
-    borders = [
-        (
-            number,
-            cuts[number - 1].grp if number else None,
-            _negated(cuts[number - 1].value) if number else None,
-            number > 0,
-            cuts[number].grp if number < last else None,
-            number < last,
-        )
-        for number in range(last + 1)
-    ]
-    border = ranges.broadcast(
-        borders,
-        f"{RANGE} int, _first_group {group_type}, _first_value {value_type}, _has_first boolean,"
-        f" _last_group {group_type}, _has_last boolean",
+    rank = F.dense_rank().over(
+        Window.partitionBy(RANGE, group).orderBy(F.desc_nulls_last(value))
     )
-    bordered = rows.join(border, RANGE, "left")
-    carried = F.col("_has_first") & F.col(group).eqNullSafe(F.col("_first_group"))
-    spans = carried & F.col(value).eqNullSafe(F.col("_first_value"))
-    leaving = F.col("_has_last") & F.col(group).eqNullSafe(F.col("_last_group"))
+    if not cuts:  # no group was split
+        return rows.withColumn(name, rank).drop(RANGE)
+
+    carried = ranges.has_before & F.col(group).eqNullSafe(ranges.before["grp"])
+    goes_on = carried & (-F.col(value)).eqNullSafe(ranges.before["value"])
+    leaving = ranges.has_after & F.col(group).eqNullSafe(ranges.after["grp"])
     facts = {
         row[RANGE]: row
-        for row in bordered.groupBy(RANGE)
+        for row in rows.groupBy(RANGE)
         .agg(
-            F.max(spans).alias("spans"),
-            F.count_distinct(F.when(leaving, F.struct(value))).alias("distinct_values"),
+            F.max(goes_on).alias("goes_on"),
+            F.count_distinct(F.when(leaving, F.struct(value))).alias("leaving"),
         )
         .collect()
     }
     offsets, seen = [], 0
-    for number in range(last + 1):
+    for number in range(len(cuts) + 1):
         fact = facts.get(number)
-        offset = seen - int(fact.spans) if fact else seen
-        offsets.append((number, offset))
-        if number < last:
+        offsets.append(seen - int(fact.goes_on) if fact else seen)
+        if number < len(cuts):
             whole = number > 0 and cuts[number - 1].grp == cuts[number].grp
-            seen = fact.distinct_values + (offset if whole else 0)
-    offset = ranges.broadcast(offsets, f"{RANGE} int, _offset bigint")
-
-    return (
-        bordered.withColumn("_inside", F.dense_rank().over(within))
-        .join(offset, RANGE, "left")
-        .withColumn(name, F.col("_inside") + F.when(carried, F.col("_offset")).otherwise(0))
-        .select(*df.columns, name)
-    )
+            seen = fact.leaving + (offsets[number] if whole else 0)
+    offset = F.get(_constant(offsets, T.LongType()), F.col(RANGE))
+    ranked = rows.withColumn(name, rank + F.when(carried, offset).otherwise(0))
+    return ranked.drop(RANGE)
 
 
 def lag_in_groups(
@@ -294,21 +272,11 @@ def lag_in_groups(
     """
     ranges = split(df, {"at": F.col(at), "tiebreak": F.col(tiebreak)}, group, **sizes)
     within = Window.partitionBy(RANGE, group).orderBy(at, tiebreak)
-    if not ranges.cuts:  # no group was split
-        ranges.rows = ranges.rows.withColumn(name, F.lag(at).over(within))
-        return ranges
-    group_type = df.schema[group].dataType.simpleString()
-    borders = [(number + 1, cut.grp, cut.at) for number, cut in enumerate(ranges.cuts)]
-    border = ranges.broadcast(borders, f"{RANGE} int, _group {group_type}, _cut timestamp_ntz")
-    carried = F.when(F.col("_group") == F.col(group), F.col("_cut"))
-    is_first = F.row_number().over(within) == 1
-    previous = F.when(is_first, F.col("_carried")).otherwise(F.lag(at).over(within))
-    ranges.rows = (
-        ranges.rows.join(border, RANGE, "left")
-        .withColumn("_carried", carried)
-        .withColumn(name, previous)
-        .drop("_group", "_cut", "_carried")
-    )
+    previous = F.lag(at).over(within)
+    if ranges.cuts:
+        carried = F.when(ranges.before["grp"] == F.col(group), ranges.before["at"])
+        previous = F.when(F.row_number().over(within) == 1, carried).otherwise(previous)
+    ranges.rows = ranges.rows.withColumn(name, previous)
     return ranges
 
 
