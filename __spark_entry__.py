@@ -137,6 +137,14 @@ def queries() -> dict[str, Query]:
         "c05_abs_quantity": _dirty(lambda t: cleaning.absolute_quantity(t["order_items"])),
         "c06_clean_pipeline": _dirty(_pipeline_and_load, registered=True, regions=True),
         "c06_category_revenue_of_cleaned": _dirty(_category_revenue_of_cleaned),
+        "c06_rejected_customers": _dirty(
+            lambda t: cleaning.split_invalid(cleaning.clean_tables(t))[1]["customers"].select(
+                "customer_id", "email"
+            )
+        ),
+        "c06_kept_order_items": _dirty(
+            lambda t: cleaning.split_invalid(cleaning.clean_tables(t))[0]["order_items"]
+        ),
         "c07_validation_report": _dirty(_report),
         "d01_orphan_items": _dirty(lambda t: quality.orphans(t).select("item_id", "order_id")),
         "d02_bad_discount": _dirty(

@@ -332,6 +332,12 @@ SELECT category,
        {_money('''sum(CAST(abs(quantity) AS DECIMAL(10,0)) * CAST(unit_price AS DECIMAL(14,2))
            * (1 - CAST(discount_percent AS DECIMAL(5,2)) * 0.01))''')} AS total_revenue
 FROM dirty_items JOIN tidy_products USING (product_id) GROUP BY category"""),
+    "c06_rejected_customers": _dirty(r"""
+SELECT customer_id, email FROM dirty_customers
+WHERE NOT regexp_matches(coalesce(email, ''), '^[^@\s]+@[^@\s]+\.[^@\s]+$')"""),
+    "c06_kept_order_items": _dirty("""
+SELECT i.* REPLACE (abs(quantity) AS quantity) FROM dirty_items i
+WHERE order_id IN (SELECT order_id FROM real_dates WHERE customer_id IS NOT NULL)"""),
     "c07_validation_report": _dirty("""
 , bad AS (
   SELECT customer_id FROM dirty_customers

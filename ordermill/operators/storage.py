@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A folder set on the context will do as well. Only a local session with neither gets a temporary folder of its own; on a cluster
-    a machine-local folder would lose the data with its executor, so there it is an error.
+    A folder set on the context will do as well. Only a local session with neither gets a
+    temporary folder of its own; on a cluster a machine-local folder would lose the data with its
+    executor, so there it is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

@@ -53,8 +53,10 @@ def quality_summary(tables: Tables, as_of: str | dt.date) -> DataFrame:
     ).select(
         F.explode(
             F.array(
-                F.struct(F.lit("bad_discount").alias("rule"), F.col("discounts").alias("n"), "checked"),
-                F.struct(F.lit("zero_quantity").alias("rule"), F.col("zeros").alias("n"), "checked"),
+                *[
+                    F.struct(F.lit(rule).alias("rule"), F.col(count).alias("n"), "checked")
+                    for rule, count in (("bad_discount", "discounts"), ("zero_quantity", "zeros"))
+                ]
             )
         ).alias("r")
     )

@@ -136,14 +136,13 @@ def product_rank(tables: Tables, **sizes) -> DataFrame:
         .groupBy(*keys)
         .agg(total_revenue().alias("revenue"))
     )
-    ranked = dense_rank_in_groups(
-        store(per_name, "product-rank"), "category", "revenue", "product_name", "rank_in_category", **sizes
-    )
+    stored, rank = store(per_name, "product-rank"), "rank_in_category"
+    ranked = dense_rank_in_groups(stored, "category", "revenue", "product_name", rank, **sizes)
     return ranked.select(
         "category",
         "product_name",
         money(F.col("revenue")).alias("total_revenue"),
-        F.col("rank_in_category").cast("bigint").alias("rank_in_category"),
+        F.col(rank).cast("bigint").alias(rank),
     )
 
 

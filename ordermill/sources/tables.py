@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.functions.dates import stamp_text
+from ordermill.sources.lazy import LazyTables
 from ordermill.sources.schemas import NA_TOKENS, SCHEMAS
 
 # Quotes are doubled inside quoted fields; blanks at the ends of a field are data.
@@ -48,11 +50,14 @@ def read_csv_table(
 
 
 def read_raw(
-    spark: SparkSession, directory: str, schemas: Mapping[str, T.StructType] = SCHEMAS
+    spark: SparkSession,
+    directory: str,
+    schemas: Mapping[str, T.StructType] = SCHEMAS,
+    multiline: bool = False,
 ) -> dict[str, DataFrame]:
     """The raw CSV tables of a directory; a missing one raises at once (PATH_NOT_FOUND)."""
     return {
-        name: read_csv_table(spark, f"{directory}/{name}.csv", schema)
+        name: read_csv_table(spark, f"{directory}/{name}.csv", schema, multiline)
         for name, schema in schemas.items()
     }
 
@@ -70,6 +75,20 @@ def write_tables(
         writer.save(f"{directory}/{name}.{fmt}")
 
 
+def read_tables(
+    spark: SparkSession, directory: str, fmt: str, schemas: Mapping[str, T.StructType]
+) -> LazyTables:
+    """What ``write_tables`` wrote, with the given schemas."""
+
+    def read(name: str, schema: T.StructType) -> DataFrame:
+        path = f"{directory}/{name}.{fmt}"
+        if fmt == "csv":
+            return read_csv_table(spark, path, schema)
+        return spark.read.schema(schema).format(fmt).load(path)
+
+    return LazyTables(**{n: partial(read, n, schema) for n, schema in schemas.items()})
+
+
 def _fits_buckets(df: DataFrame, key: str, buckets: int) -> bool:
     """Whether no key owns more rows than two buckets should hold.
 

@@ -264,3 +264,11 @@ def test_numbers_with_a_decimal_point_fit_integer_columns(spark, tmp_path):
     )
     row = read_csv_table(spark, str(path), SCHEMAS["order_items"]).first()
     assert (row.quantity, str(row.unit_price), row.discount_percent) == (3, "2.50", 150.0)
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    products = spark.createDataFrame([("P1", 'two\n"lines"', "Home", "s", None)], SCHEMAS["products"])
+    write_tables({"products": products}, str(tmp_path))
+    schemas = {"products": SCHEMAS["products"]}
+    back = read_raw(spark, str(tmp_path), schemas, multiline=True)["products"]
+    assert back.first().product_name == 'two\n"lines"'
