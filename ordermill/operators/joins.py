@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermill.functions.money import total_revenue, with_amounts
 
@@ -13,8 +14,8 @@ Tables = Mapping[str, DataFrame]
 
 AMOUNTS = ["units", "millionths"]
 
-# An id and one or two short texts per row: some tens of megabytes on each executor.
-BROADCAST_ROWS = 500_000
+# Of raw values; the hash table that each executor builds takes a small multiple.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def order_revenue(items: DataFrame) -> DataFrame:
@@ -28,23 +29,32 @@ def order_revenue(items: DataFrame) -> DataFrame:
     return amounts.groupBy("order_id").agg(*[F.sum(a).alias(a) for a in AMOUNTS])
 
 
-def broadcast_if_few(df: DataFrame) -> tuple[DataFrame, bool]:
-    """``df``, marked for broadcast if its rows are counted to be few, and whether they are."""
-    few = df.count() <= BROADCAST_ROWS
-    return (F.broadcast(df) if few else df), few
+def broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df``, marked for broadcast if it is measured to be small, and whether it is.
+
+    Texts count with their length, other values with eight bytes. Spark's own check goes by the
+    size of the files, which says little after a filter and nothing about single rows.
+    """
+    size = F.lit(0)
+    for field in df.schema:
+        is_text = isinstance(field.dataType, T.StringType)
+        size += F.coalesce(F.octet_length(field.name), F.lit(0)) if is_text else F.lit(8)
+    measured = df.agg(F.sum(size)).first()[0] or 0
+    small = measured <= BROADCAST_BYTES
+    return (F.broadcast(df) if small else df), small
 
 
 def valued_orders(tables: Tables, orders: DataFrame, selective: bool = False) -> DataFrame:
     """The rows of ``orders`` that have items, with their ``units`` and ``millionths``.
 
-    ``selective`` says that ``orders`` may be a small part of all: if its rows are few, they are
+    ``selective`` says that ``orders`` may be a small part of all: if it is small, it is
     broadcast and the items of other orders go no further than their scan. Only sums over the
     amounts are meaningful then, because each order comes in as many rows as it has items.
     """
     items = tables["order_items"]
     if selective:
-        orders, few = broadcast_if_few(orders)
-        if few:
+        orders, small = broadcast_if_small(orders)
+        if small:
             return with_amounts(items, "order_id").join(orders, "order_id")
     return orders.join(order_revenue(items), "order_id")
 
@@ -64,13 +74,13 @@ def with_products(
 ) -> DataFrame:
     """``facts`` with the product attributes ``keys``, ready for sums of ``measures`` by them.
 
-    A product table of few rows, which are counted, is broadcast to the facts: then nothing but
-    the small result is shuffled. A larger one would make the join shuffle every fact row by
+    A product table that is measured to be small is broadcast to the facts: then nothing but the
+    small result is shuffled. A larger one would make the join shuffle every fact row by
     product, a hot product included, so the facts are first summed per product.
     """
     products = products.select("product_id", *[k for k in keys if k != "product_id"])
     facts = facts.select("product_id", *measures)
-    products, few = broadcast_if_few(products)
-    if not few:
+    products, small = broadcast_if_small(products)
+    if not small:
         facts = facts.groupBy("product_id").agg(*[F.sum(m).alias(m) for m in measures])
     return facts.join(products, "product_id").select(*keys, *measures)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.dates import elapsed_days, month_start, month_text
 from ordermill.functions.money import money, percent_of, total_revenue
-from ordermill.operators.joins import Tables, broadcast_if_few, customer_revenue, valued_orders
+from ordermill.operators.joins import Tables, broadcast_if_small, customer_revenue, valued_orders
 from ordermill.operators.ranges import (
     global_ntile,
     global_running_sum,
@@ -113,7 +113,7 @@ def category_shift(tables: Tables) -> DataFrame:
     last one. Both steps are partial aggregates, so neither a large order nor a busy customer
     collects in one task.
     """
-    products, _ = broadcast_if_few(tables["products"].select("product_id", "category"))
+    products, _ = broadcast_if_small(tables["products"].select("product_id", "category"))
     per_order = (
         tables["order_items"]
         .select("order_id", "product_id")

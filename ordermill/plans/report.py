@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, midnight
 from ordermill.functions.money import money, percent_change, total_revenue, with_amounts
-from ordermill.operators.joins import AMOUNTS, Tables, broadcast_if_few, valued_orders
+from ordermill.operators.joins import AMOUNTS, Tables, broadcast_if_small, valued_orders
 
 Day = str | dt.date
 GRAINS = ("day", "week", "month")
@@ -94,7 +94,7 @@ def top_products(tables: Tables, start: Day, end: Day, k: int = 3) -> DataFrame:
     Revenue is summed per product before the product table is joined.
     """
     in_period = tables["orders"].filter(_within(*period(start, end))).select("order_id")
-    orders, _ = broadcast_if_few(in_period)
+    orders, _ = broadcast_if_small(in_period)
     per_product = (
         with_amounts(tables["order_items"], "order_id", "product_id")
         .join(orders, "order_id")

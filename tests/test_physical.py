@@ -78,17 +78,17 @@ def test_items_are_shuffled_once_and_after_partial_sums(spark, no_broadcast):
     assert "partial_sum" in below
 
 
-def test_items_of_a_period_are_not_shuffled_when_its_orders_are_few(spark, no_broadcast, monkeypatch):
+def test_items_of_a_period_are_not_shuffled_when_its_orders_are_small(spark, no_broadcast, monkeypatch):
     tables = testdata.tables(spark, SF_DIR)
     plan = plan_of(report.top_products(tables, *driver.PERIOD))
     assert "hashpartitioning(order_id" not in plan and "BroadcastHashJoin" in plan
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     plan = plan_of(report.top_products(tables, *driver.PERIOD))
     assert "hashpartitioning(order_id" in plan and "BroadcastHashJoin" not in plan
 
 
 def test_a_large_product_table_is_joined_after_summing(spark, no_broadcast, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     plan = plan_of(sales.category_revenue(testdata.tables(spark, SF_DIR)))
     assert "SortMergeJoin" in plan
     assert "partial_sum" in plan[plan.index("hashpartitioning(product_id") :]
@@ -162,8 +162,8 @@ def test_results_on_skewed_tables(spark, skewed, no_broadcast, monkeypatch):
     sold = items.join(skewed["orders"], "order_id")
     total = sold.agg(F.sum("rev")).first()[0]
 
-    for limit in (0, 500_000):
-        monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    for limit in (0, 10**8):
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
         share = customers.revenue_concentration(skewed).collect()
         assert max(r.cumulative_percent for r in share) == 100.0
         assert max(r.cumulative_revenue for r in share) == round(float(total), 2)
@@ -205,3 +205,12 @@ def test_bucketed_tables_join_without_a_shuffle(spark, skewed, no_broadcast, tmp
     monkeypatch.setattr(storing, "MANY_ROWS", 10_000)
     assert not storing._fits_buckets(skewed["order_items"], "order_id", 100)
     assert storing._fits_buckets(skewed["orders"], "order_id", 100)
+
+
+def test_broadcasts_are_measured(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 1000)
+    short = spark.range(50).select("id", F.lit("é" * 5).alias("t"))
+    assert joins.broadcast_if_small(short)[1]  # 50 * (8 + 10)
+    assert not joins.broadcast_if_small(spark.range(50).select("id", F.lit("é" * 7).alias("t")))[1]
+    assert not joins.broadcast_if_small(spark.range(126))[1]
+    assert joins.broadcast_if_small(short.filter("id < 0"))[1]
