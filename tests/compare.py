@@ -38,5 +38,6 @@ def difference(spark_df, con, sql: str) -> str | None:
         return f"columns {sorted(spark_df.columns)} against {sorted(oracle_columns)}"
     if ours != oracle:
         extra, missing = list((ours - oracle).items())[:3], list((oracle - ours).items())[:3]
-        return f"{ours.total()} rows against {oracle.total()}; only ours {extra}; only SQL {missing}"
+        counts = f"{ours.total()} rows against {oracle.total()}"
+        return f"{counts}; only ours {extra}; only SQL {missing}"
     return None
