@@ -3,9 +3,9 @@
 Prices have two decimals and so have discount percentages, so the revenue of a line is a whole
 number of millionths, and many sums end exactly in half a cent. Binary floats would decide their
 rounding by noise; wide decimals are exact but cost an object per row. A line is therefore a
-bigint of millionths. To be summed it is split into whole units and the rest, so that no total
-below nine quintillion units overflows; a line of more than nine trillion raises under ANSI mode.
-Totals are decimals, and only the rounded result is a double.
+bigint of millionths; one of nine trillion units or more raises an error. To be summed it is split
+into whole units and the rest, so that no total below nine quintillion units overflows. Totals are
+decimals, and only the rounded result is a double.
 """
 
 from __future__ import annotations
@@ -13,10 +13,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Two-decimal numbers up to 10^13 keep their hundredths exactly through a double.
+_PRICE, _DISCOUNT = "CAST(unit_price AS DOUBLE)", "CAST(discount_percent AS DOUBLE)"
+# Two-decimal numbers up to 10^13 keep their hundredths exactly through a double. The check of the
+# size does not leave an overflow to ANSI mode, which a session may have switched off.
 MILLIONTHS = (
-    "quantity * CAST(rint(CAST(unit_price AS DOUBLE) * 100) AS BIGINT)"
-    " * (10000 - CAST(rint(CAST(discount_percent AS DOUBLE) * 100) AS BIGINT))"
+    f"CASE WHEN abs(CAST(quantity AS DOUBLE) * {_PRICE} * (100 - {_DISCOUNT})) >= 9e14"
+    " THEN CAST(raise_error('overflow in the revenue of a line') AS BIGINT)"
+    f" ELSE quantity * CAST(rint({_PRICE} * 100) AS BIGINT)"
+    f" * (10000 - CAST(rint({_DISCOUNT} * 100) AS BIGINT)) END"
 )
 
 

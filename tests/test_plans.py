@@ -93,10 +93,22 @@ def test_totals_beyond_bigint_millionths(spark):
     assert wide.agg(money.total_revenue()).first()[0] == 9 * 10**18 + Decimal("999.999")
 
 
-def test_a_line_too_large_raises(spark):
-    items = spark.sql("SELECT 2000000000 AS quantity, 99999999.99D AS unit_price, 0D AS discount_percent")
-    with pytest.raises(Exception, match="(?i)overflow"):
-        items.select(money.line_revenue()).collect()
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("sign", ["", "-"])
+def test_a_line_too_large_raises(spark, ansi, sign):
+    items = spark.range(1).selectExpr(
+        f"{sign}2000000000 AS quantity", "99999999.99D AS unit_price", "0D AS discount_percent"
+    )
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for query in (
+            items.select(money.line_revenue()),
+            money.with_amounts(items).agg(money.total_revenue()),
+        ):
+            with pytest.raises(Exception, match="overflow in the revenue"):
+                query.collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_half_cents_round_away_from_zero(spark):
