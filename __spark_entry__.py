@@ -7,6 +7,8 @@ All queries run over the whole tables of the given directory, through the adapte
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,16 @@ PERIOD = ("2000-03-01", "2000-03-31")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _optional(name: str):
+    """A module that may have been taken out of the library; one that is there must import."""
+    package = name.rpartition(".")[0]
+    there = (not package or find_spec(package)) and find_spec(name)
+    return import_module(name) if there else None
+
+
+LLM, PIPELINE = _optional("ordermill.llm.entries"), _optional("corpus_pipeline")
+
+
 def _portable(df: DataFrame) -> DataFrame:
     """Dates as text and decimals as doubles, so that engines need not agree on those types."""
     changed = {}
@@ -109,6 +121,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = dict(_order_queries())
+    if LLM:
+        found |= LLM.QUERIES
+    if LLM and PIPELINE:
+        found["pipeline"] = PIPELINE.run
+    return found
+
+
+def _order_queries() -> dict[str, Query]:
     return {
         "q01_category_revenue": _clean(sales.category_revenue),
         "q02_top_customers": _clean(sales.top_customers),
@@ -176,4 +197,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    found = dict(ORACLE_SQL)
+    if LLM:
+        found |= LLM.ORACLE_SQL
+    if LLM and PIPELINE and PIPELINE.ORACLE_SQL:
+        found["pipeline"] = PIPELINE.ORACLE_SQL
+    return found
