@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, token_files
+from ordermill.llm import bpe, jaccard_join, token_files
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,14 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), digests=_sha256)
     return coded.selectExpr("doc_id", "n_tokens", "ids_text AS ids_sha256", "decoded AS decoded_sha256")
 
 
-QUERIES: dict[str, Query] = {"op2_token_files": op2_token_files, "op5_bpe": op5_bpe}
+QUERIES: dict[str, Query] = {"op2_token_files": op2_token_files, "op3_jaccard_join": op3_jaccard_join, "op5_bpe": op5_bpe}
 ORACLE_SQL: dict[str, str] = {}
