@@ -7,16 +7,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, jaccard_join, token_files
+from ordermill.llm import bpe, jaccard_join, lm_score, quality, token_files, toxicity
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUALITY_KEPT = 0.3
+
 
 def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.selectExpr("*", f"CAST(score >= {QUALITY_KEPT} AS INT) AS predicted")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files_round_trip(table(spark, sf_dir, "documents"))
 
@@ -30,5 +37,24 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.selectExpr("doc_id", "n_tokens", "ids_text AS ids_sha256", "decoded AS decoded_sha256")
 
 
-QUERIES: dict[str, Query] = {"op2_token_files": op2_token_files, "op3_jaccard_join": op3_jaccard_join, "op5_bpe": op5_bpe}
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents that labels mark as good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    spans = "array_join(transform(spans, s -> concat(s.start, ':', s.end)), ',') AS spans"
+    return scores.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", spans)
+
+
+QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_token_files": op2_token_files,
+    "op3_jaccard_join": op3_jaccard_join,
+    "op5_bpe": op5_bpe,
+    "op8_lm_score": op8_lm_score,
+    "op10_toxicity": op10_toxicity,
+}
 ORACLE_SQL: dict[str, str] = {}
