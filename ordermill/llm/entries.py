@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import bpe, jaccard_join, lm_score, quality, token_files, toxicity
+from ordermill.llm import ann, bpe, jaccard_join, lm_score, quality, token_files, toxicity
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     spans = "array_join(transform(spans, s -> concat(s.start, ':', s.end)), ',') AS spans"
@@ -55,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op5_bpe": op5_bpe,
     "op8_lm_score": op8_lm_score,
+    "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
