@@ -16,23 +16,26 @@ row for one attempt only, so files of lost or repeated attempts are never listed
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ordermill.llm import files
-from ordermill.llm.bpe import WORD_BPE, ChunkMemo
-from ordermill.llm.common import slices, texts_of
+from ordermill.llm.bpe import WORD_BPE
+from ordermill.llm.common import slices
 from ordermill.operators.storage import scratch_path
 
 END_ID = 2
+SLICE, ROWS = 24 << 20, 500
 PART_SCHEMA = "part int, n_docs bigint, n_tokens bigint, width int, name string"
 SPAN_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -43,26 +46,97 @@ def id_width(path: str) -> int:
     return 2 if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
 
+class WordIds:
+    """Ids of chunks between ASCII white space, with the library.
+
+    Chunks of ASCII and Latin letters are split into the words that the vocabulary's pattern gives,
+    each of which ends in a token that only ends words; so many new words go to the library as one
+    text and its ids are cut at those ends. Other chunks go there as they are. Words are kept
+    up to a bounded number.
+    """
+
+    KEPT, AT_ONCE = 400_000, 64
+    # Letters up to U+024F; the pattern itself is the vocabulary's, fixed by its file.
+    _LETTERS = "".join(c for c in map(chr, range(0x80, 0x250)) if c.isalpha() and c != "\u0130")
+    _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{_LETTERS}]+|[0-9]|[^ A-Za-z0-9{_LETTERS}]+")
+    _PLAIN = re.compile(rf"[!-~{_LETTERS}]+")
+
+    def __init__(self, path: str, width: int):
+        self._library = Tokenizer.from_file(path)
+        self._library.no_truncation()
+        self._library.no_padding()
+        self._kind, self._kept = f"<u{width}", {}
+        vocabulary = self._library.get_vocab(with_added_tokens=True)
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self._library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self._kind) for x in found]
+
+    def _learn(self, words: list[str]) -> None:
+        groups = [words[i : i + self.AT_ONCE] for i in range(0, len(words), self.AT_ONCE)]
+        for group, ids in zip(groups, self._encode([" ".join(g) for g in groups])):
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) != len(group):  # never seen; then each word by itself
+                self._kept.update(zip(group, (x.tobytes() for x in self._encode(group))))
+                continue
+            data, size, at = ids.tobytes(), ids.itemsize, 0
+            for word, end in zip(group, ends.tolist()):
+                self._kept[word] = data[at * size : end * size]
+                at = end
+
+    def __call__(self, chunks: list[str]) -> list[bytes]:
+        kept, plain = self._kept, self._PLAIN.fullmatch
+        if len(kept) > self.KEPT:
+            kept.clear()
+        split = [self._WORDS.findall(c.lower()) if plain(c) and "<|" not in c else None for c in chunks]
+        self._learn(list({w for words in split if words for w in words if w not in kept}))
+        odd = [c for c, words in zip(chunks, split) if words is None]
+        others = iter([x.tobytes() for x in self._encode(odd)])
+        return [
+            next(others) if words is None else kept[words[0]] if len(words) == 1 else b"".join([kept[w] for w in words])
+            for words in split
+        ]
+
+
 def packed_ids(path: str, end_id: int, width: int) -> Callable:
-    """Arrow batches of doc_id and text to doc_id and the bytes of the ids, end id included."""
+    """Arrow batches of doc_id and text to doc_id and the bytes of the ids, end id included.
+
+    The words of a slice are numbered by Arrow, each distinct one is encoded once, and numpy
+    puts the ids of all words in their places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to give out
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        kind = f"<u{width}"
+        encode, kind = WordIds(path, width), f"<u{width}"
         end = np.array([end_id], kind).tobytes()
-
-        def encode(chunks: list[bytes]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-            return [np.array(x.ids, kind).tobytes() for x in found]
-
-        memo = ChunkMemo(encode)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [b"".join(values) + end for values in memo.values(texts_of(part))]
-                yield pa.record_batch([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for part in slices(batch, "text", SLICE):
+                texts = pc.fill_null(part.column("text"), "")
+                if not pc.any(pc.match_substring(texts, "<|")).as_py():
+                    texts = pc.ascii_lower(texts)  # special tokens are the only case that counts
+                split = pc.ascii_split_whitespace(texts)
+                words = split.flatten().dictionary_encode()
+                values = [*encode(words.dictionary.to_pylist()), end]
+                sizes = np.array([len(v) // width for v in values], np.int64)
+                places, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(values), kind)
+                stops = split.offsets.to_numpy() - split.offsets[0].as_py()
+                numbers = np.insert(words.indices.to_numpy(), stops[1:], len(values) - 1)
+                stops = stops + np.arange(len(stops))
+                for first in range(0, part.num_rows, ROWS):
+                    some = stops[first : first + ROWS + 1]
+                    own = numbers[some[0] : some[-1]]
+                    each = sizes[own]
+                    after = np.cumsum(each)
+                    ids = flat[np.repeat(places[own] - (after - each), each) + np.arange(after[-1])]
+                    bounds = np.concatenate([[0], after[some[1:] - some[0] - 1]]) * width
+                    data = pa.Array.from_buffers(
+                        pa.large_binary(), len(some) - 1, [None, pa.py_buffer(bounds.astype("<i8").tobytes()), pa.py_buffer(ids.tobytes())]
+                    )
+                    yield pa.record_batch(
+                        [part.column("doc_id").slice(first, len(some) - 1), data.cast(pa.binary())], names=["doc_id", "ids"]
+                    )
 
     return run
 
