@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import ann, bpe, jaccard_join, lm_score, quality, token_files, toxicity
+from ordermill.llm import ann, bpe, jaccard_join, lm_score, passages, quality, token_files, toxicity
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.selectExpr("doc_id", "n_tokens", "ids_text AS ids_sha256", "decoded AS decoded_sha256")
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents that labels mark as good."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op2_token_files": op2_token_files,
     "op3_jaccard_join": op3_jaccard_join,
     "op5_bpe": op5_bpe,
+    "op7_passages": op7_passages,
     "op8_lm_score": op8_lm_score,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
