@@ -15,9 +15,9 @@ sum against the upper corner of an R-tree node, for all points below it.
 4. Each document of a group sends its shingle set there once. Pairs that the tree leaves over are
    verified, except between documents that verified links connect already.
 
-Blocks and groups of any size are split: first every row is compared with the smallest id, the hub;
-rows near it need not be compared with each other, as the hub connects them. The others, the far
-rows, are cut into chunks and meet every chunk of the block, each pair of chunks as a task's cell.
+Blocks and groups beyond a cell's size are split: first every row is compared with the smallest id,
+the hub; rows near it need not be compared with each other, as the hub connects them. The others, the
+far rows, are cut into chunks and meet every chunk of the block, each pair of chunks as a cell.
 """
 
 from __future__ import annotations
@@ -36,9 +36,9 @@ from ordermill.llm.shingles import WordHashes, shingle_set
 from ordermill.operators.joins import BROADCAST_BYTES
 
 GROUPS, FANOUT = 128, 32
-CELL_ROWS, CELL_SHINGLES = 4_096, 2_000_000
+CELL_ROWS, CELL_SHINGLES = 4_096, 5_000_000
 SAMPLE_DOCS, FREQUENT = 20_000, 100_000
-_FULL = 65_535  # a coordinate that stands for any larger one
+_FULL = 255  # a coordinate that stands for any larger one
 
 SIGNED = "doc_id bigint, n int, digest binary, point binary, keys array<bigint>"
 
@@ -62,11 +62,11 @@ class Similarity:
 
 def point_of(shingles: np.ndarray) -> bytes:
     counts = np.bincount((shingles >> np.uint64(32)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return np.minimum(counts, _FULL).astype("<u2").tobytes()
+    return np.minimum(counts, _FULL).astype(np.uint8).tobytes()
 
 
 def points_of(column: list[bytes]) -> np.ndarray:
-    points = np.frombuffer(b"".join(column), "<u2").reshape(-1, GROUPS).astype(np.int32)
+    points = np.frombuffer(b"".join(column), np.uint8).reshape(-1, GROUPS).astype(np.int32)
     points[points == _FULL] = 1 << 24
     return points
 
@@ -262,18 +262,30 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def block_edges(
-    rows: DataFrame, hubs: DataFrame, weight: str, limit: int, similarity: Similarity, stored: Stored
-) -> DataFrame:
+def _sized(df: DataFrame) -> DataFrame:
+    """Broadcast a narrow table of a checked size; Spark shuffles a larger one."""
+    return F.broadcast(df) if df.count() * 64 <= BROADCAST_BYTES else df
+
+
+def block_edges(rows: DataFrame, weight: str, limit: int, similarity: Similarity, stored: Stored) -> DataFrame:
     """Edges (a, b) that connect, in every block, what links within the block connect.
 
-    ``rows`` has block, rep, hub, n, point and perhaps shingles; ``hubs`` the same of hubs, prefixed.
-    A cell holds about twice ``limit`` of ``weight`` at most, or two rows.
+    ``rows`` has block, rep, hub, n, point and perhaps shingles, and is stored. Blocks of up to
+    ``limit`` of ``weight`` are one cell. In the others every row is marked as near its hub or far; a
+    cell holds about twice ``limit`` at most, or two rows.
     """
     kept = [c for c in rows.columns if c != "hub"]
-    # Rows move by rep-independent keys once; the hub side has one row per hub.
-    marked = rows.join(hubs, "hub")
-    schema = ", ".join(f"{n} {t}" for n, t in [(c, marked.schema[c].dataType.simpleString()) for c in [*kept, "hub"]])
+    large = rows.groupBy("block").agg(F.expr(f"sum(CAST({weight} AS BIGINT))").alias("weight")).where(f"weight > {limit}")
+    large = _sized(stored.put(large.select("block"), "large"))
+    cells = rows.join(large, "block", "left_anti").select(
+        *kept, F.lit(False).alias("near"), F.lit(-1).alias("chunk"), F.lit(-1).alias("f"), F.lit(-1).alias("c")
+    )
+    split = rows.join(large, "block", "left_semi")
+    light = [c for c in kept if c != "block"]
+    hubs = rows.where("rep = hub").join(split.select("hub").distinct(), "hub", "left_semi")
+    hubs = hubs.select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in light)).dropDuplicates(["hub"])
+    marked = split.join(hubs, "hub")
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in [*kept, "hub"])
     order = [*kept, "hub", *[c for c in hubs.columns if c != "hub"]]
     marked = stored.put(marked.select(order).mapInArrow(_marker(similarity), f"{schema}, near boolean"), "marked")
     close = marked.where("near AND rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
@@ -286,27 +298,22 @@ def block_edges(
         )
         .where("far_rows > 0")
         .selectExpr(
-            "block",
-            f"far_weight + near_weight <= {limit} AS whole",
-            f"CAST(ceil(far_weight / {limit}) AS INT) AS fs",
-            f"CAST(ceil(near_weight / {limit}) AS INT) AS ns",
+            "block", f"CAST(ceil(far_weight / {limit}) AS INT) AS fs", f"CAST(ceil(near_weight / {limit}) AS INT) AS ns"
         )
     )
     chunk = "CASE WHEN near THEN fs + pmod(xxhash64(rep), greatest(ns, 1)) ELSE pmod(xxhash64(rep), fs) END"
-    cells = """
-        CASE WHEN whole THEN array(struct(-1 AS f, -1 AS c))
-             WHEN near THEN transform(sequence(0, fs - 1), x -> struct(x AS f, chunk AS c))
+    places = """
+        CASE WHEN near THEN transform(sequence(0, fs - 1), x -> struct(x AS f, chunk AS c))
              ELSE array_distinct(concat(
                  transform(sequence(0, fs + ns - 1), x -> struct(chunk AS f, x AS c)),
                  transform(sequence(0, fs - 1), x -> struct(x AS f, chunk AS c)))) END"""
-    dealt = (
-        marked.drop("hub").join(stats, "block")
+    parts = (
+        marked.drop("hub").join(_sized(stats), "block")
         .withColumn("chunk", F.expr(f"CAST({chunk} AS INT)"))
-        .withColumn("cell", F.explode(F.expr(cells)))
+        .withColumn("cell", F.explode(F.expr(places)))
         .select(*kept, "near", "chunk", "cell.f", "cell.c")
-        .repartition("block", "f", "c")
-        .sortWithinPartitions("block", "f", "c", "rep")
     )
+    dealt = cells.union(parts).repartition("block", "f", "c").sortWithinPartitions("block", "f", "c", "rep")
     return close.union(dealt.mapInArrow(_cell_worker(similarity), "a bigint, b bigint"))
 
 
@@ -317,9 +324,10 @@ def _shingle_sets(shingle: int) -> Callable:
             for part in slices(batch, "text"):
                 sets = [shingle_set(text, shingle, hashes) for text in texts_of(part)]
                 yield pa.record_batch(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array(list(map(point_of, sets)), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["rep", "n", "point", "shingles"],
+                    [part.column("root"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
+                     pa.array(list(map(point_of, sets)), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                     part.column("root")],
+                    names=["block", "rep", "n", "point", "shingles", "hub"],
                 )
 
     return run
@@ -348,27 +356,19 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     # Blocks: one shuffle of the prefixes serves both the count and the join with it.
     keys = reps.select("rep", F.explode("keys").alias("block")).repartition("block")
     shared = keys.groupBy("block").agg(F.count("*").alias("rows"), F.min("rep").alias("hub")).where("rows > 1")
-    shared = stored.put(keys.join(shared.drop("rows"), "block"), "shared")
-    light = reps.select("rep", "n", "point")
-    rows = shared.join(light, "rep").select("block", "rep", "n", "point", "hub")
-    hubs = light.join(shared.select(F.col("hub").alias("rep")).distinct(), "rep", "left_semi")
-    hubs = hubs.selectExpr("rep AS hub", "n AS hub_n", "point AS hub_point")
-    bounds = block_edges(rows, hubs, "1", CELL_ROWS, similarity, stored)
+    shared = keys.join(shared.drop("rows"), "block")
+    rows = shared.join(reps.select("rep", "n", "point"), "rep").select("block", "rep", "n", "point", "hub")
+    bounds = block_edges(stored.put(rows, "blocks"), "1", CELL_ROWS, similarity, stored)
     groups = components(bounds.distinct(), stored)
     groups = stored.put(groups.union(groups.select(F.col("root").alias("node"), "root").distinct()), "groups")
 
-    # Groups: the sets of their documents, computed again from the texts.
-    wanted = groups.select(F.col("node").alias("doc_id"))
-    if wanted.count() * 64 <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    sets = given.join(wanted, "doc_id", "left_semi").mapInArrow(
-        _shingle_sets(shingle), "rep bigint, n int, point binary, shingles binary"
+    # Groups: the sets of their documents, computed again from the texts where they lie.
+    wanted = _sized(groups.select(F.col("node").alias("doc_id"), "root"))
+    members_of = given.join(wanted, "doc_id")
+    sets = members_of.mapInArrow(
+        _shingle_sets(shingle), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint"
     )
-    sets = sets.dropDuplicates(["rep", "n", "point"])
-    rows = sets.join(groups.selectExpr("node AS rep", "root AS block", "root AS hub"), "rep")
-    rows = stored.put(rows.select("block", "rep", "n", "point", "shingles", "hub"), "sets")
-    hubs = rows.where("rep = hub").selectExpr("hub", "n AS hub_n", "point AS hub_point", "shingles AS hub_shingles")
-    links = block_edges(rows, hubs, "n", CELL_SHINGLES, similarity, stored)
+    links = block_edges(stored.put(sets, "sets"), "n", CELL_SHINGLES, similarity, stored)
     roots = components(links, stored)
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
