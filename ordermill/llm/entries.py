@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordermill.llm import ann, bpe, jaccard_join, lm_score, passages, quality, token_files, toxicity
+from ordermill.llm import ann, bpe, decontaminate, jaccard_join, lm_score, passages, quality, token_files, toxicity
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode_documents(table(spark, sf_dir, "documents"), digests=_sha256)
     return coded.selectExpr("doc_id", "n_tokens", "ids_text AS ids_sha256", "decoded AS decoded_sha256")
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_token_files": op2_token_files,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op7_passages": op7_passages,
     "op8_lm_score": op8_lm_score,
