@@ -3,8 +3,8 @@
 Test items are the documents of the index, training passages its queries. A posting holds the share
 that a term contributes to the item's own score, so a score of 1 is the whole item and one
 threshold serves items of all lengths. Postings lie in blocks with their largest share. A passage
-whose terms cannot add up to the threshold even by their largest shares is not looked up at all; the
-others walk the postings, skipping blocks that cannot reach it. All items above the threshold come
+whose terms cannot add up to the threshold by their largest shares in any block of items is not looked up;
+the others walk the postings, skipping blocks that cannot reach it. All items above the threshold come
 back, and each is verified: the shingles of its question and of its answer must stand in the passage.
 
 The index is broadcast in parts of at most ``INDEX_WORDS`` words, each of which all passages ask, so a
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import math
 import re
+import string
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -27,8 +29,9 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.common import slices
 
-SHINGLE, OVERLAP, THRESHOLD = 5, 0.8, 0.4
+SHINGLE, OVERLAP, THRESHOLD = 5, 0.8, 0.6
 PASSAGE, BLOCK, INDEX_WORDS = 128, 32, 2_000_000
+ITEM_BLOCK, TABLE = 4, 1 << 24
 K1, B, COMMON_SHARE = 1.2, 0.75, 0.05
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -37,7 +40,10 @@ FOUND = "doc_id bigint, item_id bigint, score double, question_overlap double, a
 
 def term(word: str) -> str:
     """A word in lower case without the marks around it; nothing for a word of marks alone."""
-    return _EDGE.sub("", word.lower())
+    word = word.lower()
+    if word.isalpha():
+        return word
+    return word.strip(string.punctuation) if word.isascii() and word.isprintable() else _EDGE.sub("", word)
 
 
 def terms(text: str) -> list[str]:
@@ -79,18 +85,31 @@ class ItemIndex:
         self.tops = [[max(s[k : k + BLOCK]) for k in range(0, len(s), BLOCK)] for s in self.shares]
         self.top = np.array([*(max(s) for s in self.shares), 0.0])
         self.common = np.array([*(len(p) > COMMON_SHARE * len(items) for p in postings), False])
-        self.common_top = float(self.top[self.common].sum())
+        # Largest share of a term within each block of items, for the bound of whole passages.
+        size = max(ITEM_BLOCK, -(-len(self.numbers) * len(items) // TABLE))
+        self.table = np.zeros((len(self.numbers), -(-len(items) // size)), np.float32)
+        for t, (own, shares) in enumerate(zip(self.items, self.shares)):
+            np.maximum.at(self.table[t], np.array(own) // size, np.array(shares, np.float32))
+        self._top, self._common = self.top.tolist(), self.common.tolist()
+        # Common terms together give an item no more than the largest such sum of any item.
+        sums = np.zeros(len(items))
+        for t in np.flatnonzero(self.common):
+            sums[self.items[t]] += self.shares[t]
+        self.common_top = float(sums.max(initial=0.0)) + 1e-9
 
     def above(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
         """Items whose score for these distinct terms reaches the threshold; block-max WAND."""
         cursors = [[self.items[t][0], 0, t] for t in query]
-        found, top = [], self.top
+        found, top, common, most = [], self._top, self._common, self.common_top
         while cursors:
             cursors.sort()
-            bound, pivot = 0.0, -1
+            rare, often, pivot = 0.0, 0.0, -1
             for k, (_, _, t) in enumerate(cursors):
-                bound += top[t]
-                if bound >= threshold:
+                if common[t]:
+                    often += top[t]
+                else:
+                    rare += top[t]
+                if rare + min(often, most) >= threshold:
                     pivot = k
                     break
             if pivot < 0:
@@ -99,16 +118,20 @@ class ItemIndex:
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
             # The blocks that hold the item, or would, bound what it and its neighbours can score.
-            bound, beyond = 0.0, cursors[pivot + 1][0] if pivot + 1 < len(cursors) else len(self.ids)
+            rare, often = 0.0, 0.0
+            beyond = cursors[pivot + 1][0] if pivot + 1 < len(cursors) else len(self.ids)
             for _, at, t in cursors[: pivot + 1]:
                 items = self.items[t]
                 block = at // BLOCK
                 while (block + 1) * BLOCK < len(items) and items[(block + 1) * BLOCK - 1] < item:
                     block += 1
                 if items[min((block + 1) * BLOCK, len(items)) - 1] >= item:
-                    bound += self.tops[t][block]
+                    if common[t]:
+                        often += self.tops[t][block]
+                    else:
+                        rare += self.tops[t][block]
                     beyond = min(beyond, items[min((block + 1) * BLOCK, len(items)) - 1] + 1)
-            if bound < threshold:
+            if rare + min(often, most) < threshold:
                 self._advance(cursors, pivot, max(beyond, item + 1))
             elif cursors[0][0] == item:
                 score = sum(self.shares[t][at] for i, at, t in cursors[: pivot + 1] if i == item)
@@ -124,8 +147,7 @@ class ItemIndex:
         for cursor in cursors[: pivot + 1]:
             _, at, t = cursor
             items = self.items[t]
-            while at < len(items) and items[at] < item:
-                at += 1
+            at = bisect_left(items, item, at)
             cursor[0], cursor[1] = (items[at] if at < len(items) else len(self.ids)), at
         cursors[:] = [c for c in cursors if c[1] < len(self.items[c[2]])]
 
@@ -144,26 +166,54 @@ class ItemIndex:
         return shares[0], shares[1]
 
 
-def findings(index: ItemIndex, sequence: np.ndarray, threshold: float, overlap: float, shingle: int) -> dict:
-    """Verified items of a text given as term numbers; the last number stands for foreign terms."""
-    best: dict[int, tuple[float, float, float]] = {}
-    length = max(PASSAGE, 2 * index.longest)
-    stride = length // 2
-    top, foreign = index.top[sequence], len(index.numbers)
-    common = index.common[sequence]
-    rare_sum = np.concatenate([[0.0], np.cumsum(np.where(common, 0.0, top))])
-    common_sum = np.concatenate([[0.0], np.cumsum(np.where(common, top, 0.0))])
-    starts = np.arange(0, max(1, len(sequence) - stride), stride)
-    ends = np.minimum(starts + length, len(sequence))
-    bound = rare_sum[ends] - rare_sum[starts] + np.minimum(common_sum[ends] - common_sum[starts], index.common_top)
-    for k in np.flatnonzero(bound >= threshold - 1e-9):
-        passage = sequence[starts[k] : ends[k]].tolist()
-        query = sorted(set(passage) - {foreign})
-        for item, score in index.above(query, threshold):
+def passages(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts one after another: each passage's text, start and end. They overlap by half."""
+    stride = size // 2
+    counts = np.maximum(1, -(-lengths // stride) - 1)
+    text = np.repeat(np.arange(len(lengths)), counts)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    begin = np.cumsum(lengths) - lengths
+    start = begin[text] + nth * stride
+    return text, start, np.minimum(start + size, begin[text] + lengths[text])
+
+
+def promising(index: ItemIndex, sequence: np.ndarray, start: np.ndarray, end: np.ndarray, threshold: float) -> np.ndarray:
+    """The passages whose distinct terms can reach the threshold in some block of items."""
+    known = np.flatnonzero(sequence < len(index.numbers))
+    first, last = np.searchsorted(known, start), np.searchsorted(known, end)
+    sizes = last - first
+    if not sizes.sum():
+        return np.empty(0, np.int64)
+    place = np.arange(sizes.sum()) + np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
+    pairs = np.repeat(np.arange(len(start)), sizes) * len(index.numbers) + sequence[known[place]]
+    pairs.sort()
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+    owner, number = np.divmod(pairs, len(index.numbers))
+    found = []
+    cuts = np.flatnonzero(np.diff(owner, prepend=-1))
+    step = max(1, TABLE // 8 // index.table.shape[1] // 64)
+    for k in range(0, len(cuts), step):
+        some = cuts[k : k + step]
+        stop = cuts[k + step] if k + step < len(cuts) else len(pairs)
+        bound = np.add.reduceat(index.table[number[some[0] : stop]], some - some[0], axis=0).max(axis=1)
+        found.append(owner[some[bound >= threshold - 1e-4]])
+    return np.concatenate(found)
+
+
+def findings(
+    index: ItemIndex, sequence: np.ndarray, lengths: np.ndarray, threshold: float, overlap: float, shingle: int
+) -> dict[tuple[int, int], tuple[float, float, float]]:
+    """Verified (text, item) of texts given as term numbers; the last number stands for foreign terms."""
+    best: dict[tuple[int, int], tuple[float, float, float]] = {}
+    text, start, end = passages(lengths, max(PASSAGE, 2 * index.longest))
+    foreign = len(index.numbers)
+    for k in promising(index, sequence, start, end, threshold).tolist():
+        passage = sequence[start[k] : end[k]].tolist()
+        for item, score in index.above(sorted(set(passage) - {foreign}), threshold):
             question, answer = index.overlaps(item, passage, shingle)
             if min(question, answer) >= overlap:
-                found = (score, question, answer)
-                best[item] = max(best.get(item, found), found)
+                at, found = (int(text[k]), item), (score, question, answer)
+                best[at] = max(best.get(at, found), found)
     return best
 
 
@@ -187,14 +237,19 @@ def _ask(index, threshold: float, overlap: float, shingle: int) -> Callable:
                 number = np.array(kinds or [-1], np.int64)
                 indices = words.indices.to_numpy()
                 offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
-                rows = []
-                for row, doc in enumerate(part.column("doc_id").to_pylist()):
-                    own = indices[offsets[row] : offsets[row + 1]]
-                    sequence = number[own]
-                    if odd and not odd.keys().isdisjoint(own.tolist()):
-                        sequence = np.array([n for k in own.tolist() for n in odd.get(k, [number[k]])], np.int64)
-                    found = findings(items, sequence[sequence >= 0], threshold, overlap, shingle)
-                    rows += [(doc, items.ids[item], *values) for item, values in found.items()]
+                sequence, lengths = number[indices], np.diff(offsets)
+                if odd:
+                    texts = [sequence[a:b] for a, b in zip(offsets, offsets[1:])]
+                    for row, (a, b) in enumerate(zip(offsets, offsets[1:])):
+                        own = indices[a:b].tolist()
+                        if not odd.keys().isdisjoint(own):
+                            texts[row] = np.array([n for k in own for n in odd.get(k, [number[k]])], np.int64)
+                    sequence, lengths = np.concatenate(texts), np.array([len(x) for x in texts])
+                real = sequence >= 0
+                ends = np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], np.cumsum(lengths)])]
+                found = findings(items, sequence[real], np.diff(ends), threshold, overlap, shingle)
+                docs = part.column("doc_id").to_pylist()
+                rows = [(docs[row], items.ids[item], *values) for (row, item), values in found.items()]
                 columns = list(zip(*rows)) if rows else [[]] * 5
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                 yield pa.record_batch(
