@@ -6,8 +6,9 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordermill.llm import ann, bpe, decontaminate, jaccard_join, lm_score, passages, quality, token_files, toxicity
+from ordermill.llm import ann, bpe, decontaminate, jaccard_join, lm_score, passages, pii, quality, token_files, toxicity
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +42,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.selectExpr("doc_id", "n_tokens", "ids_text AS ids_sha256", "decoded AS decoded_sha256")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+    counts = (pii.count_of(kind).alias(f"n_{name}") for kind, name in enumerate(pii.KINDS))
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
@@ -68,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
+    "op6_pii": op6_pii,
     "op7_passages": op7_passages,
     "op8_lm_score": op8_lm_score,
     "op9_ann": op9_ann,
