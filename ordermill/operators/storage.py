@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths given out and not removed yet. Lazy results may still read them.
+_PATHS: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
@@ -26,8 +31,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/ordermill-{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses, removed by ``release``."""
+    path = f"{shared_folder(spark).rstrip('/')}/ordermill-{label}-{uuid.uuid4().hex}"
+    _PATHS.append(path)
+    return path
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -41,7 +48,28 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, first: int = 0) -> None:
+    """Remove the intermediate data given out since place ``first``, all by default.
+
+    Call it when the results that need them have been collected or written.
+    """
+    for path in _PATHS[first:]:
+        delete(spark, path)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What is stored within the block is removed at its end; finish the results in it."""
+    first = len(_PATHS)
+    try:
+        yield
+    finally:
+        release(spark, first)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder of intermediate data, wherever it lies."""
+    if path in _PATHS:
+        _PATHS.remove(path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
