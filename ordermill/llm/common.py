@@ -9,6 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordermill.operators.joins import BROADCAST_BYTES
 from ordermill.operators.storage import delete, scratch_path
 
 SLICE_BYTES = 4 << 20
@@ -41,6 +42,11 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """Broadcast a narrow table of a checked size; a larger one is left to be shuffled."""
+    return F.broadcast(df) if df.count() * 64 <= BROADCAST_BYTES else df
+
+
 class Stored:
     """Intermediate tables of one operator, in the shared folder; ``drop`` removes them."""
 

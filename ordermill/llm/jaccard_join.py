@@ -30,10 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, slices, texts_of
+from ordermill.llm.common import Stored, sized, slices, texts_of
 from ordermill.llm.graph import components
 from ordermill.llm.shingles import WordHashes, shingle_set
-from ordermill.operators.joins import BROADCAST_BYTES
 
 GROUPS, FANOUT = 128, 32
 CELL_ROWS, CELL_SHINGLES = 4_096, 5_000_000
@@ -240,14 +239,14 @@ def _cell_worker(similarity: Similarity) -> Callable:
         cell, at = [], None
         out: list[tuple[int, int]] = []
         for batch in batches:
-            columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
-            for values in zip(*columns.values()):
-                row = dict(zip(columns, values))
-                key = (row["block"], row["f"], row["c"])
-                if key != at:
-                    out += edges(cell) if cell else []
-                    cell, at = [], key
-                cell.append(row)
+            heavy = "shingles" if "shingles" in batch.schema.names else "point"
+            for part in slices(batch, heavy):
+                for row in part.to_pylist():
+                    key = (row["block"], row["f"], row["c"])
+                    if key != at:
+                        out += edges(cell) if cell else []
+                        cell, at = [], key
+                    cell.append(row)
             if len(out) > 50_000:
                 yield _edge_batch(out)
                 out = []
@@ -262,11 +261,6 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """Broadcast a narrow table of a checked size; Spark shuffles a larger one."""
-    return F.broadcast(df) if df.count() * 64 <= BROADCAST_BYTES else df
-
-
 def block_edges(rows: DataFrame, weight: str, limit: int, similarity: Similarity, stored: Stored) -> DataFrame:
     """Edges (a, b) that connect, in every block, what links within the block connect.
 
@@ -276,7 +270,7 @@ def block_edges(rows: DataFrame, weight: str, limit: int, similarity: Similarity
     """
     kept = [c for c in rows.columns if c != "hub"]
     large = rows.groupBy("block").agg(F.expr(f"sum(CAST({weight} AS BIGINT))").alias("weight")).where(f"weight > {limit}")
-    large = _sized(stored.put(large.select("block"), "large"))
+    large = sized(stored.put(large.select("block"), "large"))
     cells = rows.join(large, "block", "left_anti").select(
         *kept, F.lit(False).alias("near"), F.lit(-1).alias("chunk"), F.lit(-1).alias("f"), F.lit(-1).alias("c")
     )
@@ -308,7 +302,7 @@ def block_edges(rows: DataFrame, weight: str, limit: int, similarity: Similarity
                  transform(sequence(0, fs + ns - 1), x -> struct(chunk AS f, x AS c)),
                  transform(sequence(0, fs - 1), x -> struct(x AS f, chunk AS c)))) END"""
     parts = (
-        marked.drop("hub").join(_sized(stats), "block")
+        marked.drop("hub").join(sized(stats), "block")
         .withColumn("chunk", F.expr(f"CAST({chunk} AS INT)"))
         .withColumn("cell", F.explode(F.expr(places)))
         .select(*kept, "near", "chunk", "cell.f", "cell.c")
@@ -333,6 +327,12 @@ def _shingle_sets(shingle: int) -> Callable:
     return run
 
 
+def repeated_ids(rows: DataFrame) -> bool:
+    """Whether some doc_id stands in several rows."""
+    count, distinct = rows.agg(F.count("doc_id"), F.count_distinct("doc_id")).head()
+    return count > distinct
+
+
 def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
@@ -350,8 +350,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     )
     members = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored.put(members.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = members.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    reps = reps.dropDuplicates(["doc_id", "digest"]).withColumnRenamed("doc_id", "rep")
+    reps = members.join(sized(classes.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    if repeated_ids(members):
+        reps = reps.dropDuplicates(["doc_id", "digest"])
+    reps = reps.withColumnRenamed("doc_id", "rep")
 
     # Blocks: one shuffle of the prefixes serves both the count and the join with it.
     keys = reps.select("rep", F.explode("keys").alias("block")).repartition("block")
@@ -363,7 +365,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     groups = stored.put(groups.union(groups.select(F.col("root").alias("node"), "root").distinct()), "groups")
 
     # Groups: the sets of their documents, computed again from the texts where they lie.
-    wanted = _sized(groups.select(F.col("node").alias("doc_id"), "root"))
+    wanted = sized(groups.select(F.col("node").alias("doc_id"), "root"))
     members_of = given.join(wanted, "doc_id")
     sets = members_of.mapInArrow(
         _shingle_sets(shingle), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint"

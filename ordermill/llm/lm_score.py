@@ -19,8 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import slices
-from ordermill.operators.joins import BROADCAST_BYTES
+from ordermill.llm.common import sized, slices
 
 SYMBOLS, ORDER = 40, 4
 UNKNOWN, BOUNDARY = 0, 1
@@ -153,7 +152,5 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
 
 
 def _with_flag(given: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``given`` with the column target; ids of a checked size are broadcast, others joined by a shuffle."""
-    if chosen.count() * 64 <= BROADCAST_BYTES:
-        chosen = F.broadcast(chosen)
-    return given.join(chosen, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    """``given`` with the column target."""
+    return given.join(sized(chosen), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
