@@ -47,10 +47,11 @@ def keep_off_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; n_chars follows the new text."""
-    found = pii.find(docs, pii.train(docs)).withColumn("text", pii.redacted(F.col("text"), "spans"))
+    found = pii.find(docs, pii.train(docs), "__base", "__spans")
+    found = found.withColumn("text", pii.redacted(F.col("text"), "__spans"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = F.when(F.size("spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        changed = F.when(F.size("__spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", changed)
     return found.select(*docs.columns)
 
