@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from importlib import import_module
 from importlib.util import find_spec
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import stamp_text
 from ordermill.operators.joins import Tables
-from ordermill.operators.storage import scratch_path
+from ordermill.operators.storage import scratch_path, store
 from ordermill.plans import anomalies, cleaning, cohort, customers, quality, report, sales
 from ordermill.sources import testdata
 from ordermill.sources.lazy import LazyTables
@@ -25,6 +26,7 @@ from oracle_queries import ORACLE_SQL
 
 # The amounts and gaps of the test tables are far above the defaults of the library.
 AS_OF = "2001-08-01"
+MOMENT = "2001-07-31 12:00:00"
 BANDS = {"low": 3_500_000, "high": 6_500_000}
 RISK_DAYS = 200
 PERIOD = ("2000-03-01", "2000-03-31")
@@ -95,13 +97,113 @@ def _csv_round_trip(name: str) -> Callable[[Tables], DataFrame]:
     return run
 
 
+def _raw(tables: Tables) -> dict[str, DataFrame]:
+    return {n: tables[n].select(s.fieldNames()) for n, s in SCHEMAS.items()}
+
+
 def _pipeline_and_load(tables: Tables) -> DataFrame:
     """Raw CSV -> cleaning -> cleaned CSV -> loaded tables, with the rows of each."""
     spark = tables["orders"].sparkSession
     raw, cleaned = scratch_path(spark, "raw"), scratch_path(spark, "cleaned")
-    write_tables({n: tables[n].select(s.fieldNames()) for n, s in SCHEMAS.items()}, raw)
+    write_tables(_raw(tables), raw)
     cleaning.run_pipeline(read_raw(spark, raw), cleaned, fmt="csv")
-    return load_tables(spark, cleaned, schemas=CLEAN_SCHEMAS)
+    prefix = f"pipeline_{uuid4().hex}_"
+    report = load_tables(spark, cleaned, schemas=CLEAN_SCHEMAS, prefix=prefix)
+    for name in SCHEMAS:
+        spark.catalog.dropTempView(prefix + name)
+    return report
+
+
+def _written(name: str, spoil: bool = False) -> Callable[[Tables], DataFrame]:
+    """A table that the pipeline wrote, or with the name ``report`` what it returned."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark = tables["orders"].sparkSession
+        folder, raw = scratch_path(spark, "written"), _raw(tables)
+        if spoil:
+            junk = F.concat(F.lit("on "), "order_date")
+            bad = F.col("order_id") % 50 == 3
+            raw["orders"] = raw["orders"].withColumn(
+                "order_date", F.when(bad, junk).otherwise(F.col("order_date"))
+            )
+        report = cleaning.run_pipeline(raw, folder, on_bad="quarantine" if spoil else "raise")
+        if name == "report":
+            return report.select("check", "n", F.concat_ws(",", "sample").alias("sample"))
+        return spark.read.parquet(f"{folder}/{name}.parquet")
+
+    return run
+
+
+def _loaded(name: str, managed: bool) -> Callable[[Tables], DataFrame]:
+    """The content of a table that was written as CSV and loaded, as a view or a managed table."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark = tables[name].sparkSession
+        folder, prefix = scratch_path(spark, "loading"), f"load_{uuid4().hex}_"
+        write_tables({name: tables[name].select(SCHEMAS[name].fieldNames())}, folder)
+        if not managed:
+            load_tables(spark, folder, [name], prefix=prefix)
+            content = spark.table(prefix + name)
+            spark.catalog.dropTempView(prefix + name)
+            return content
+        load_tables(spark, folder, [name], database="default", buckets=4, prefix=prefix)
+        # The table goes once its content has been read.
+        content = store(spark.table(f"default.{prefix}{name}"), "loaded")
+        spark.sql(f"DROP TABLE default.{prefix}{name}")
+        return content
+
+    return run
+
+
+def _timed(tables: Tables) -> Tables:
+    """Orders at all hours of the day instead of at midnight."""
+    hour = F.make_dt_interval(hours=(F.col("order_id") % 24).cast("int"))
+    return LazyTables(
+        **{name: (lambda name=name: tables[name]) for name in SCHEMAS if name != "orders"},
+        orders=lambda: tables["orders"].withColumn("order_date", F.col("order_date") + hour),
+    )
+
+
+def _late(plan: Callable[[Tables], DataFrame]) -> Query:
+    """A query over dirty tables with times of day, their dates read."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = _timed(testdata.tables(spark, sf_dir))
+        return _portable(plan(_parsed(anomalies.inject_anomalies(tables, extra=True))))
+
+    return run
+
+
+def _fine_prices(tables: Tables) -> DataFrame:
+    """The flagship query over prices and discounts with three decimals."""
+    price = F.col("unit_price") + F.pmod("product_id", F.lit(8)) * 0.125
+    discount = F.col("discount_percent") + F.pmod("order_id", F.lit(4)) * 0.125
+    items = tables["order_items"].withColumns(
+        {"unit_price": F.round(price, 3), "discount_percent": F.round(discount, 3)}
+    )
+    return sales.category_revenue({"order_items": items, "products": tables["products"]})
+
+
+def _shared_orders(tables: Tables) -> DataFrame:
+    """The monthly report where every tenth order is listed under a second customer too."""
+    orders = tables["orders"]
+    second = orders.where("order_id % 10 = 0").withColumn("customer_id", F.col("customer_id") + 1)
+    shared = {"orders": orders.union(second), "order_items": tables["order_items"]}
+    return report.grain_report(shared, "month")
+
+
+def _date_texts(tables: Tables) -> DataFrame:
+    """Order dates written in eight forms and read again."""
+    forms = [
+        "yyyy/MM/dd", "dd MMM yyyy", "MMMM d, yyyy", "d-M-yy", "yyyyMMdd", "dd-MM-yyyy hh:mm:ss a",
+        "yyyy-MM-dd HH:mm:ss'+05:30'", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    ]
+    text = F.lit(None).cast("string")
+    for number, form in enumerate(forms):
+        written = F.date_format("order_date", form)
+        text = F.when(F.col("order_id") % len(forms) == number, written).otherwise(text)
+    parsed = cleaning.parse_mixed_timestamp(text).alias("order_date")
+    return _timed(tables)["orders"].select("order_id", parsed)
 
 
 def _category_revenue_of_cleaned(tables: Tables) -> DataFrame:
@@ -121,7 +223,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = dict(_order_queries())
+    found = dict(order_queries())
     if LLM:
         found |= LLM.QUERIES
     if LLM and PIPELINE:
@@ -129,7 +231,7 @@ def queries() -> dict[str, Query]:
     return found
 
 
-def _order_queries() -> dict[str, Query]:
+def order_queries() -> dict[str, Query]:
     return {
         "q01_category_revenue": _clean(sales.category_revenue),
         "q02_top_customers": _clean(sales.top_customers),
@@ -157,6 +259,16 @@ def _order_queries() -> dict[str, Query]:
         ),
         "c05_abs_quantity": _dirty(lambda t: cleaning.absolute_quantity(t["order_items"])),
         "c06_clean_pipeline": _dirty(_pipeline_and_load, registered=True, regions=True),
+        **{
+            f"c06_written_{n}": _dirty(_written(n), registered=True, regions=True) for n in SCHEMAS
+        },
+        "c06_pipeline_report": _dirty(_written("report"), registered=True, regions=True),
+        "c06_rejected_orders": _dirty(
+            _written("rejected_orders", spoil=True), registered=True, regions=True
+        ),
+        "c06_quarantine_report": _dirty(
+            _written("report", spoil=True), registered=True, regions=True
+        ),
         "c06_category_revenue_of_cleaned": _dirty(_category_revenue_of_cleaned),
         "c06_rejected_customers": _dirty(
             lambda t: cleaning.split_invalid(cleaning.clean_tables(t))[1]["customers"].select(
@@ -174,10 +286,12 @@ def _order_queries() -> dict[str, Query]:
         "d03_zero_quantity": _dirty(
             lambda t: quality.zero_quantities(t).select("item_id", "quantity")
         ),
-        "d04_future_orders": _dirty(
-            lambda t: quality.future_orders(_parsed(t), AS_OF).select("order_id", "order_date")
+        "d04_future_orders": _late(
+            lambda t: quality.future_orders(t, MOMENT).select("order_id", "order_date")
         ),
-        "d05_quality_summary": _dirty(lambda t: quality.quality_summary(_parsed(t), AS_OF)),
+        "d05_quality_summary": _late(lambda t: quality.quality_summary(t, MOMENT)),
+        "f13_date_forms": _clean(_date_texts),
+        "p02_three_decimals": _clean(_fine_prices),
         "r01_period_metrics": _clean(lambda t: report.period_metrics(t, *PERIOD)),
         "r02_previous_period": _clean(lambda t: report.period_comparison(t, *PERIOD)),
         "r03_top_products": _clean(lambda t: report.top_products(t, *PERIOD)),
@@ -185,10 +299,18 @@ def _order_queries() -> dict[str, Query]:
         "r05_day_report": _clean(lambda t: report.grain_report(t, "day")),
         "r05_week_report": _clean(lambda t: report.grain_report(t, "week")),
         "r05_month_report": _clean(lambda t: report.grain_report(t, "month")),
+        "r05_shared_orders": _clean(_shared_orders),
         "s01_csv_customers": _dirty(_csv_round_trip("customers"), registered=True),
         "s01_csv_products": _dirty(_csv_round_trip("products")),
         "s01_csv_orders": _dirty(_csv_round_trip("orders"), regions=True),
         "s01_csv_order_items": _dirty(_csv_round_trip("order_items")),
+        **{
+            f"s03_{'managed' if managed else 'view'}_{n}": _dirty(
+                _loaded(n, managed), registered=n == "customers", regions=n == "orders"
+            )
+            for n in SCHEMAS
+            for managed in (False, True)
+        },
         "x01_dirty_customers": _dirty(lambda t: t["customers"], registered=True),
         "x01_dirty_products": _dirty(lambda t: t["products"]),
         "x01_dirty_orders": _dirty(lambda t: t["orders"], regions=True),

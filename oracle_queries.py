@@ -85,14 +85,14 @@ dirty_orders AS (
 ),
 dirty_items AS (
   SELECT item_id,
-         CASE WHEN product_id % 89 = 6 THEN -1 - order_id ELSE order_id END AS order_id,
+         CASE WHEN slot % 89 = 6 THEN -1 - order_id ELSE order_id END AS order_id,
          product_id,
-         CASE WHEN product_id % 101 = 4 THEN 0 WHEN product_id % 33 = 1 THEN -quantity
+         CASE WHEN slot % 101 = 4 THEN 0 WHEN slot % 33 = 1 THEN -quantity
               ELSE quantity END AS quantity,
          CAST(unit_price AS DOUBLE) AS unit_price,
-         CASE product_id % 97 WHEN 3 THEN 150.0 WHEN 5 THEN -5.0 ELSE discount_percent END
+         CASE slot % 97 WHEN 3 THEN 150.0 WHEN 5 THEN -5.0 ELSE discount_percent END
            AS discount_percent
-  FROM shop_items
+  FROM (SELECT *, CAST('0x' || substr(md5(item_id), 1, 8) AS UBIGINT) AS slot FROM shop_items)
 ),
 tidy_products AS (
   SELECT * REPLACE (array_to_string(list_transform(
@@ -178,6 +178,60 @@ SELECT strftime(b, {_DAY}) AS period_start, n AS total_orders, c AS unique_custo
 FROM pairs""")
 
 
+_TIMED = """
+, timed AS (SELECT order_id, order_date + to_hours(order_id % 24) AS order_date FROM real_dates)
+"""
+
+_SPOILED = """
+, spoiled AS (
+  SELECT *, order_id % 50 = 3 AS junk FROM real_dates WHERE customer_id IS NOT NULL
+)"""
+
+
+def _findings(*more: str) -> str:
+    """The pipeline's report; ``more`` are further rows."""
+    rows = """
+SELECT 'null_customer_orders' AS "check", count(*) AS n, '' AS sample
+FROM real_dates WHERE customer_id IS NULL
+UNION ALL
+SELECT 'orphan_items', count(*), '' FROM dirty_items i
+WHERE NOT EXISTS (SELECT 1 FROM real_dates o
+                  WHERE o.order_id = i.order_id AND o.customer_id IS NOT NULL)
+UNION ALL
+SELECT 'invalid_emails', count(*), (
+         SELECT string_agg(CAST(customer_id AS VARCHAR), ',' ORDER BY customer_id)
+         FROM (SELECT customer_id FROM shop_customers
+               WHERE customer_id % 50 = 0 ORDER BY customer_id LIMIT 3))
+FROM shop_customers WHERE customer_id % 50 = 0"""
+    return _dirty("\nUNION ALL\n".join([rows, *more]))
+
+
+_CLEANED = {
+    "customers": f"""
+SELECT * REPLACE (strftime(registration_date, {_STAMP}) AS registration_date)
+FROM dirty_customers""",
+    "products": "SELECT * FROM tidy_products",
+    "orders": f"""
+SELECT * REPLACE (strftime(order_date, {_STAMP}) AS order_date)
+FROM real_dates WHERE customer_id IS NOT NULL""",
+    "order_items": "SELECT * REPLACE (abs(quantity) AS quantity) FROM dirty_items",
+}
+
+_RAW = {
+    "customers": f"""
+SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_name, email,
+       strftime(registration_date, {_STAMP}) AS registration_date, customer_type
+FROM dirty_customers""",
+    "products": """
+SELECT * REPLACE (CAST(product_id AS VARCHAR) AS product_id) FROM dirty_products""",
+    "orders": """
+SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id,
+                  CAST(customer_id AS VARCHAR) AS customer_id) FROM dirty_orders""",
+    "order_items": """
+SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id,
+                  CAST(product_id AS VARCHAR) AS product_id) FROM dirty_items""",
+}
+
 ORACLE_SQL = {
     "q01_category_revenue": _shop(f"""
 SELECT category, {_money("sum(rev)")} AS total_revenue
@@ -360,9 +414,11 @@ SELECT item_id, discount_percent FROM dirty_items
 WHERE NOT discount_percent BETWEEN 0 AND 100"""),
     "d03_zero_quantity": _dirty("SELECT item_id, quantity FROM dirty_items WHERE quantity = 0"),
     "d04_future_orders": _dirty(f"""
+{_TIMED}
 SELECT order_id, strftime(order_date, {_STAMP}) AS order_date
-FROM real_dates WHERE order_date > TIMESTAMP '2001-08-01'"""),
-    "d05_quality_summary": _dirty("""
+FROM timed WHERE order_date > TIMESTAMP '2001-07-31 12:00:00'"""),
+    "d05_quality_summary": _dirty(f"""
+{_TIMED}
 SELECT 'orphan_items' AS rule,
        count(*) FILTER (order_id NOT IN (SELECT order_id FROM dirty_orders)) AS violations,
        count(*) AS rows_checked FROM dirty_items
@@ -372,8 +428,24 @@ FROM dirty_items
 UNION ALL
 SELECT 'zero_quantity', count(*) FILTER (quantity = 0), count(*) FROM dirty_items
 UNION ALL
-SELECT 'future_orders', count(*) FILTER (order_date > TIMESTAMP '2001-08-01'), count(*)
-FROM real_dates"""),
+SELECT 'future_orders', count(*) FILTER (order_date > TIMESTAMP '2001-07-31 12:00:00'), count(*)
+FROM timed"""),
+    "f13_date_forms": _shop(f"""
+SELECT order_id,
+       strftime(CASE WHEN order_id % 8 < 5 THEN order_date
+                     WHEN order_id % 8 = 6 THEN moment - INTERVAL 330 MINUTE ELSE moment END, {_STAMP})
+         AS order_date
+FROM (SELECT *, order_date + to_hours(order_id % 24) AS moment FROM shop_orders)"""),
+    "p02_three_decimals": _shop(f"""
+SELECT category, {_money("sum(fine)")} AS total_revenue
+FROM (SELECT product_id,
+             CAST(quantity AS DECIMAL(10,0))
+             * (unit_price + CAST(product_id % 8 AS DECIMAL(4,0)) * CAST(0.125 AS DECIMAL(4,3)))
+             * (1 - (CAST(discount_percent AS DECIMAL(5,2))
+                     + CAST(order_id % 4 AS DECIMAL(4,0)) * CAST(0.125 AS DECIMAL(4,3)))
+                    * CAST(0.01 AS DECIMAL(3,2))) AS fine
+      FROM shop_items)
+JOIN shop_products USING (product_id) GROUP BY category"""),
     "r01_period_metrics": _shop(f"""
 SELECT n_orders AS total_orders, n_customers AS unique_customers, revenue AS total_revenue
 FROM ({_period_totals(_START, _END)})"""),
@@ -402,18 +474,40 @@ FROM ({_period_totals(_START, _END)}) a, ({_period_totals(_PREV_START, _PREV_END
     "r05_day_report": _grain("day"),
     "r05_week_report": _grain("week"),
     "r05_month_report": _grain("month"),
-    "s01_csv_customers": _dirty(f"""
-SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_name, email,
-       strftime(registration_date, {_STAMP}) AS registration_date, customer_type
-FROM dirty_customers"""),
-    "s01_csv_products": _dirty("""
-SELECT * REPLACE (CAST(product_id AS VARCHAR) AS product_id) FROM dirty_products"""),
-    "s01_csv_orders": _dirty("""
-SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id,
-                  CAST(customer_id AS VARCHAR) AS customer_id) FROM dirty_orders"""),
-    "s01_csv_order_items": _dirty("""
-SELECT * REPLACE (CAST(order_id AS VARCHAR) AS order_id,
-                  CAST(product_id AS VARCHAR) AS product_id) FROM dirty_items"""),
+    "r05_shared_orders": _shop(f""",
+listed AS (
+  SELECT order_id, customer_id, order_date FROM shop_orders
+  UNION ALL
+  SELECT order_id, customer_id + 1, order_date FROM shop_orders WHERE order_id % 10 = 0
+),
+buckets AS (
+  SELECT CAST(date_trunc('month', order_date) AS DATE) AS b,
+         count(DISTINCT order_id) AS n, count(DISTINCT customer_id) AS c,
+         {_money("sum(rev)")} AS r
+  FROM listed JOIN lines USING (order_id) GROUP BY 1
+),
+pairs AS (
+  SELECT *, lag(n) OVER (ORDER BY b) AS pn, lag(r) OVER (ORDER BY b) AS pr FROM buckets
+)
+SELECT strftime(b, {_DAY}) AS period_start, n AS total_orders, c AS unique_customers,
+       r AS total_revenue, {_change("r", "pr")} AS revenue_change,
+       {_change("n", "pn")} AS orders_change
+FROM pairs"""),
+    **{f"s01_csv_{name}": _dirty(sql) for name, sql in _RAW.items()},
+    **{f"s03_{how}_{name}": _dirty(sql) for name, sql in _RAW.items() for how in ("view", "managed")},
+    **{f"c06_written_{name}": _dirty(sql) for name, sql in _CLEANED.items()},
+    "c06_pipeline_report": _findings(),
+    "c06_rejected_orders": _dirty(f"""{_SPOILED}
+SELECT order_id, customer_id,
+       'on ' || strftime(order_date, {_STAMP}) AS order_date, status, region_code
+FROM spoiled WHERE junk AND order_id % 20 <> 7
+UNION ALL
+SELECT order_id, customer_id, 'on ' || strftime(order_date, '%d-%m-%Y %H:%M:%S'), status, region_code
+FROM spoiled WHERE junk AND order_id % 20 = 7"""),
+    "c06_quarantine_report": _findings(
+        "SELECT 'bad_order_dates', count(*), '' FROM real_dates"
+        " WHERE customer_id IS NOT NULL AND order_id % 50 = 3"
+    ),
     "x01_dirty_customers": _dirty(f"""
 SELECT * REPLACE (strftime(registration_date, {_STAMP}) AS registration_date)
 FROM dirty_customers"""),

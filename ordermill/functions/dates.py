@@ -7,21 +7,78 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DAY_FIRST = r"^\s*(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})"
+DAY_FIRST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})"
+_CLOCK = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
+# Month names, English, in full or by their first three letters.
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+# Hour, minute, second, fraction, half of the day and zone, as groups 4 to 9 after the date's three.
+_TIME = (
+    r"(?:(?:T|\s+)(\d{1,2}):(\d{2})(?::(\d{2})(\.\d{1,6})?\d*)?"
+    r"\s*([aApP][mM])?\s*(Z|z|UTC|GMT|[+-]\d{2}:?\d{2})?)?$"
+)
+_NAME = r"([A-Za-z]{3,9})\.?"
+# What the three groups of a date are, by its form. Where both are numbers, d and m may change places.
+DATE_FORMS = [
+    (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", "ymd"),
+    (r"(\d{4})(\d{2})(\d{2})", "ymd"),
+    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})", "dmy"),
+    (rf"(\d{{1,2}})[-\s]{_NAME}[-,\s]+(\d{{4}})", "dmy"),
+    (rf"{_NAME}\s+(\d{{1,2}}),?\s+(\d{{4}})", "mdy"),
+]
+
+
+def _month(text: Column) -> Column:
+    """The number of a month given in digits or by name; NULL for another word."""
+    place = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(text, 1, 3)))
+    return F.when(text.rlike(r"^\d+$"), text.try_cast("int")).when(place > 0, place.cast("int"))
+
+
+def _day(year: Column, month: Column, day: Column) -> Column:
+    """The date as text, NULL where there is no such day. Years of two digits lie in 1969 to 2068."""
+    number = year.try_cast("int")
+    century = F.when(F.length(year) > 2, 0).when(number < 69, 2000).otherwise(1900)
+    text = F.format_string("%04d-%02d-%02d", number + century, month, day.try_cast("int"))
+    return F.when(text.try_cast("date").isNotNull(), text)
+
+
+def _read(text: Column, form: str, order: str) -> Column:
+    """A text of one form as a timestamp; NULL if its numbers are no date and time."""
+
+    def part(number: int) -> Column:
+        return F.nullif(F.regexp_extract(text, f"^{form}{_TIME}", number), F.lit(""))
+
+    at = {letter: part(i + 1) for i, letter in enumerate(order)}
+    day = _day(at["y"], _month(at["m"]), at["d"])
+    if order == "dmy" and form.count(r"\d{1,2}") == 2:
+        day = F.coalesce(day, _day(at["y"], _month(at["d"]), at["m"]))
+    hour, half, zone = part(4).try_cast("int"), F.lower(part(8)), part(9)
+    hour = F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0))
+    clock = F.format_string(" %02d:%s:%s%s", hour, part(5), F.coalesce(part(6), F.lit("00")), F.coalesce(part(7), F.lit("")))
+    # A text with a time of which the hour is none has no clock, and so no timestamp.
+    moment = F.when(part(4).isNull(), day).otherwise(F.concat(day, F.when(hour.isNotNull(), clock)))
+    moment = moment.try_cast("timestamp_ntz")
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    ahead = F.when(zone.rlike("^[+]"), minutes).when(zone.rlike("^-"), -minutes).otherwise(0)
+    return moment - F.make_dt_interval(mins=ahead)
 
 
 def parse_mixed_timestamp(raw: Column) -> Column:
-    """Read ISO and day-first texts; NULL when a text is neither.
+    """Read the usual forms of dates, with or without a time; NULL when a text is none of them.
 
-    The numeric date is rewritten to ISO order and cast without a zone. ISO values are never
-    swapped. A day-first reading wins; ``05-25-2024``, which has no 25th month, falls back to
-    month-first.
+    ISO, ``2024/03/05``, ``20240305``, ``05-03-2024``, ``5-3-24``, ``05 Mar 2024`` and ``March 5, 2024``, with 24 or
+    12 hours. Forms that begin with the year are never swapped; others are read day first, and month
+    first where that gives no date (``05-25-2024``). A time with a zone is converted to UTC;
+    one without stays as it is. The two forms of the raw tables take the short way.
     """
-    day_first = F.regexp_replace(raw, DAY_FIRST, "$3-$2-$1")
-    month_first = F.regexp_replace(raw, DAY_FIRST, "$3-$1-$2")
-    return F.coalesce(
-        F.trim(day_first).try_cast("timestamp_ntz"), F.trim(month_first).try_cast("timestamp_ntz")
-    )
+    text = F.regexp_replace(raw, r"^\s+|\s+$", "")
+    day_first = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast("timestamp_ntz")
+    month_first = F.regexp_replace(text, DAY_FIRST, "$3-$1-$2").try_cast("timestamp_ntz")
+    found = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}" + _CLOCK), text.try_cast("timestamp_ntz"))
+    found = found.when(text.rlike(DAY_FIRST + _CLOCK), F.coalesce(day_first, month_first))
+    for form, order in DATE_FORMS:
+        found = found.when(text.rlike(f"^{form}{_TIME}"), _read(text, form, order))
+    return found
 
 
 def stamp_text(ts: Column) -> Column:
@@ -63,6 +120,18 @@ def as_date(value: str | dt.date) -> dt.date:
     return dt.datetime.strptime(value, "%Y-%m-%d").date()
 
 
+def end_of(value: str | dt.date) -> Column:
+    """The last instant that an argument covers, as a literal: a moment (``YYYY-MM-DD HH:MM:SS``, or a
+    datetime without a zone) stands for itself, a bare day for all of it."""
+    if isinstance(value, str) and len(value) > 10:
+        value = dt.datetime.fromisoformat(value)
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            raise ValueError("a moment without a zone is asked for")
+        return F.lit(value.isoformat(" ", "microseconds")).cast("timestamp_ntz")
+    return F.lit(f"{as_date(value).isoformat()} 23:59:59.999999").cast("timestamp_ntz")
+
+
 def midnight(day: dt.date) -> Column:
     """A zone-free timestamp literal, so that the filter on it reaches the Parquet scan."""
     return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,18 +20,29 @@ def shared_folder(spark: SparkSession) -> str:
 
     A folder set on the context will do as well. Only a local session with neither gets a
     temporary folder of its own; on a cluster a machine-local folder would lose the data with its
-    executor, so there it is an error.
+    executor, so there it is an error. All processes of a ``local-cluster`` share one disk.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
+    local = re.match(r"local(\[|$)", context.master)
+    if folder and (local or context.master.startswith("local-cluster") or not _is_local(spark, folder)):
         return folder
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
     return context.getCheckpointDir()
 
 
+def _is_local(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder lies on the disk of whichever machine looks. A mounted shared disk has to be
+    named as such: ``spark.ordermill.sharedFiles=true`` vouches for ``file:`` paths."""
+    scheme = urlsplit(folder).scheme
+    if not scheme:
+        scheme = urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")).scheme
+    vouched = spark.conf.get("spark.ordermill.sharedFiles", "false") == "true"
+    return scheme in ("", "file") and not vouched
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses, removed by ``release``."""
     path = f"{shared_folder(spark).rstrip('/')}/ordermill-{label}-{uuid.uuid4().hex}"

@@ -17,9 +17,12 @@ from ordermill.sources.lazy import LazyTables
 
 
 def _slot(df: DataFrame, key: str, slots: int) -> Column:
-    """The key modulo ``slots``; text keys are hashed first."""
-    whole = isinstance(df.schema[key].dataType, T.IntegralType)
-    return F.pmod(F.col(key) if whole else F.xxhash64(key), F.lit(slots))
+    """The key modulo ``slots``. Of a text key it is the first 32 bits of its MD5, which other
+    engines have too; keys that differ in one digit fall into unrelated slots."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return F.pmod(F.col(key), F.lit(slots))
+    number = F.conv(F.substring(F.md5(F.col(key).cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return number % slots
 
 
 def dirty_customers(customers: DataFrame) -> DataFrame:
@@ -53,10 +56,13 @@ def dirty_orders(orders: DataFrame, extra: bool = False) -> DataFrame:
 
 
 def dirty_order_items(items: DataFrame, extra: bool = False) -> DataFrame:
-    """Negated quantities; ``extra`` adds discounts out of bounds, zeros and orphans."""
+    """Negated quantities; ``extra`` adds discounts out of bounds, zeros and orphans.
+
+    Each row is chosen by its own id, so the items of one product differ.
+    """
 
     def slot(slots: int) -> Column:
-        return _slot(items, "product_id", slots)
+        return _slot(items, "item_id", slots)
 
     quantity, discount = F.col("quantity"), F.col("discount_percent")
     amount = F.when(slot(33) == 1, -quantity).otherwise(quantity)

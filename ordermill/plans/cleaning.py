@@ -6,7 +6,7 @@ stay in the data, as long as the caller does not split them off.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import parse_mixed_timestamp
@@ -33,12 +33,15 @@ def clean_orders(orders: DataFrame, on_bad: str = "raise") -> DataFrame:
     return orders.dropna(subset=["customer_id"]).withColumn("order_date", parsed)
 
 
+def is_bad_date() -> Column:
+    """Whether a raw order's date text cannot be read."""
+    raw = F.col("order_date")
+    return raw.isNotNull() & parse_mixed_timestamp(raw).isNull()
+
+
 def bad_order_dates(orders: DataFrame) -> DataFrame:
     """Raw orders with a customer whose date text cannot be read."""
-    raw = F.col("order_date")
-    return orders.dropna(subset=["customer_id"]).filter(
-        raw.isNotNull() & parse_mixed_timestamp(raw).isNull()
-    )
+    return orders.dropna(subset=["customer_id"]).filter(is_bad_date())
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -100,39 +103,41 @@ def split_invalid(tables: Tables) -> tuple[LazyTables, LazyTables]:
 
 
 def validation_report(tables: Tables, sample: int = 3) -> DataFrame:
-    """Findings on the raw tables: check, count, and the first ids of the malformed emails."""
+    """Findings on the raw tables: check, count, and the first ids of the malformed emails.
+
+    Each table is scanned once. Items and orders are summed per order id before they are joined.
+    """
     orders, is_missing = tables["orders"], F.col("customer_id").isNull()
-    dropped = orders.agg(F.count_if(is_missing).alias("n"))
-    kept = orders.filter(~is_missing)
-    return _findings(dropped, tables["customers"], tables["order_items"], kept, sample)
+    per_order = orders.groupBy("order_id").agg(
+        F.count_if(is_missing).alias("dropped"), F.count_if(~is_missing).alias("kept")
+    )
+    items = tables["order_items"].groupBy("order_id").agg(F.count("*").alias("items"))
+    orphan = F.when(F.coalesce("kept", F.lit(0)) == 0, F.col("items"))
+    counts = items.join(per_order, "order_id", "full").agg(
+        F.coalesce(F.sum("dropped"), F.lit(0)).alias("null_customer_orders"),
+        F.coalesce(F.sum(orphan), F.lit(0)).alias("orphan_items"),
+    )
+    return _findings(counts, tables["customers"], sample)
 
 
-def _findings(
-    dropped: DataFrame, customers: DataFrame, items: DataFrame, kept: DataFrame, sample: int = 3
-) -> DataFrame:
-    """The report from the number of dropped orders and the orders that were kept."""
-    invalid = invalid_emails(customers)
-    first_ids = (
-        invalid.select("customer_id")
-        .orderBy("customer_id")
-        .limit(sample)
-        .agg(F.sort_array(F.collect_list("customer_id")).alias("ids"))
-        .select(F.col("ids").cast("array<string>").alias("ids"))
-    )
-    orphans = count_orphan_items(items, kept)
+def _findings(counts: DataFrame, customers: DataFrame, sample: int = 3) -> DataFrame:
+    """The report: a row per column of ``counts``, and one for the emails."""
     no_ids = F.lit(None).cast("array<string>")
-    findings = [
-        dropped.select(F.lit("null_customer_orders").alias("check"), "n", no_ids),
-        invalid.agg(F.count("*").alias("n")).select(F.lit("invalid_emails"), "n", no_ids),
-        first_ids.select(F.lit("invalid_emails"), F.lit(None).cast("bigint"), "ids"),
-        orphans.select(F.lit("orphan_items"), "n", no_ids),
+    rows = [
+        F.struct(F.lit(name).alias("check"), F.col(name).alias("n"), no_ids.alias("sample"))
+        for name in counts.columns
     ]
-    merged = findings[0].toDF("check", "n", "sample")
-    for finding in findings[1:]:
-        merged = merged.union(finding)
-    return merged.groupBy("check").agg(
-        F.max("n").alias("n"), F.any_value("sample", True).alias("sample")
+    # The first ids of each scanned part hold the first ids of all.
+    within = Window.partitionBy("part").orderBy("customer_id")
+    invalid = invalid_emails(customers).withColumn("part", F.spark_partition_id())
+    invalid = invalid.withColumn("place", F.row_number().over(within))
+    first = F.collect_list(F.when(F.col("place") <= sample, F.col("customer_id")))
+    emails = invalid.agg(
+        F.lit("invalid_emails").alias("check"),
+        F.count("*").alias("n"),
+        F.slice(F.sort_array(first), 1, sample).cast("array<string>").alias("sample"),
     )
+    return counts.select(F.inline(F.array(*rows))).union(emails)
 
 
 def run_pipeline(
@@ -140,14 +145,25 @@ def run_pipeline(
 ) -> DataFrame:
     """Clean the raw tables, write the four results, and return the validation report.
 
-    Each raw table is read once. The dropped orders are counted as the orders are written, and
+    Each raw table is read once. What is dropped or rejected is counted as the orders are written;
     the other findings come from the written tables, where the columns concerned are unchanged.
+    With ``on_bad="quarantine"``, orders whose date cannot be read are kept with a NULL date, and
+    written as they came, with the text of the date, to ``rejected_orders``, which reads the orders
+    once more; the report counts them.
     """
     orders = tables["orders"]
-    spark, dropped = orders.sparkSession, Observation("dropped orders")
-    observed = orders.observe(dropped, F.count_if(F.col("customer_id").isNull()).alias("n"))
+    spark, seen = orders.sparkSession, Observation("orders")
+    counted = [F.count_if(F.col("customer_id").isNull()).alias("null_customer_orders")]
+    if on_bad == "quarantine":
+        rejected = F.col("customer_id").isNotNull() & is_bad_date()
+        counted.append(F.count_if(rejected).alias("bad_order_dates"))
+    observed = orders.observe(seen, *counted)
     cleaned = clean_tables({**tables, "orders": observed}, on_bad)
     write_tables(cleaned, directory, fmt)
+    if on_bad == "quarantine":
+        write_tables({"rejected_orders": bad_order_dates(orders)}, directory, fmt)
     written = read_tables(spark, directory, fmt, {n: df.schema for n, df in cleaned.items()})
-    count = spark.range(1).select(F.lit(dropped.get["n"]).alias("n"))
-    return _findings(count, written["customers"], written["order_items"], written["orders"])
+    orphans = count_orphan_items(written["order_items"], written["orders"])
+    observed_counts = (F.lit(n).cast("bigint").alias(name) for name, n in seen.get.items())
+    counts = orphans.select(F.col("n").alias("orphan_items"), *observed_counts)
+    return _findings(counts, written["customers"])

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.functions.dates import as_date, midnight
+from ordermill.functions.dates import end_of
 from ordermill.operators.joins import Tables
 from ordermill.plans.cleaning import orphan_items
 
@@ -21,7 +21,7 @@ def _zero_quantity() -> Column:
 
 
 def _in_future(as_of: str | dt.date) -> Column:
-    return F.col("order_date") > midnight(as_date(as_of))
+    return F.col("order_date") > end_of(as_of)
 
 
 def orphans(tables: Tables) -> DataFrame:
@@ -39,39 +39,45 @@ def zero_quantities(tables: Tables) -> DataFrame:
 
 
 def future_orders(tables: Tables, as_of: str | dt.date) -> DataFrame:
-    """Orders dated after ``as_of`` at midnight; a missing date is not flagged."""
+    """Orders dated after the moment ``as_of``, or after that day if it names one; a missing date is
+    not flagged."""
     return tables["orders"].filter(_in_future(as_of))
 
 
 def quality_summary(tables: Tables, as_of: str | dt.date) -> DataFrame:
-    """Violations and rows checked per rule, from one pass over each table and one join."""
-    items, orders = tables["order_items"], tables["orders"]
-    item_counts = items.agg(
-        F.count("*").alias("checked"),
+    """Violations and rows checked per rule, from one scan of each table and one join.
+
+    Both tables are summed per order id first; what has no match in the outer join, like what
+    has no order id, still counts.
+    """
+    items = tables["order_items"].groupBy("order_id").agg(
+        F.count("*").alias("items"),
         F.count_if(_bad_discount()).alias("discounts"),
         F.count_if(_zero_quantity()).alias("zeros"),
-    ).select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(rule).alias("rule"), F.col(count).alias("n"), "checked")
-                    for rule, count in (("bad_discount", "discounts"), ("zero_quantity", "zeros"))
-                ]
-            )
-        ).alias("r")
-    )
-    order_counts = orders.agg(
-        F.count_if(_in_future(as_of)).alias("n"), F.count("*").alias("checked")
     )
-    per_order = items.groupBy("order_id").agg(F.count("*").alias("n"))
-    known = orders.select("order_id", F.lit(True).alias("known")).distinct()
-    orphan_counts = per_order.join(known, "order_id", "left").agg(
-        F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("n"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked"),
+    orders = tables["orders"].groupBy("order_id").agg(
+        F.count("*").alias("orders"), F.count_if(_in_future(as_of)).alias("future")
     )
-    return (
-        orphan_counts.select(F.lit("orphan_items").alias("rule"), "n", "checked")
-        .unionByName(item_counts.select("r.*"))
-        .unionByName(order_counts.select(F.lit("future_orders").alias("rule"), "n", "checked"))
-        .select("rule", F.col("n").alias("violations"), F.col("checked").alias("rows_checked"))
+    orphans = F.when(F.col("orders").isNull(), F.col("items"))
+    counts = {
+        "orphans": orphans, "discounts": "discounts", "zeros": "zeros",
+        "future": "future", "items": "items", "orders": "orders",
+    }
+    totals = items.join(orders, "order_id", "full").agg(
+        *(F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in counts.items())
     )
+    rules = [
+        ("orphan_items", "orphans", "items"),
+        ("bad_discount", "discounts", "items"),
+        ("zero_quantity", "zeros", "items"),
+        ("future_orders", "future", "orders"),
+    ]
+    rows = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.col(violations).alias("violations"),
+            F.col(checked).alias("rows_checked"),
+        )
+        for rule, violations, checked in rules
+    ]
+    return totals.select(F.inline(F.array(*rows)))

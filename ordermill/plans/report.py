@@ -8,8 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, midnight
-from ordermill.functions.money import money, percent_change, total_revenue, with_amounts
-from ordermill.operators.joins import AMOUNTS, Tables, broadcast_if_small, valued_orders
+from ordermill.functions.money import (
+    AMOUNTS,
+    money,
+    percent_change,
+    total_revenue,
+    whole_sum,
+    with_amounts,
+)
+from ordermill.operators.joins import Tables, broadcast_if_small, valued_orders
 
 Day = str | dt.date
 GRAINS = ("day", "week", "month")
@@ -39,16 +46,17 @@ def _within(start: dt.date, end: dt.date) -> Column:
 def _metrics(tables: Tables, orders: DataFrame, bucket: str, selective: bool) -> DataFrame:
     """Orders with items, their customers and revenue, per value of the column ``bucket``.
 
-    Instead of two distinct counts over all orders, which would copy every row twice, orders are
-    first counted per customer, and only customer rows move on. An order has one customer.
+    Instead of two distinct counts over all orders, which would copy every row twice, an order is
+    counted with the first of its rows, where its rows are together anyway, and only one row per
+    customer moves on. So an order listed under several customers counts once, while its revenue
+    counts with each listing.
     """
+    valued = valued_orders(tables, orders.select("order_id", "customer_id", bucket), selective)
+    listed = Window.partitionBy(bucket, "order_id").orderBy("customer_id")
     per_customer = (
-        valued_orders(tables, orders.select("order_id", "customer_id", bucket), selective)
+        valued.withColumn("first", (F.row_number().over(listed) == 1).cast("bigint"))
         .groupBy(bucket, "customer_id")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
-            *[F.sum(amount).alias(amount) for amount in AMOUNTS],
-        )
+        .agg(F.sum("first").alias("orders"), *[whole_sum(a).alias(a) for a in AMOUNTS])
     )
     return per_customer.groupBy(bucket).agg(
         F.sum("orders").alias("total_orders"),
@@ -91,7 +99,8 @@ def period_comparison(tables: Tables, start: Day, end: Day) -> DataFrame:
 def top_products(tables: Tables, start: Day, end: Day, k: int = 3) -> DataFrame:
     """The ``k`` products with the largest revenue in a period.
 
-    Revenue is summed per product before the product table is joined.
+    Revenue is summed per product before the product table is joined. Orders that are not small
+    filter the items before their shuffle all the same, through a Bloom filter (``joins.items_of``).
     """
     in_period = tables["orders"].filter(_within(*period(start, end))).select("order_id")
     orders, _ = broadcast_if_small(in_period)

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, month_start, month_text
-from ordermill.functions.money import money, percent_of, total_revenue, with_amounts
+from ordermill.functions.money import AMOUNTS, money, percent_of, total_revenue, with_amounts
 from ordermill.operators.joins import (
-    AMOUNTS,
     Tables,
     customer_revenue,
     valued_orders,

@@ -10,6 +10,14 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Keys that a filter leaves thin out the other side of a join before its shuffle. The defaults
+    # stop at 10 MB of keys and 8 MB of filter, far below a month of a large shop.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
+    # A sum or cast that does not fit raises instead of wrapping or turning NULL.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# As many digits as revenue is computed with; a reader refuses more instead of rounding.
+PRICE = T.DecimalType(16, 6)
+
 CUSTOMERS = T.StructType(
     [
         T.StructField("customer_id", T.StringType()),
@@ -19,7 +22,7 @@ PRODUCTS = T.StructType(
         T.StructField("product_name", T.StringType()),
         T.StructField("category", T.StringType()),
         T.StructField("subcategory", T.StringType()),
-        T.StructField("cost_price", T.DecimalType(14, 2)),
+        T.StructField("cost_price", PRICE),
     ]
 )
 # order_date stays text until the cleaning stage has settled its format.
@@ -39,7 +42,7 @@ ORDER_ITEMS = T.StructType(
         T.StructField("order_id", T.StringType()),
         T.StructField("product_id", T.StringType()),
         T.StructField("quantity", T.IntegerType()),
-        T.StructField("unit_price", T.DecimalType(14, 2)),
+        T.StructField("unit_price", PRICE),
         T.StructField("discount_percent", T.DoubleType()),
     ]
 )

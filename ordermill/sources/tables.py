@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial
 
@@ -28,24 +29,36 @@ MANY_ROWS = 1_000_000
 
 
 def _typed(field: T.StructField) -> Column:
+    """The column cast to its type; a text that the type does not hold exactly raises, with ANSI
+    mode on or off."""
     text = F.when(~F.col(field.name).isin(NA_TOKENS), F.col(field.name))
-    if isinstance(field.dataType, T.IntegerType):
+    typed = text.try_cast(field.dataType)
+    kept = typed.isNotNull()
+    if isinstance(field.dataType, (T.IntegerType, T.DecimalType)):
         # Integer columns that had gaps are exported as "3.0".
-        text = text.cast("decimal(14,4)")
-    return text.cast(field.dataType).alias(field.name)
+        exact = text.try_cast("decimal(38,18)")
+        typed = exact.try_cast(field.dataType)
+        kept = F.coalesce(exact == typed, F.lit(False))
+    kind = field.dataType.simpleString()
+    message = F.concat(F.lit(f"{field.name} is no {kind}: "), text)
+    refused = F.raise_error(message).cast(field.dataType)
+    return F.when(text.isNotNull() & ~kept, refused).otherwise(typed).alias(field.name)
 
 
 def read_csv_table(
-    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False
+    spark: SparkSession, path: str, schema: T.StructType, multiline: bool = True
 ) -> DataFrame:
     """Read one CSV table: missing-value texts become NULL, then each column is cast.
 
-    Columns are matched by position under a checked header; a value that does not fit its type
-    raises under ANSI mode instead of silently turning NULL. ``multiline`` accepts line breaks
-    inside quotes but makes each file one task, so it is off by default.
+    Columns are matched by position under a checked header. A record with too few or too many
+    fields raises, and so does a value that does not fit its type. Line breaks inside quotes
+    are part of the text, which makes each file one task; for large files without any,
+    ``multiline=False`` splits them, and raises where a quoted break turns up after all.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = spark.read.options(**CSV_OPTIONS, enforceSchema=False, multiLine=multiline)
+    # Pruned columns are not parsed, so that a broken record would pass where few are asked for.
+    options = CSV_OPTIONS | {"mode": "FAILFAST", "columnPruning": False, "multiLine": multiline}
+    raw = spark.read.options(**options, enforceSchema=False)
     return raw.schema(as_text).csv(path).select(*map(_typed, schema))
 
 
@@ -53,7 +66,7 @@ def read_raw(
     spark: SparkSession,
     directory: str,
     schemas: Mapping[str, T.StructType] = SCHEMAS,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> dict[str, DataFrame]:
     """The raw CSV tables of a directory; a missing one raises at once (PATH_NOT_FOUND)."""
     return {
@@ -100,6 +113,29 @@ def _fits_buckets(df: DataFrame, key: str, buckets: int) -> bool:
     return total is None or largest * buckets <= 2 * total or largest <= MANY_ROWS
 
 
+def _read_whole(df: DataFrame) -> int:
+    """The number of rows, with every cell of them evaluated: a bare count prunes all columns."""
+    cells = F.xxhash64(*df.columns) if df.columns else F.lit(0)
+    return df.agg(F.count("*"), F.bit_xor(cells)).first()[0]
+
+
+def _replace_table(spark: SparkSession, df: DataFrame, table: str, buckets: int | None) -> int:
+    """Save ``df`` as a managed table in place of an earlier one, which stays if that fails."""
+    fresh = f"{table}__{uuid.uuid4().hex}"
+    try:
+        writer = df.write
+        if buckets:
+            writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
+        writer.saveAsTable(fresh)
+        rows = spark.table(fresh).count()
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    return rows
+
+
 def load_tables(
     spark: SparkSession,
     directory: str,
@@ -108,32 +144,34 @@ def load_tables(
     schemas: Mapping[str, T.StructType] = SCHEMAS,
     database: str | None = None,
     buckets: int | None = None,
+    prefix: str = "",
 ) -> DataFrame:
-    """Load stored tables under their names, replacing earlier ones, and report row counts.
+    """Load stored tables under ``prefix`` and their names, replacing earlier ones, and report row counts.
 
-    With ``database`` they are saved as managed tables there, else registered as temp views.
-    With ``buckets`` as well, orders and items are bucketed by order, so that no query shuffles
-    them again to join the two. A table that is missing or does not load is reported and the
-    others go on.
+    With ``database`` they are saved as managed tables there, else registered as temp views. With
+    ``buckets`` as well, orders and items are bucketed by order, so that no query shuffles them
+    again to join the two; where one order is too large for a bucket, the status says so. Every
+    cell is read: a table that is missing or does not load is reported, an earlier one of its
+    name stays, and the others go on.
     """
     report = []
     for name in names:
         path = f"{directory}/{name}.{fmt}"
+        status = "loaded"
         try:
             if fmt == "csv":
                 df = read_csv_table(spark, path, schemas[name])
             else:
                 df = spark.read.format(fmt).load(path)
             if database is None:
-                rows = df.count()
-                df.createOrReplaceTempView(name)
+                rows = _read_whole(df)
+                df.createOrReplaceTempView(f"{prefix}{name}")
             else:
-                writer = df.write.mode("overwrite")
-                if buckets and "order_id" in df.columns and _fits_buckets(df, "order_id", buckets):
-                    writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
-                writer.saveAsTable(f"{database}.{name}")
-                rows = spark.table(f"{database}.{name}").count()
-            report.append((name, rows, "loaded"))
+                wanted = buckets if buckets and "order_id" in df.columns else None
+                if wanted and not _fits_buckets(df, "order_id", wanted):
+                    wanted, status = None, "loaded without buckets: an order is too large for one"
+                rows = _replace_table(spark, df, f"{database}.{prefix}{name}", wanted)
+            report.append((name, rows, status))
         except AnalysisException as error:
             missing = error.getCondition() == "PATH_NOT_FOUND"
             report.append((name, None, "missing" if missing else "failed"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.sources.lazy import LazyTables
+from ordermill.sources.schemas import PRICE
 
 STATUS = {"F": "DELIVERED", "O": "PLACED", "P": "RETURNED"}
 
@@ -59,7 +60,7 @@ def products(spark: SparkSession, directory: str) -> DataFrame:
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("subcategory"),
-        F.col("p_retailprice").cast("decimal(14,2)").alias("cost_price"),
+        F.col("p_retailprice").cast(PRICE).alias("cost_price"),
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.dates import parse_mixed_timestamp
 from ordermill.functions.text import is_valid_email, title_case
 from ordermill.plans import cleaning
+from ordermill.sources import tables as storing
 from ordermill.sources.schemas import CLEAN_SCHEMAS, NA_TOKENS, SCHEMAS
 from ordermill.sources.tables import load_tables, read_csv_table, read_raw, write_tables
 
@@ -135,6 +136,7 @@ def test_emails(spark):
 
 
 def test_emails_against_a_python_pattern(spark):
+    # A fixed value: the rule that malformed emails are defined by.
     pattern = re.compile(r"^[^@\s]+@[^@\s]+\.[^@\s]+$")
     rng = random.Random(2)
     texts = ["".join(rng.choices("ab@@..  \t\n\x1d é", k=rng.randrange(3, 9))) for _ in range(4000)]
@@ -263,7 +265,7 @@ def test_numbers_with_a_decimal_point_fit_integer_columns(spark, tmp_path):
         "item_id,order_id,product_id,quantity,unit_price,discount_percent\nI1,O1,P1,3.0,2.50,150\n"
     )
     row = read_csv_table(spark, str(path), SCHEMAS["order_items"]).first()
-    assert (row.quantity, str(row.unit_price), row.discount_percent) == (3, "2.50", 150.0)
+    assert (row.quantity, float(row.unit_price), row.discount_percent) == (3, 2.5, 150.0)
 
 
 def test_line_breaks_inside_quotes(spark, tmp_path):
@@ -272,3 +274,106 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     schemas = {"products": SCHEMAS["products"]}
     back = read_raw(spark, str(tmp_path), schemas, multiline=True)["products"]
     assert back.first().product_name == 'two\n"lines"'
+
+
+ITEMS = "item_id,order_id,product_id,quantity,unit_price,discount_percent\n"
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("multiline", [True, False])
+@pytest.mark.parametrize(
+    "record",
+    [
+        "I1,O1,P1,2.7,1,0",
+        "I1,O1,P1,many,1,0",
+        "I1,O1,P1,3000000000,1,0",
+        "I1,O1,P1,2,1.1234567,0",
+        "I1,O1,P1,2,1,0,extra",
+        "I1,O1,P1,2",
+    ],
+)
+def test_nothing_is_altered_silently(spark, tmp_path, ansi, multiline, record):
+    (tmp_path / "order_items.csv").write_text(f"{ITEMS}I0,O0,P0,1,1.125,0\n{record}\n")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        read = read_csv_table(spark, str(tmp_path / "order_items.csv"), SCHEMAS["order_items"], multiline)
+        with pytest.raises(Exception):
+            read.collect()
+        report = load_tables(spark, str(tmp_path), ["order_items"], prefix="altered_").first()
+        assert report.status.startswith("failed") and report.rows is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_three_decimals_are_read(spark, tmp_path):
+    (tmp_path / "order_items.csv").write_text(f"{ITEMS}I0,O0,P0,1,0.125,12.345\n")
+    row = read_csv_table(spark, str(tmp_path / "order_items.csv"), SCHEMAS["order_items"]).first()
+    assert (float(row.unit_price), row.discount_percent) == (0.125, 12.345)
+
+
+def test_a_quoted_break_raises_where_it_is_not_expected(spark, tmp_path):
+    products = spark.createDataFrame([("P1", "two\nlines", "Home", "s", None)], SCHEMAS["products"])
+    write_tables({"products": products}, str(tmp_path))
+    schemas = {"products": SCHEMAS["products"]}
+    assert read_raw(spark, str(tmp_path), schemas)["products"].first().product_name == "two\nlines"
+    with pytest.raises(Exception):
+        read_raw(spark, str(tmp_path), schemas, multiline=False)["products"].collect()
+
+
+def test_swapped_headers_fail_in_view_mode(spark, tmp_path):
+    swapped = ITEMS.replace("item_id,order_id", "order_id,item_id")
+    (tmp_path / "order_items.csv").write_text(f"{swapped}I0,O0,P0,1,1,0\n")
+    assert load_tables(spark, str(tmp_path), ["order_items"]).first().status.startswith("failed")
+
+
+def test_a_failed_load_keeps_the_old_table(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    path = tmp_path / "order_items.csv"
+    path.write_text(f"{ITEMS}I0,O0,P0,1,1,0\n")
+    assert load_tables(spark, str(tmp_path), ["order_items"], database="kept").first().status == "loaded"
+    path.write_text(f"{ITEMS}I0,O0,P0,many,1,0\n")
+    assert load_tables(spark, str(tmp_path), ["order_items"], database="kept").first().status.startswith("failed")
+    assert spark.table("kept.order_items").collect()[0].item_id == "I0"
+    assert [t.name for t in spark.catalog.listTables("kept") if not t.isTemporary] == ["order_items"]
+    path.write_text(f"{ITEMS}I5,O0,P0,1,1,0\n")
+    load_tables(spark, str(tmp_path), ["order_items"], database="kept")
+    assert [r.item_id for r in spark.table("kept.order_items").collect()] == ["I5"]
+
+
+def test_refused_buckets_show(spark, tmp_path, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS refused")
+    rows = "".join(f"I{i},O0,P0,1,1,0\n" for i in range(50))
+    (tmp_path / "order_items.csv").write_text(ITEMS + rows)
+    monkeypatch.setattr(storing, "MANY_ROWS", 10)
+    status = load_tables(spark, str(tmp_path), ["order_items"], database="refused", buckets=8).first().status
+    assert status.startswith("loaded without buckets")
+
+
+def test_other_date_forms(spark):
+    forms = {
+        "2024/03/05": "2024-03-05 00:00:00",
+        "05 Mar 2024": "2024-03-05 00:00:00",
+        "March 5, 2024": "2024-03-05 00:00:00",
+        "5-3-24": "2024-03-05 00:00:00",
+        "20240305": "2024-03-05 00:00:00",
+        "05-03-2024 10:00 PM": "2024-03-05 22:00:00",
+        "5-Mar-2024 12:30 am": "2024-03-05 00:30:00",
+        "2024-03-05 10:00:00+05:30": "2024-03-05 04:30:00",
+        "2024-03-05T10:00:00Z": "2024-03-05 10:00:00",
+        "2024-02-30": None,
+        "2024-03-05 25:00:00": None,
+        "05/03/2024 13:00 PM": None,
+        "5 Mux 2024": None,
+    }
+    got = computed(column(spark, list(forms)), parse_mixed_timestamp(F.col("x")))
+    assert [None if g is None else str(g) for g in got] == list(forms.values())
+
+
+def test_quarantine_keeps_the_raw_text(spark, tmp_path):
+    orders = [("O1", "C1", "2024-03-05", "S", "R"), ("O2", "C1", "soon", "S", "R"), ("O3", None, "never", "S", "R")]
+    raw = {n: spark.createDataFrame([], s) for n, s in SCHEMAS.items()}
+    raw["orders"] = spark.createDataFrame(orders, SCHEMAS["orders"])
+    found = {r.check: r.n for r in cleaning.run_pipeline(raw, str(tmp_path), on_bad="quarantine").collect()}
+    assert found == {"null_customer_orders": 1, "bad_order_dates": 1, "orphan_items": 0, "invalid_emails": 0}
+    rejected = spark.read.parquet(str(tmp_path / "rejected_orders.parquet")).collect()
+    assert [(r.order_id, r.order_date) for r in rejected] == [("O2", "soon")]

@@ -6,20 +6,29 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as driver
+from oracle_queries import ORACLE_SQL
+from ordermill.operators.storage import release
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
+@pytest.fixture(autouse=True)
+def nothing_left(spark):
+    """What a query stored goes after it."""
+    yield
+    release(spark)
+
+
 @pytest.fixture(scope="module")
 def con():
     return connect(SF_DIR)
 
 
 def test_every_query_has_a_counterpart():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert driver.order_queries().keys() == ORACLE_SQL.keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.order_queries())
 def test_matches_sql(spark, con, name):
     assert difference(driver.queries()[name](spark, SF_DIR), con, driver.oracle_sql()[name]) is None
 

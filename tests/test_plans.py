@@ -82,6 +82,46 @@ def test_line_revenue_is_exact(spark, quantity, price, discount, expected):
     assert total == (None if expected is None else 2 * expected)
 
 
+@pytest.mark.parametrize(
+    "quantity, price, discount, expected",
+    [
+        (1000, 0.125, 0.0, "125"),
+        (1000, 10.0, 12.345, "8765.5"),
+        (-3, 19.999999, 0.0001, "-59.999937000003"),
+        (1, 0.000001, 99.9999, "0.000000000001"),
+    ],
+)
+def test_more_than_two_decimals_are_kept(spark, quantity, price, discount, expected):
+    schema = "quantity int, unit_price double, discount_percent double"
+    items = spark.createDataFrame([(quantity, price, discount)], schema)
+    assert items.select(money.line_revenue()).first()[0] == Decimal(expected)
+    total = money.with_amounts(items.union(items)).agg(money.total_revenue()).first()[0]
+    assert total == 2 * Decimal(expected)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("price, discount", [(0.1234567, 0.0), (1.0, 0.12345)])
+def test_decimals_that_are_not_kept_raise(spark, ansi, price, discount):
+    items = spark.createDataFrame([(1, price, discount)], "quantity int, unit_price double, discount_percent double")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="more decimals"):
+            items.select(money.line_revenue()).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_sum_that_does_not_fit_raises(spark, ansi):
+    amounts = spark.range(2).selectExpr("9000000000000000000L AS units", "0L AS millionths", "0L AS rest")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="overflow in a sum"):
+            amounts.agg(money.total_revenue()).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_totals_beyond_bigint_millionths(spark):
     """A thousand lines of a trillion each: their millionths would overflow a bigint."""
     items = spark.range(1000).selectExpr(
@@ -90,6 +130,7 @@ def test_totals_beyond_bigint_millionths(spark):
     total = money.with_amounts(items).agg(money.total_revenue()).first()[0]
     assert total == Decimal("1000000005000000.000000")
     wide = items.withColumn("units", F.lit(9 * 10**15)).withColumn("millionths", F.lit(999_999))
+    wide = wide.withColumn("rest", F.lit(0))
     assert wide.agg(money.total_revenue()).first()[0] == 9 * 10**18 + Decimal("999.999")
 
 
@@ -549,6 +590,35 @@ def test_grains(sold):
     assert len(rows(report.grain_report(sold, "day"))) == 5
 
 
+def test_an_order_of_two_customers_counts_once(spark):
+    day = dt.datetime(2024, 3, 5)
+    orders = spark.createDataFrame(
+        [("O1", "C1", day), ("O1", "C2", day), ("O2", None, day)],
+        "order_id string, customer_id string, order_date timestamp_ntz",
+    )
+    items = spark.createDataFrame(
+        [("O1", "P1", 1, 10.0, 0.0), ("O1", "P2", 1, 5.0, 0.0), ("O2", "P1", 2, 1.0, 0.0)],
+        "order_id string, product_id string, quantity int, unit_price double, discount_percent double",
+    )
+    tables = {"orders": orders, "order_items": items}
+    row = report.period_metrics(tables, "2024-03-01", "2024-03-31").first()
+    # Its revenue counts with each listing, as in the join of both tables.
+    assert tuple(row) == (2, 2, 32.0)
+
+
+def test_future_is_a_moment(spark):
+    times = ["2024-03-05 09:00:00", "2024-03-05 23:00:00", "2024-03-06 00:00:00", None]
+    orders = spark.createDataFrame([(t,) for t in times], "t string").selectExpr("CAST(t AS timestamp_ntz) AS order_date")
+    tables = {"orders": orders}
+
+    def late(as_of):
+        return sorted(str(r.order_date) for r in quality.future_orders(tables, as_of).collect())
+
+    assert late("2024-03-05 12:00:00") == times[1:3]
+    assert late(dt.datetime(2024, 3, 5, 12)) == times[1:3]
+    assert late("2024-03-05") == late(dt.date(2024, 3, 5)) == times[2:3]
+
+
 # Anomalies
 
 
@@ -564,7 +634,9 @@ def test_anomalies_are_repeatable_and_near_their_rates(spark):
     dirty = anomalies.dirty_orders(orders)
     assert dirty.filter("customer_id IS NULL").count() == n / 20
     assert dirty.filter("order_date = '01-02-2024 03:04:05'").count() == n / 20
-    items = ids.selectExpr("id AS product_id", "id AS order_id", "5 AS quantity", "1D AS discount_percent")
+    items = ids.selectExpr(
+        "concat('I', id) AS item_id", "7 AS product_id", "id AS order_id", "5 AS quantity", "1D AS discount_percent"
+    )
     dirty = anomalies.dirty_order_items(items)
     assert abs(dirty.filter("quantity = -5").count() / n - 0.03) < 0.005
     assert dirty.filter("order_id < 0 OR quantity = 0 OR discount_percent <> 1").count() == 0

@@ -1,10 +1,12 @@
 """Where stored intermediates go."""
 
 import types
+from pathlib import Path
+from urllib.parse import urlsplit
 
 import pytest
 
-from ordermill.operators.storage import scratch_path, shared_folder, store
+from ordermill.operators.storage import release, scratch_path, shared_folder, store, temporary
 
 
 class FakeContext:
@@ -18,8 +20,9 @@ class FakeContext:
         self.folder = folder
 
 
-def session(master, setting=None, folder=None):
-    conf = types.SimpleNamespace(get=lambda key, default: setting or default)
+def session(master, setting=None, folder=None, **more):
+    settings = {"spark.checkpoint.dir": setting} | {k.replace("_", "."): v for k, v in more.items()}
+    conf = types.SimpleNamespace(get=lambda key, default: settings.get(key) or default)
     return types.SimpleNamespace(conf=conf, sparkContext=FakeContext(master, folder))
 
 
@@ -33,6 +36,27 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
         shared_folder(session("spark://host"))
 
 
+def test_a_machine_local_folder_on_a_cluster_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host", "file:///tmp/x"))
+    vouched = session("spark://host", "file:///mnt/x", spark_ordermill_sharedFiles="true")
+    assert shared_folder(vouched) == "file:///mnt/x"
+    assert shared_folder(session("local-cluster[3,2,1000]", "file:///tmp/x")) == "file:///tmp/x"
+
+
+def test_stored_data_goes_when_released(spark):
+    folder = Path(urlsplit(spark.conf.get("spark.checkpoint.dir")).path)
+    release(spark)
+    with temporary(spark):
+        kept = store(spark.range(3), "block").count()
+        assert list(folder.glob("ordermill-block-*"))
+    assert kept == 3 and not list(folder.glob("ordermill-*"))
+    stored = store(spark.range(4), "four")
+    assert stored.count() == 4
+    release(spark)
+    assert not list(folder.glob("ordermill-*"))
+
+
 def test_a_local_session_makes_one_folder_for_itself():
     local = session("local[2]")
     assert shared_folder(local) == shared_folder(local)
