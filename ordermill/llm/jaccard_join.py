@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, sized, slices, texts_of
+from ordermill.llm.common import Stored, repeated_ids, sized, slices, texts_of
 from ordermill.llm.graph import components
 from ordermill.llm.shingles import WordHashes, shingle_set
 
@@ -327,12 +327,6 @@ def _shingle_sets(shingle: int) -> Callable:
     return run
 
 
-def repeated_ids(rows: DataFrame) -> bool:
-    """Whether some doc_id stands in several rows."""
-    count, distinct = rows.agg(F.count("doc_id"), F.count_distinct("doc_id")).head()
-    return count > distinct
-
-
 def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs``.
 
