@@ -84,7 +84,8 @@ def test_marginals_equal_sums_over_all_paths():
 
 
 def test_toxic_spans_are_code_points(spark):
-    texts = [f"\U0001f600 é {'vile' if k % 3 == 0 else 'kind'} thing{k} word{k % 7}" for k in range(120)]
+    near = [a + b for a in "bcdfghjklm" for b in ("ay", "oe", "ui", "ea", "ou")]
+    texts = [f"\U0001f600 é{near[k % 50]} {'vile' if k % 3 == 0 else 'kind'} {near[k * 7 % 50]} word" for k in range(120)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(120)], "doc_id bigint, toxic int")
     rows = toxicity.toxicity_scores(docs, labels).collect()
