@@ -9,8 +9,10 @@ of its own, and what crosses a cut is carried over from a few numbers per range:
    that is run again puts it into the same range;
 3. one small aggregate per range gives the offsets of the following ranges.
 
-The sample decides only how even the ranges are. Every row takes part in every result. Cuts and
-offsets are constant arrays in the plan, looked up by the number of the range.
+The sample decides only how even the ranges are. Every row takes part in every result. There is
+a range for every ``ROWS_PER_RANGE`` rows, however many that makes; the driver gets the cuts and a few
+numbers per range, which is a hundred thousand rows for a hundred billion. They are constant arrays
+in the plan, looked up by the number of the range.
 """
 
 from __future__ import annotations
@@ -29,7 +31,6 @@ from pyspark.sql import types as T
 
 RANGE = "_range"
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1_000  # also bounds what is collected and kept in plans: a few values per range
 SAMPLES_PER_RANGE = 50
 
 
@@ -81,7 +82,7 @@ def split(
     key = F.struct(*[column.alias(name) for name, column in order.items()])
     keys = df.select(key.alias("key"))
     count = df.count()
-    number = min(MAX_RANGES, count, max(min_ranges, ceil(count / rows_per_range)))
+    number = min(count, max(min_ranges, ceil(count / rows_per_range)))
     cuts = _sample_cuts(keys, count, number) if number > 1 else []
     if group is not None:
         owned = Counter(cut.grp for cut in cuts)
@@ -97,16 +98,27 @@ def split(
 
 
 def _sample_cuts(keys: DataFrame, count: int, number: int) -> list[Row]:
-    """Up to ``number - 1`` distinct keys that split the rows about evenly, in order."""
+    """Up to ``number - 1`` distinct keys that split the rows about evenly, in order.
+
+    The sample is sorted in parts, of which no task holds more than a share, and every so many-th key
+    is a cut; only those leave Spark.
+    """
     # Twice the aim, because the sample size varies around its mean.
     share = min(1.0, 2 * SAMPLES_PER_RANGE * number / count)
-    sample = keys.sample(share, 7).repartition(1).sortWithinPartitions("key").collect()
-    cuts = []
-    for i in range(1, number):
-        place = len(sample) * i // number
-        if place < len(sample) and (not cuts or sample[place].key != cuts[-1]):
-            cuts.append(sample[place].key)
-    return cuts
+    size = max(1, round(share * count / number))
+    parts = max(1, ceil(number / 1_000))
+    sample = keys.sample(share, 7).repartitionByRange(parts, "key")
+    # Places run on through a part; a part's rest is carried by no cut and is less than one range.
+    place = F.row_number().over(Window.partitionBy("part").orderBy("key"))
+    numbered = sample.withColumn("part", F.spark_partition_id()).withColumn("place", place)
+    found = numbered.filter(F.col("place") % size == 0).select("key").distinct().collect()
+    cuts = sorted((row.key for row in found), key=_sortable)
+    return cuts[: number - 1]
+
+
+def _sortable(key: Row) -> tuple:
+    """A key's values with NULLs first, as Spark sorts them."""
+    return tuple((value is not None, value) for value in key)
 
 
 def _cuts_before(key: Column, bounds: Column, number: int) -> Column:
@@ -188,21 +200,26 @@ def global_running_sum(
     totals = ranges.rows.groupBy(RANGE, edge).agg(F.sum(value).alias("total")).collect()
 
     with decimal.localcontext(prec=38):
+        of_range: dict[int, Decimal | None] = {}
+        of_edge: dict[Decimal, list[Row]] = {}
+        for row in totals:
+            of_range[row[RANGE]] = _add(of_range.get(row[RANGE]), row.total)
+            if row.edge is not None:
+                of_edge.setdefault(row.edge, []).append(row)
         before, seen = [], None  # the sum of all earlier ranges
         for number in range(len(ranges.cuts) + 1):
             before.append(seen)
-            for row in totals:
-                if row[RANGE] == number:
-                    seen = _add(seen, row.total)
-        # Up to a cut, all values are the cut's or larger; its ties beyond it are added.
+            seen = _add(seen, of_range.get(number))
+        # Up to a cut, all values are the cut's or larger; its ties beyond it are added. A value
+        # is looked at once, at its first cut.
         at_cut: list[Decimal | None] = []
         for number, cut in enumerate(ranges.cuts):
             if number and cut.value == ranges.cuts[number - 1].value:
                 at_cut.append(at_cut[-1])
                 continue
             shared = before[number + 1]
-            for row in totals:
-                if row[RANGE] > number and row.edge is not None and row.edge == -cut.value:
+            for row in of_edge.get(-cut.value, []) if cut.value is not None else []:
+                if row[RANGE] > number:
                     shared = _add(shared, row.total)
             at_cut.append(shared)
 

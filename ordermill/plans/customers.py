@@ -47,6 +47,7 @@ def order_gaps(tables: Tables, risk_days: float = 30, **sizes) -> DataFrame:
         .filter(F.col("customer_id").isNotNull())
         .select("customer_id", "order_id", "order_date")
     )
+    orders = store(orders, "order-gaps")
     ranges = lag_in_groups(
         orders, "customer_id", "order_date", "order_id", "previous_order_date", **sizes
     )

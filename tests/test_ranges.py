@@ -120,8 +120,32 @@ def test_a_tie_group_is_split(spark):
     assert len(sizes) > 25 and max(sizes) < 1000 and sum(sizes) == 5000
 
 
-def test_number_of_ranges_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(ranges, "MAX_RANGES", 6)
-    frame = spark.range(1000).select("id")
-    split = ranges.split(frame, {"id": F.col("id")}, rows_per_range=10)
-    assert 1 <= len(split.cuts) <= 5
+def test_rows_per_range_are_bounded_for_any_number(spark):
+    frame = spark.range(60_000).select("id", (F.col("id") % 3_000).cast("decimal(38,6)").alias("v"))
+    frame = frame.withColumn("g", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)).cache()
+    sizes = {"rows_per_range": 40, "min_ranges": 1}
+    split = ranges.split(frame, {"v": F.col("v"), "id": F.col("id")}, **sizes)
+    rows = [r["count"] for r in split.rows.groupBy(ranges.RANGE).count().collect()]
+    assert len(rows) > 1_000 and max(rows) < 8 * 40 and sum(rows) == 60_000
+    order = Window.orderBy(F.desc_nulls_last("v"), "id")
+    plain = frame.withColumn("tile", F.ntile(7).over(order).cast("bigint"))
+    same(ranges.global_ntile(frame, "v", "id", 7, "tile", **sizes), plain)
+    plain = frame.withColumn("s", F.sum("v").over(Window.orderBy(F.desc_nulls_last("v"))))
+    same(ranges.global_running_sum(frame, "v", "id", "s", **sizes)[0], plain)
+    plain = frame.withColumn(
+        "r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc_nulls_last("v")))
+    )
+    same(ranges.dense_rank_in_groups(frame, "g", "v", "id", "r", **sizes), plain)
+    # Every group that is larger than the bound is cut, into parts that are not.
+    split = ranges.split(frame, {"v": F.col("v"), "id": F.col("id")}, "g", **sizes)
+    parts = split.rows.groupBy("g", ranges.RANGE).count()
+    assert parts.agg(F.max("count")).first()[0] < 8 * 40
+    frame.unpersist()
+
+
+def test_only_cuts_are_collected(spark, monkeypatch):
+    """The sample stays in Spark: no more keys come to the driver than there are cuts."""
+    frame = spark.range(100_000).select("id")
+    split = ranges.split(frame, {"id": F.col("id")}, rows_per_range=1_000)
+    assert 50 <= len(split.cuts) < 200
+    assert split.cuts == sorted(split.cuts)
