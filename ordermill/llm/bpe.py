@@ -23,12 +23,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from ordermill.llm.common import slices, texts_of
+from ordermill.llm.common import slices, texts, texts_of
 
 WORD_BPE = "word_bpe_49k.json"
 SHORT = 24
 NO_RANK = np.int64(1) << 62
-MEMO_ENTRIES, MEMO_BYTES = 400_000, 64
+MEMO_ENTRIES, MEMO_BYTES = 200_000, 64
 # The split pattern of the vocabulary for lower-case ASCII text; fixed by its file.
 _ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
 
@@ -266,4 +266,4 @@ def encode_documents(
                     names=["doc_id", "n_tokens", "ids_text", "decoded"],
                 )
 
-    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").mapInArrow(run, SCHEMA)
+    return texts(docs).mapInArrow(run, SCHEMA)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,13 +13,25 @@ from pyspark.sql import functions as F
 from ordermill.operators.joins import BROADCAST_BYTES
 from ordermill.operators.storage import delete, scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` of documents, the columns that operators read.
+
+    Texts go to Python in Arrow batches, of which a task holds several copies for a moment. The
+    session's limit on their bytes is lowered to ``BATCH_BYTES`` if it is higher.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(re.sub("[^0-9]", "", conf.get(key)) or 0) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; rows of fold 0 are held out of every training."""
     return (F.crc32(doc_id.cast("string")) % 5).cast("int")
@@ -65,6 +78,12 @@ class Stored:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def forget(self, label: str) -> None:
+        """Remove the tables of one label, which nothing reads any more."""
+        for path in [p for p in self.paths if f"-{label}-" in p]:
+            self.paths.remove(path)
+            delete(self.spark, path)
+
     def drop(self) -> None:
         for path in self.paths:
             delete(self.spark, path)

@@ -27,10 +27,10 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import slices
+from ordermill.llm.common import slices, texts
 
 SHINGLE, OVERLAP, THRESHOLD = 5, 0.8, 0.6
-PASSAGE, BLOCK, INDEX_WORDS = 128, 32, 2_000_000
+PASSAGE, BLOCK, INDEX_WORDS = 128, 32, 300_000
 ITEM_BLOCK, TABLE = 4, 1 << 24
 K1, B, COMMON_SHARE = 1.2, 0.75, 0.05
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -279,7 +279,7 @@ def leaks(
     best stays. An empty table on either side gives no rows.
     """
     spark = docs.sparkSession
-    given = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text").where("doc_id IS NOT NULL")
+    given = texts(docs).where("doc_id IS NOT NULL")
     rows = benchmark_items(benchmark).where("item_id IS NOT NULL").orderBy("item_id").toLocalIterator()
     found, held, group = None, 0, []
     groups = []

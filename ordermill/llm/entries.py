@@ -82,4 +82,33 @@ QUERIES: dict[str, Query] = {
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+# Only the exact join has a result that SQL can state; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op3_jaccard_join": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words
+),
+classes AS (SELECT min(doc_id) AS rep, list_sort(s) AS s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY ALL),
+members AS (SELECT rep, n, unnest(s) AS g FROM classes),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM members a JOIN members b ON a.g = b.g AND a.rep <> b.rep
+  GROUP BY a.rep, b.rep, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reach AS (
+  SELECT rep AS a, rep AS b FROM classes
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+),
+roots AS (SELECT a AS rep, min(b) AS root FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id
+FROM sets LEFT JOIN classes ON list_sort(sets.s) = classes.s LEFT JOIN roots USING (rep)""",
+}

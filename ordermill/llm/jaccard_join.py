@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, repeated_ids, sized, slices, texts_of
+from ordermill.llm.common import Stored, repeated_ids, sized, slices, texts, texts_of
 from ordermill.llm.graph import components
 from ordermill.llm.shingles import WordHashes, shingle_set
 
@@ -261,25 +261,33 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def block_edges(rows: DataFrame, weight: str, limit: int, similarity: Similarity, stored: Stored) -> DataFrame:
+def block_edges(
+    weights: DataFrame, rows_of: Callable[[DataFrame, str], DataFrame], weight: str, limit: int, similarity: Similarity,
+    stored: Stored,
+) -> DataFrame:
     """Edges (a, b) that connect, in every block, what links within the block connect.
 
-    ``rows`` has block, rep, hub, n, point and perhaps shingles, and is stored. Blocks of up to
-    ``limit`` of ``weight`` are one cell. In the others every row is marked as near its hub or far; a
-    cell holds about twice ``limit`` at most, or two rows.
+    ``weights`` has a row with block and weight for all or parts of each block. ``rows_of(blocks, how)``
+    gives the rows (block, rep, hub, n, point and perhaps shingles) in the given blocks (``left_semi``) or
+    in all others (``left_anti``). Blocks of up to ``limit`` are one cell. In the others every row, of the
+    weight ``weight``, is marked as near its hub or far; a cell holds about twice ``limit`` at most, or
+    two rows.
     """
-    kept = [c for c in rows.columns if c != "hub"]
-    large = rows.groupBy("block").agg(F.expr(f"sum(CAST({weight} AS BIGINT))").alias("weight")).where(f"weight > {limit}")
-    large = sized(stored.put(large.select("block"), "large"))
-    cells = rows.join(large, "block", "left_anti").select(
-        *kept, F.lit(False).alias("near"), F.lit(-1).alias("chunk"), F.lit(-1).alias("f"), F.lit(-1).alias("c")
-    )
-    split = rows.join(large, "block", "left_semi")
+    large = weights.groupBy("block").agg(F.sum("weight").alias("weight")).where(f"weight > {limit}")
+    large = stored.put(large.select("block"), "large")
+    some = large.head() is not None
+    whole = rows_of(sized(large), "left_anti")
+    kept = [c for c in whole.columns if c != "hub"]
+    none = F.lit(-1)
+    whole = whole.select(*kept, F.lit(False).alias("near"), none.alias("chunk"), none.alias("f"), none.alias("c"))
+    if not some:
+        return _solved(whole, similarity)
+    split = stored.put(rows_of(sized(large), "left_semi"), "split")
     light = [c for c in kept if c != "block"]
-    hubs = rows.where("rep = hub").join(split.select("hub").distinct(), "hub", "left_semi")
-    hubs = hubs.select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in light)).dropDuplicates(["hub"])
+    hubs = split.where("rep = hub").select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in light))
+    hubs = hubs.dropDuplicates(["hub"])
     marked = split.join(hubs, "hub")
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in [*kept, "hub"])
+    schema = ", ".join(f"{c} {split.schema[c].dataType.simpleString()}" for c in [*kept, "hub"])
     order = [*kept, "hub", *[c for c in hubs.columns if c != "hub"]]
     marked = stored.put(marked.select(order).mapInArrow(_marker(similarity), f"{schema}, near boolean"), "marked")
     close = marked.where("near AND rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
@@ -307,8 +315,12 @@ def block_edges(rows: DataFrame, weight: str, limit: int, similarity: Similarity
         .withColumn("cell", F.explode(F.expr(places)))
         .select(*kept, "near", "chunk", "cell.f", "cell.c")
     )
-    dealt = cells.union(parts).repartition("block", "f", "c").sortWithinPartitions("block", "f", "c", "rep")
-    return close.union(dealt.mapInArrow(_cell_worker(similarity), "a bigint, b bigint"))
+    return close.union(_solved(whole.union(parts), similarity))
+
+
+def _solved(cells: DataFrame, similarity: Similarity) -> DataFrame:
+    dealt = cells.repartition("block", "f", "c").sortWithinPartitions("block", "f", "c", "rep")
+    return dealt.mapInArrow(_cell_worker(similarity), "a bigint, b bigint")
 
 
 def _shingle_sets(shingle: int) -> Callable:
@@ -318,9 +330,9 @@ def _shingle_sets(shingle: int) -> Callable:
             for part in slices(batch, "text"):
                 sets = [shingle_set(text, shingle, hashes) for text in texts_of(part)]
                 yield pa.record_batch(
-                    [part.column("root"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
+                    [part.column("block"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
                      pa.array(list(map(point_of, sets)), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                     part.column("root")],
+                     part.column("block")],
                     names=["block", "rep", "n", "point", "shingles", "hub"],
                 )
 
@@ -338,7 +350,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     """
     spark, similarity = docs.sparkSession, Similarity(num, den)
     stored, last = Stored(spark), Stored(spark)
-    given = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+    given = texts(docs)
     signed = stored.put(
         given.mapInArrow(signer(shingle, similarity, *frequent_shingles(given, shingle)), SIGNED), "signed"
     )
@@ -354,22 +366,29 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     shared = keys.groupBy("block").agg(F.count("*").alias("rows"), F.min("rep").alias("hub")).where("rows > 1")
     shared = keys.join(shared.drop("rows"), "block")
     rows = shared.join(reps.select("rep", "n", "point"), "rep").select("block", "rep", "n", "point", "hub")
-    bounds = block_edges(stored.put(rows, "blocks"), "1", CELL_ROWS, similarity, stored)
+    rows = stored.put(rows, "blocks")
+    sizes = stored.put(signed.select("doc_id", "n", "digest"), "sizes")
+    stored.forget("signed")
+    bounds = block_edges(
+        rows.select("block", F.lit(1).alias("weight")), lambda blocks, how: rows.join(blocks, "block", how), "1",
+        CELL_ROWS, similarity, stored,
+    )
     groups = components(bounds.distinct(), stored)
-    groups = stored.put(groups.union(groups.select(F.col("root").alias("node"), "root").distinct()), "groups")
+    groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
+    groups = stored.put(groups.select(F.col("node").alias("doc_id"), F.col("root").alias("block")), "groups")
 
     # Groups: the sets of their documents, computed again from the texts where they lie.
-    wanted = sized(groups.select(F.col("node").alias("doc_id"), "root"))
-    members_of = given.join(wanted, "doc_id")
-    sets = members_of.mapInArrow(
-        _shingle_sets(shingle), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint"
-    )
-    links = block_edges(stored.put(sets, "sets"), "n", CELL_SHINGLES, similarity, stored)
+    def sets_of(blocks: DataFrame, how: str) -> DataFrame:
+        chosen = given.join(sized(groups.join(blocks, "block", how)), "doc_id")
+        return chosen.mapInArrow(_shingle_sets(shingle), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint")
+
+    weights = groups.join(sizes, "doc_id").select("block", F.col("n").alias("weight"))
+    links = block_edges(weights, sets_of, "n", CELL_SHINGLES, similarity, stored)
     roots = components(links, stored)
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("digest", F.coalesce("root", "rep").alias("root"))
-    result = signed.join(named, "digest", "left").select(
+    result = sizes.join(named, "digest", "left").select(
         "doc_id",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("root"))).otherwise(F.col("doc_id")).alias("component_id"),

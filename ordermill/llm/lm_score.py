@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import sized, slices
+from ordermill.llm.common import sized, slices, texts
 
 SYMBOLS, ORDER = 40, 4
 UNKNOWN, BOUNDARY = 0, 1
@@ -134,7 +134,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     model is the uniform distribution. Rows that repeat count as often as they stand there.
     """
     spark = docs.sparkSession
-    given = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+    given = texts(docs)
     characters = vocabulary(given)
     chosen = target_ids.selectExpr("CAST(doc_id AS BIGINT) AS doc_id").distinct().withColumn("target", F.lit(True))
     marked = _with_flag(given, chosen)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, fold, slices, texts_of
+from ordermill.llm.common import Stored, fold, slices, texts, texts_of
 
 STATISTICS = (
     "log_words log_bytes word_length letters digits blanks symbols capitals odd_word_ends distinct_words"
@@ -76,7 +76,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measured(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the statistics of every whole text; of a null text those of an empty one."""
-    given = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+    given = texts(docs)
     return given.mapInArrow(_measure, "doc_id bigint, " + ", ".join(f"{s} double" for s in STATISTICS))
 
 

@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 
 from ordermill.llm import files
 from ordermill.llm.bpe import WORD_BPE
-from ordermill.llm.common import slices
+from ordermill.llm.common import slices, texts
 from ordermill.operators.storage import scratch_path
 
 END_ID = 2
@@ -113,10 +113,10 @@ def packed_ids(path: str, end_id: int, width: int) -> Callable:
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                texts = pc.fill_null(part.column("text"), "")
-                if not pc.any(pc.match_substring(texts, "<|")).as_py():
-                    texts = pc.ascii_lower(texts)  # special tokens are the only case that counts
-                split = pc.ascii_split_whitespace(texts)
+                column = pc.fill_null(part.column("text"), "")
+                if not pc.any(pc.match_substring(column, "<|")).as_py():
+                    column = pc.ascii_lower(column)  # special tokens are the only case that counts
+                split = pc.ascii_split_whitespace(column)
                 words = split.flatten().dictionary_encode()
                 values = [*encode(words.dictionary.to_pylist()), end]
                 sizes = np.array([len(v) // width for v in values], np.int64)
@@ -192,9 +192,7 @@ def write_token_files(
     spark, path = docs.sparkSession, tokenizer or public_tokenizers.path(WORD_BPE)
     width = id_width(path)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    given = docs.selectExpr(
-        "coalesce(CAST(doc_id AS BIGINT), raise_error('a document without doc_id')) AS doc_id", "CAST(text AS STRING) AS text"
-    )
+    given = texts(docs).selectExpr("coalesce(doc_id, raise_error('a document without doc_id')) AS doc_id", "text")
     cuts = given.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 100 * parts)).head()[0]
     part_of = F.lit(0)
     if cuts and parts > 1:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, fold, slices
+from ordermill.llm.common import Stored, fold, slices, texts
 
 MAX_DOCS, MAX_WORDS, MAX_WINDOWS, WINDOW = 20_000, 300, 4_000, 96
 MIN_DOCS, MIN_CONTEXTS, MIN_Z, MIN_LOG_ODDS = 3, 3, 2.5, 1.5
@@ -293,7 +293,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     stored = Stored(spark)
-    given = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
+    given = texts(docs)
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     known = known.where("label IN (0, 1)").withColumn("fold", fold(F.col("doc_id"))).where("fold <> 0").drop("fold").distinct()
     share = max(1, min(1 << 20, (MAX_DOCS << 20) // max(1, known.count())))
