@@ -28,7 +28,7 @@ from ordermill.llm.common import slices, texts, texts_of
 WORD_BPE = "word_bpe_49k.json"
 SHORT = 24
 NO_RANK = np.int64(1) << 62
-MEMO_ENTRIES, MEMO_BYTES = 200_000, 64
+MEMO_ENTRIES, MEMO_BYTES = 100_000, 64
 # The split pattern of the vocabulary for lower-case ASCII text; fixed by its file.
 _ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
 
@@ -252,7 +252,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = ChunkMemo(ChunkEncoder(WordBpe(path)))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 1 << 20):
                 counts, ids, decoded = [], [], []
                 for values in memo.values(texts_of(part)):
                     values = [v for v in values if v[0]]

@@ -35,7 +35,7 @@ from ordermill.llm.common import slices, texts
 from ordermill.operators.storage import scratch_path
 
 END_ID = 2
-SLICE, ROWS = 24 << 20, 500
+SLICE, ROWS = 8 << 20, 500
 PART_SCHEMA = "part int, n_docs bigint, n_tokens bigint, width int, name string"
 SPAN_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -55,7 +55,7 @@ class WordIds:
     up to a bounded number.
     """
 
-    KEPT, AT_ONCE = 400_000, 64
+    KEPT, AT_ONCE = 200_000, 64
     # Letters up to U+024F; the pattern itself is the vocabulary's, fixed by its file.
     _LETTERS = "".join(c for c in map(chr, range(0x80, 0x250)) if c.isalpha() and c != "\u0130")
     _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{_LETTERS}]+|[0-9]|[^ A-Za-z0-9{_LETTERS}]+")
