@@ -1,8 +1,6 @@
-import random
-
 import pytest
+from samples import prose
 
-WORDS = [a + b + c for a in ("th", "on", "re", "ing") for b in ("a", "er", "ou") for c in ("n", "st", "le", "")]
 EDGES = [
     (None, "a text without an id that is long enough to be more than four words"),
     (1, None),
@@ -20,11 +18,6 @@ EDGES = [
 ]
 
 
-def prose(seed: int, count: int) -> str:
-    draw = random.Random(seed)
-    return " ".join(draw.choice(WORDS) + draw.choice(["", "", "", ",", "."]) for _ in range(count))
-
-
 @pytest.fixture(scope="session")
 def edge_rows():
     """Rows that operators must take: nulls, empty and very long texts, ties, repeated rows and ids."""

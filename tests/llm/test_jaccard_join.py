@@ -2,9 +2,10 @@
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
-from conftest import prose
+from samples import prose
 
 from ordermill.llm import entries, jaccard_join
 from ordermill.llm.common import Stored, table
@@ -80,6 +81,13 @@ def test_op3_on_a_whole_table(spark):
     assert sorted(map(tuple, entries.op3_jaccard_join(spark, SF).collect())) == brute(rows)
 
 
+def test_sql_counterpart(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    rows = con.execute(entries.ORACLE_SQL["op3_jaccard_join"]).fetchall()
+    assert sorted(rows) == sorted(map(tuple, entries.op3_jaccard_join(spark, SF).collect()))
+
+
 def test_edge_rows(with_clashes, edge_rows):
     found = jaccard_join.jaccard_components(with_clashes(edge_rows)).collect()
     assert len(found) == len(edge_rows)

@@ -5,7 +5,7 @@ import random
 import re
 
 import pytest
-from conftest import prose
+from samples import prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline

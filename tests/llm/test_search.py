@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import prose
+from samples import prose
 from pyspark.sql import functions as F
 
 from ordermill.llm import ann, decontaminate, entries, passages
