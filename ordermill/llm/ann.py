@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ordermill.llm.common import Stored
+from ordermill.llm.common import Stored, tidy
 
 SAMPLE, TRIALS, LISTS, ROUNDS, RECALL = 20_000, 200, 1_024, 12, 0.98
 COLUMNS, DOUBT, SLACK = 16, 2.1, 1e-9
@@ -189,11 +189,11 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float =
     rotation = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, size)))[0]
 
     schema = "vec_id bigint, vec array<double>, lists array<int>"
-    indexed = rows.mapInArrow(_lists(centres, 1, "lists"), schema).select("vec_id", "vec", F.col("lists")[0].alias("list"))
+    indexed = rows.mapInArrow(tidy(_lists(centres, 1, "lists")), schema).select("vec_id", "vec", F.col("lists")[0].alias("list"))
     indexed = stored.put(indexed, "lists")
     # One row per list, a thousand at most; rows per block and queries per chunk follow from them.
     probed = stored.put(
-        asked.mapInArrow(_lists(centres, probes, "lists"), schema).select(F.col("vec_id").alias("query_id"), "vec", F.explode("lists").alias("list")),
+        asked.mapInArrow(tidy(_lists(centres, probes, "lists")), schema).select(F.col("vec_id").alias("query_id"), "vec", F.explode("lists").alias("list")),
         "probes",
     )
     per_list = indexed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))

@@ -23,7 +23,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from ordermill.llm.common import slices, texts, texts_of
+from ordermill.llm.common import slices, texts, texts_of, tidy
 
 WORD_BPE = "word_bpe_49k.json"
 SHORT = 24
@@ -266,4 +266,4 @@ def encode_documents(
                     names=["doc_id", "n_tokens", "ids_text", "decoded"],
                 )
 
-    return texts(docs).mapInArrow(run, SCHEMA)
+    return texts(docs).mapInArrow(tidy(run), SCHEMA)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +35,25 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(text AS STRING) AS text")
 
 
+def tidy(run: Callable) -> Callable:
+    """A function over Arrow batches that gives freed memory back when its task ends.
+
+    Python workers serve one task after another; what allocators keep for later use would add up with
+    what the next operator needs.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only of the GNU library
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 5; rows of fold 0 are held out of every training."""
     return (F.crc32(doc_id.cast("string")) % 5).cast("int")

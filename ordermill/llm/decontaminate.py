@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import slices, texts
+from ordermill.llm.common import slices, texts, tidy
 
 SHINGLE, OVERLAP, THRESHOLD = 5, 0.8, 0.6
 PASSAGE, BLOCK, INDEX_WORDS = 128, 32, 300_000
@@ -301,7 +301,7 @@ def leaks(
         groups.append(group)
     for group in groups:
         index = spark.sparkContext.broadcast(cloudpickle.dumps(ItemIndex(group, frequency, count, total / count)))
-        some = given.mapInArrow(_ask(index, threshold, overlap, shingle), FOUND)
+        some = given.mapInArrow(tidy(_ask(index, threshold, overlap, shingle)), FOUND)
         found = some if found is None else found.union(some)
     if found is None:
         return spark.createDataFrame([], FOUND)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, repeated_ids, sized, slices, texts, texts_of
+from ordermill.llm.common import Stored, repeated_ids, sized, slices, texts, texts_of, tidy
 from ordermill.llm.graph import components
 from ordermill.llm.shingles import WordHashes, shingle_set
 
@@ -187,7 +187,7 @@ def frequent_shingles(given: DataFrame, shingle: int) -> tuple[np.ndarray, np.nd
     share = max(1, min(1 << 20, (SAMPLE_DOCS << 20) // max(1, given.count())))
     sample = given.where(f"pmod(xxhash64(doc_id), {1 << 20}) < {share}")
     rows = (
-        sample.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
+        sample.mapInArrow(tidy(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where("n > 2")
         .orderBy(F.desc("n"), "key").limit(FREQUENT).collect()
     )
     keys = np.array([r.key for r in rows], np.int64).view(np.uint64)
@@ -289,7 +289,7 @@ def block_edges(
     marked = split.join(hubs, "hub")
     schema = ", ".join(f"{c} {split.schema[c].dataType.simpleString()}" for c in [*kept, "hub"])
     order = [*kept, "hub", *[c for c in hubs.columns if c != "hub"]]
-    marked = stored.put(marked.select(order).mapInArrow(_marker(similarity), f"{schema}, near boolean"), "marked")
+    marked = stored.put(marked.select(order).mapInArrow(tidy(_marker(similarity)), f"{schema}, near boolean"), "marked")
     close = marked.where("near AND rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     stats = (
         marked.groupBy("block")
@@ -320,7 +320,7 @@ def block_edges(
 
 def _solved(cells: DataFrame, similarity: Similarity) -> DataFrame:
     dealt = cells.repartition("block", "f", "c").sortWithinPartitions("block", "f", "c", "rep")
-    return dealt.mapInArrow(_cell_worker(similarity), "a bigint, b bigint")
+    return dealt.mapInArrow(tidy(_cell_worker(similarity)), "a bigint, b bigint")
 
 
 def _shingle_sets(shingle: int) -> Callable:
@@ -352,7 +352,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     stored, last = Stored(spark), Stored(spark)
     given = texts(docs)
     signed = stored.put(
-        given.mapInArrow(signer(shingle, similarity, *frequent_shingles(given, shingle)), SIGNED), "signed"
+        given.mapInArrow(tidy(signer(shingle, similarity, *frequent_shingles(given, shingle))), SIGNED), "signed"
     )
     members = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored.put(members.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
@@ -380,7 +380,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     # Groups: the sets of their documents, computed again from the texts where they lie.
     def sets_of(blocks: DataFrame, how: str) -> DataFrame:
         chosen = given.join(sized(groups.join(blocks, "block", how)), "doc_id")
-        return chosen.mapInArrow(_shingle_sets(shingle), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint")
+        return chosen.mapInArrow(tidy(_shingle_sets(shingle)), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint")
 
     weights = groups.join(sizes, "doc_id").select("block", F.col("n").alias("weight"))
     links = block_edges(weights, sets_of, "n", CELL_SHINGLES, similarity, stored)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import sized, slices, texts
+from ordermill.llm.common import sized, slices, texts, tidy
 
 SYMBOLS, ORDER = 40, 4
 UNKNOWN, BOUNDARY = 0, 1
@@ -47,7 +47,7 @@ def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 
 def vocabulary(given: DataFrame) -> list[int]:
     """The most frequent characters of all documents; ties go to the smaller code point."""
-    counts = given.mapInArrow(_count_characters, "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
+    counts = given.mapInArrow(tidy(_count_characters), "c int, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
     return [r.c for r in counts.orderBy(F.desc("n"), "c").limit(SYMBOLS - 2).collect()]
 
 
@@ -139,7 +139,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     chosen = target_ids.selectExpr("CAST(doc_id AS BIGINT) AS doc_id").distinct().withColumn("target", F.lit(True))
     marked = _with_flag(given, chosen)
     counts = (
-        marked.mapInArrow(_count_grams(characters), "gram int, background bigint, target bigint")
+        marked.mapInArrow(tidy(_count_grams(characters)), "gram int, background bigint, target bigint")
         .groupBy("gram").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
         .toArrow()
     )
@@ -148,7 +148,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame) -> DataFram
     for k, name in enumerate(("background", "target")):
         dense[k][at] = counts.column(name).to_numpy()
     difference = spark.sparkContext.broadcast(losses(dense[1]) - losses(dense[0]))
-    return given.mapInArrow(_score(characters, difference), SCORE_SCHEMA)
+    return given.mapInArrow(tidy(_score(characters, difference)), SCORE_SCHEMA)
 
 
 def _with_flag(given: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, fold, slices, texts, texts_of
+from ordermill.llm.common import Stored, fold, slices, texts, texts_of, tidy
 
 STATISTICS = (
     "log_words log_bytes word_length letters digits blanks symbols capitals odd_word_ends distinct_words"
@@ -77,7 +77,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def measured(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the statistics of every whole text; of a null text those of an empty one."""
     given = texts(docs)
-    return given.mapInArrow(_measure, "doc_id bigint, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return given.mapInArrow(tidy(_measure), "doc_id bigint, " + ", ".join(f"{s} double" for s in STATISTICS))
 
 
 class Kernel:
@@ -195,7 +195,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     k = len(STATISTICS)
     kernel = Kernel(np.array(moments[1 : k + 1]), np.array(moments[k + 1 :]))
     cells = (
-        taught.mapInArrow(_equations(kernel), "fold int, i int, j int, value double")
+        taught.mapInArrow(tidy(_equations(kernel)), "fold int, i int, j int, value double")
         .groupBy("fold", "i", "j").agg(F.sum("value").alias("value")).toArrow()
     )
     sums = np.zeros((5, FEATURES + 1, FEATURES + 2))
@@ -204,7 +204,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     total = sums.sum(axis=0)
     weights = {(f, r): _solve(total - sums[f], ridge) for f in FOLDS for r, ridge in enumerate(RIDGES)}
     binned = (
-        taught.mapInArrow(_binned(kernel, weights), "ridge int, cell int, label bigint, loss double")
+        taught.mapInArrow(tidy(_binned(kernel, weights)), "ridge int, cell int, label bigint, loss double")
         .groupBy("ridge", "cell").agg(F.sum("label").alias("good"), F.count("*").alias("n"), F.sum("loss").alias("loss"))
         .orderBy("ridge", "cell").collect()
     )
@@ -212,7 +212,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     best = int(np.argmin(loss))
     own = [b for b in binned if b.ridge == best]
     knots = isotonic(*(np.array([b[c] for b in own], np.float64) for c in ("cell", "good", "n")))
-    scored = rows.mapInArrow(_apply(kernel, _solve(total, RIDGES[best]), knots), "doc_id bigint, score double")
+    scored = rows.mapInArrow(tidy(_apply(kernel, _solve(total, RIDGES[best]), knots)), "doc_id bigint, score double")
     result = last.put(scored.select("doc_id", held_out, "score"), "quality")
     stored.drop()
     return result

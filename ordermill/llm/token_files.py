@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 
 from ordermill.llm import files
 from ordermill.llm.bpe import WORD_BPE
-from ordermill.llm.common import slices, texts
+from ordermill.llm.common import slices, texts, tidy
 from ordermill.operators.storage import scratch_path
 
 END_ID = 2
@@ -198,14 +198,14 @@ def write_token_files(
     if cuts and parts > 1:
         cuts = sorted(set(cuts))
         part_of = F.expr(f"{len(cuts)} - aggregate({_constant(cuts)}, 0, (n, c) -> n + CAST(c >= doc_id AS INT))")
-    packed = given.mapInArrow(packed_ids(path, end_id, width), "doc_id bigint, ids binary")
+    packed = given.mapInArrow(tidy(packed_ids(path, end_id, width)), "doc_id bigint, ids binary")
     ordered = (
         packed.withColumn("part", part_of.cast("int"))
         .repartitionById(parts, F.col("part"))
         .sortWithinPartitions("doc_id", "ids")
     )
     where = f"{folder}/manifest"
-    written = ordered.mapInArrow(_part_writer(folder, width), PART_SCHEMA)
+    written = ordered.mapInArrow(tidy(_part_writer(folder, width)), PART_SCHEMA)
     written.write.parquet(f"{where}-counts")
     counts = spark.read.schema(PART_SCHEMA).parquet(f"{where}-counts")
     # One row per part: the prefix sum needs a single small window.
@@ -242,7 +242,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # A part is one task: the manifest is small, the files behind its rows are not.
     return manifest.withColumn("at", F.row_number().over(Window.orderBy("part")) - 1).repartitionById(
         parts, F.col("at").cast("int")
-    ).mapInArrow(run, SPAN_SCHEMA)
+    ).mapInArrow(tidy(run), SPAN_SCHEMA)
 
 
 def token_files_round_trip(docs: DataFrame) -> DataFrame:

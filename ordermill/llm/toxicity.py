@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import Stored, fold, slices, texts
+from ordermill.llm.common import Stored, fold, slices, texts, tidy
 
 MAX_DOCS, MAX_WORDS, MAX_WINDOWS, WINDOW = 20_000, 300, 4_000, 96
 MIN_DOCS, MIN_CONTEXTS, MIN_Z, MIN_LOG_ODDS = 3, 3, 2.5, 1.5
@@ -82,7 +82,7 @@ def _count_contexts(words: set[str]) -> Callable:
 
 def evidence_words(taught: DataFrame, toxic: int, clean: int) -> list[str]:
     """Words that tell toxic from clean documents, the strongest first."""
-    counts = taught.mapInArrow(_count_words, "word string, toxic bigint, clean bigint").groupBy("word")
+    counts = taught.mapInArrow(tidy(_count_words), "word string, toxic bigint, clean bigint").groupBy("word")
     odds = (
         f"ln((toxic + 0.5) / ({toxic} - toxic + 0.5)) - ln((clean + 0.5) / (greatest({clean} - clean, 0) + 0.5))"
     )
@@ -94,7 +94,7 @@ def evidence_words(taught: DataFrame, toxic: int, clean: int) -> list[str]:
     )
     if not rows:
         return []
-    contexts = taught.mapInArrow(_count_contexts({r.word for r in rows}), "word string, context bigint, label int")
+    contexts = taught.mapInArrow(tidy(_count_contexts({r.word for r in rows})), "word string, context bigint, label int")
     odds = f"ln((toxic + 0.5) / (clean + 0.5)) - ln({toxic / max(1, clean)})"
     kept = (
         contexts.distinct().groupBy("word")
@@ -308,12 +308,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     words = evidence_words(taught, sizes[1], sizes[0])
     numbers = {w: i + 1 for i, w in enumerate(words)}
     windows = (
-        taught.mapInArrow(_windows(numbers), "tokens array<int>, label int, place bigint")
+        taught.mapInArrow(tidy(_windows(numbers)), "tokens array<int>, label int, place bigint")
         .orderBy("place").limit(MAX_WINDOWS).collect()
     )
     field = train_field(words, [(r.tokens, r.label) for r in windows])
     # The documents' measures come out of the field; labels join them by id, not by text.
-    seen = taught.select("doc_id", "text").mapInArrow(_tag(field), MEASURES).drop("spans").distinct().join(known, "doc_id")
+    seen = taught.select("doc_id", "text").mapInArrow(tidy(_tag(field)), MEASURES).drop("spans").distinct().join(known, "doc_id")
     table = seen.toArrow()
     columns = [table.column(c).to_numpy() for c in ("expected", "density", "highest", "label")]
     weights = train_logistic(_features(*columns[:3]), columns[3].astype(float))
@@ -323,4 +323,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for w, x in zip(map(float, weights), ("1.0", "log1p(expected)", "log1p(1000 * density)", "highest"))
     )
     score = F.expr(f"1 / (1 + exp(-({linear})))").alias("score")
-    return given.mapInArrow(_tag(field), MEASURES).select("doc_id", held_out, score, "spans")
+    return given.mapInArrow(tidy(_tag(field)), MEASURES).select("doc_id", held_out, score, "spans")
