@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import Stored, repeated_ids, sized, slices, texts, texts_of, tidy
 from ordermill.llm.graph import components
 from ordermill.llm.shingles import WordHashes, shingle_set
+from ordermill.operators.joins import BROADCAST_BYTES
 
 GROUPS, FANOUT = 128, 32
 CELL_ROWS, CELL_SHINGLES = 4_096, 5_000_000
+ROW_WEIGHT = 500  # of a set besides its shingles, so that a cell of short ones is bounded too
 SAMPLE_DOCS, FREQUENT = 20_000, 100_000
 _FULL = 255  # a coordinate that stands for any larger one
 
@@ -262,30 +264,35 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def block_edges(
-    weights: DataFrame, rows_of: Callable[[DataFrame, str], DataFrame], weight: str, limit: int, similarity: Similarity,
+    weights: DataFrame, rows_of: Callable[[DataFrame, str, bool], DataFrame], weight: str, limit: int, similarity: Similarity,
     stored: Stored,
 ) -> DataFrame:
     """Edges (a, b) that connect, in every block, what links within the block connect.
 
-    ``weights`` has a row with block and weight for all or parts of each block. ``rows_of(blocks, how)``
-    gives the rows (block, rep, hub, n, point and perhaps shingles) in the given blocks (``left_semi``) or
-    in all others (``left_anti``). Blocks of up to ``limit`` are one cell. In the others every row, of the
-    weight ``weight``, is marked as near its hub or far; a cell holds about twice ``limit`` at most, or
-    two rows.
+    ``weights`` has a row with block and weight for all or parts of each block. ``rows_of(blocks, how,
+    hubs)`` gives the rows (block, rep, hub, n, point and perhaps shingles) in the given blocks
+    (``left_semi``) or in all others (``left_anti``), with ``hubs`` only those of hubs. Blocks of up to
+    ``limit`` are one cell. In the others every row, of the weight ``weight``, is marked as near its hub or
+    far; a cell holds about twice ``limit`` at most, or two rows.
     """
     large = weights.groupBy("block").agg(F.sum("weight").alias("weight")).where(f"weight > {limit}")
     large = stored.put(large.select("block"), "large")
     some = large.head() is not None
-    whole = rows_of(sized(large), "left_anti")
+    whole = rows_of(sized(large), "left_anti", False)
     kept = [c for c in whole.columns if c != "hub"]
     none = F.lit(-1)
     whole = whole.select(*kept, F.lit(False).alias("near"), none.alias("chunk"), none.alias("f"), none.alias("c"))
     if not some:
         return _solved(whole, similarity)
-    split = stored.put(rows_of(sized(large), "left_semi"), "split")
+    split = rows_of(sized(large), "left_semi", False)
     light = [c for c in kept if c != "block"]
-    hubs = split.where("rep = hub").select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in light))
-    hubs = hubs.dropDuplicates(["hub"])
+    hubs = rows_of(sized(large), "left_semi", True)
+    hubs = hubs.select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in light)).dropDuplicates(["hub"])
+    # One hub per large block: few, but each may be a long document's set.
+    hubs = stored.put(hubs, "hubs")
+    size = sum((F.octet_length(c) for c in hubs.columns if c in ("hub_point", "hub_shingles")), F.lit(64))
+    if (hubs.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
+        hubs = F.broadcast(hubs)
     marked = split.join(hubs, "hub")
     schema = ", ".join(f"{c} {split.schema[c].dataType.simpleString()}" for c in [*kept, "hub"])
     order = [*kept, "hub", *[c for c in hubs.columns if c != "hub"]]
@@ -369,21 +376,25 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     rows = stored.put(rows, "blocks")
     sizes = stored.put(signed.select("doc_id", "n", "digest"), "sizes")
     stored.forget("signed")
+
+    def rows_in(blocks: DataFrame, how: str, hubs: bool) -> DataFrame:
+        return (rows.where("rep = hub") if hubs else rows).join(blocks, "block", how)
+
     bounds = block_edges(
-        rows.select("block", F.lit(1).alias("weight")), lambda blocks, how: rows.join(blocks, "block", how), "1",
-        CELL_ROWS, similarity, stored,
-    )
+        rows.select("block", F.lit(1).alias("weight")), rows_in, "1", CELL_ROWS, similarity, stored
+    )
     groups = components(bounds.distinct(), stored)
     groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
     groups = stored.put(groups.select(F.col("node").alias("doc_id"), F.col("root").alias("block")), "groups")
 
     # Groups: the sets of their documents, computed again from the texts where they lie.
-    def sets_of(blocks: DataFrame, how: str) -> DataFrame:
-        chosen = given.join(sized(groups.join(blocks, "block", how)), "doc_id")
+    def sets_of(blocks: DataFrame, how: str, hubs: bool) -> DataFrame:
+        chosen = groups.where("doc_id = block") if hubs else groups
+        chosen = given.join(sized(chosen.join(blocks, "block", how)), "doc_id")
         return chosen.mapInArrow(tidy(_shingle_sets(shingle)), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint")
 
-    weights = groups.join(sizes, "doc_id").select("block", F.col("n").alias("weight"))
-    links = block_edges(weights, sets_of, "n", CELL_SHINGLES, similarity, stored)
+    weights = groups.join(sizes, "doc_id").select("block", (F.col("n") + ROW_WEIGHT).alias("weight"))
+    links = block_edges(weights, sets_of, f"n + {ROW_WEIGHT}", CELL_SHINGLES, similarity, stored)
     roots = components(links, stored)
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")

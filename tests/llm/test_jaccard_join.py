@@ -72,6 +72,7 @@ def test_other_shingles_and_similarity(with_clashes, rows):
 def test_split_blocks_lose_nothing(with_clashes, rows, monkeypatch, cells, sets):
     monkeypatch.setattr(jaccard_join, "CELL_ROWS", cells)
     monkeypatch.setattr(jaccard_join, "CELL_SHINGLES", sets)
+    monkeypatch.setattr(jaccard_join, "ROW_WEIGHT", 1)
     found = jaccard_join.jaccard_components(with_clashes(rows)).collect()
     assert sorted(map(tuple, found)) == brute(rows)
 
