@@ -18,6 +18,9 @@ sum against the upper corner of an R-tree node, for all points below it.
 Blocks and groups beyond a cell's size are split: first every row is compared with the smallest id,
 the hub; rows near it need not be compared with each other, as the hub connects them. The others, the
 far rows, are cut into chunks and meet every chunk of the block, each pair of chunks as a cell.
+
+Long texts fill all groups alike, so their points say little. Where the sets are at hand, a second point
+of ``FINE`` groups is counted from them on the spot, and its bound comes before the verification.
 """
 
 from __future__ import annotations
@@ -35,9 +38,9 @@ from ordermill.llm.graph import components
 from ordermill.llm.shingles import WordHashes, shingle_set
 from ordermill.operators.joins import BROADCAST_BYTES
 
-GROUPS, FANOUT = 128, 32
-CELL_ROWS, CELL_SHINGLES = 4_096, 5_000_000
-ROW_WEIGHT = 500  # of a set besides its shingles, so that a cell of short ones is bounded too
+GROUPS, FINE, FANOUT = 128, 1_024, 32
+CELL_ROWS, CELL_SHINGLES = 4_096, 10_000_000
+ROW_WEIGHT = 200  # of a set besides its shingles, so that a cell of short ones is bounded too
 SAMPLE_DOCS, FREQUENT = 20_000, 100_000
 _FULL = 255  # a coordinate that stands for any larger one
 
@@ -72,6 +75,14 @@ def points_of(column: list[bytes]) -> np.ndarray:
     return points
 
 
+def fine_points(sets: list[np.ndarray]) -> np.ndarray:
+    """Counts per fine group; 16 bits hold any that a set of less than 60 million shingles has."""
+    points = np.zeros((len(sets), FINE), np.uint16)
+    for row, shingles in enumerate(sets):
+        points[row] = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % FINE, minlength=FINE)
+    return points
+
+
 class CountTree:
     """An R-tree over points with sizes, packed by size and then by the widest coordinate."""
 
@@ -127,6 +138,7 @@ def forest(
     label = np.arange(len(sizes))
     if near.any():
         label[near] = np.flatnonzero(near)[0]
+    fine = fine_points(sets) if sets is not None else None
     where = np.flatnonzero(targets)
     tree = CountTree(points[where], sizes[where], similarity)
     for i in np.flatnonzero(probes):
@@ -135,6 +147,9 @@ def forest(
         while len(found):
             some, found = found[:256], found[256:]
             if sets is not None:
+                bound = np.minimum(fine[some], fine[i]).sum(axis=1, dtype=np.int64)
+                some = some[bound >= similarity.needed(sizes[some], sizes[i])]
+            if sets is not None and len(some):
                 common = overlaps(sets[i], [sets[j] for j in some])
                 some = some[common >= similarity.needed(sizes[some], sizes[i])]
             for j in some:
@@ -314,8 +329,8 @@ def block_edges(
     places = """
         CASE WHEN near THEN transform(sequence(0, fs - 1), x -> struct(x AS f, chunk AS c))
              ELSE array_distinct(concat(
-                 transform(sequence(0, fs + ns - 1), x -> struct(chunk AS f, x AS c)),
-                 transform(sequence(0, fs - 1), x -> struct(x AS f, chunk AS c)))) END"""
+                 transform(sequence(chunk, fs + ns - 1), x -> struct(chunk AS f, x AS c)),
+                 transform(sequence(0, chunk), x -> struct(x AS f, chunk AS c)))) END"""
     parts = (
         marked.drop("hub").join(sized(stats), "block")
         .withColumn("chunk", F.expr(f"CAST({chunk} AS INT)"))
