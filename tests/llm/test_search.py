@@ -157,7 +157,7 @@ def test_compact_windows():
         values = [draw.randint(0, 30) for _ in range(draw.randint(0, 120))]
         width = draw.choice([1, 2, 3, 5, 8])
         found = zip(*(x.tolist() for x in passages.compact_windows(np.array(values, np.uint64), width)))
-        assert sorted(found) == windows_by_hand(values, width)
+        assert sorted(found) == sorted(windows_by_hand(values, width))
 
 
 def test_planted_passages(with_clashes):
