@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import ann, bpe, decontaminate, jaccard_join, lm_score, passages, pii, quality, token_files, toxicity
+from ordermill.llm import ann, bpe, decontaminate, jaccard_join, passages, pii, quality, token_files, toxicity, word_lm
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,7 +56,7 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents that labels mark as good."""
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    return word_lm.word_cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

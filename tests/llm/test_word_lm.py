@@ -1,0 +1,76 @@
+"""Word bigram models against plain counting, in scripts beside a larger Latin share."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordermill.llm import entries, word_lm
+
+
+def plain_losses(texts, vocabulary):
+    grams, contexts, words = Counter(), defaultdict(Counter), Counter()
+    for text in texts:
+        line = ["", *word_lm.words_of(text), ""]
+        for a, b in zip(line, line[1:]):
+            grams[a, b] += 1
+            contexts[a][b] += 1
+            words[b] += 1
+
+    def loss(a, b):
+        kinds, own = max(1, len(words)), contexts[a]
+        single = (words[b] + kinds / vocabulary) / (sum(words.values()) + kinds)
+        return -math.log((grams[a, b] + max(1, len(own)) * single) / (sum(own.values()) + max(1, len(own))))
+
+    return loss
+
+
+def expected(texts, target):
+    vocabulary = len({w for t in texts for w in word_lm.words_of(t)} | {""})
+    background, aimed = plain_losses(texts, vocabulary), plain_losses(target, vocabulary)
+    for text in texts:
+        line = ["", *word_lm.words_of(text), ""]
+        losses = [aimed(a, b) - background(a, b) for a, b in zip(line, line[1:])]
+        yield len(losses), sum(losses) / len(losses)
+
+
+TEXTS = ["the cat", "the dog!", "", None, "zzz 123 zzz", "The the the the cat", "é日本 日本", "the cat"]
+
+
+@pytest.mark.parametrize("hot", [word_lm.HOT, 10, 1])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_word_loss_differences_equal_plain_counting(spark, with_clashes, monkeypatch, hot, broadcast):
+    monkeypatch.setattr(word_lm, "HOT", hot)
+    if not broadcast:
+        monkeypatch.setattr(word_lm, "sized", lambda df: df)
+    target = spark.createDataFrame([(0,), (1,), (1,), (None,), (99,)], "doc_id bigint")
+    rows = word_lm.word_cross_entropy_difference(with_clashes(list(enumerate(TEXTS))), target).orderBy("doc_id").collect()
+    for row, (tokens, score) in zip(rows, expected(TEXTS, TEXTS[:2]), strict=True):
+        assert row.n_tokens == tokens and row.score == pytest.approx(score)
+
+
+@pytest.mark.parametrize("hot", [word_lm.HOT, 10])
+def test_word_loss_differences_of_edge_rows(spark, with_clashes, edge_rows, monkeypatch, hot):
+    monkeypatch.setattr(word_lm, "HOT", hot)
+    none = spark.createDataFrame([], "doc_id bigint")
+    rows = word_lm.word_cross_entropy_difference(with_clashes(edge_rows), none).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == sorted((k is None, k or 0) for k, _ in edge_rows)
+    assert all(r.score is not None and r.n_tokens >= 1 for r in rows)
+    empty = spark.createDataFrame([], "doc_id bigint, text string")
+    assert word_lm.word_cross_entropy_difference(empty, none).count() == 0
+
+
+@pytest.mark.parametrize("low, high", [(0x430, 0x44F), (0x3B1, 0x3C0), (0x4E00, 0x4E20)])
+def test_op8_tells_scripts_beside_a_larger_latin_share(spark, tmp_path, low, high):
+    draw = random.Random(7)
+    latin = [chr(c) for c in [*range(97, 123), *range(48, 58), 0x21, 0x2E, 0x2C, 0x3B]]
+    kinds = [["".join(chr(draw.randint(low, high)) for _ in range(4)) for _ in range(30)] for _ in range(2)]
+    rows = [(k, " ".join("".join(draw.choices(latin, k=5)) for _ in range(200))) for k in range(40)]
+    rows += [(100 + k, " ".join(draw.choices(kinds[k % 2], k=40))) for k in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    good = [(100 + k, 1) for k in range(0, 20, 2)]
+    spark.createDataFrame(good, "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    scores = {r.doc_id: r.score for r in entries.op8_lm_score(spark, str(tmp_path)).where(F.col("doc_id") >= 120).collect()}
+    assert max(s for k, s in scores.items() if k % 2 == 0) < min(s for k, s in scores.items() if k % 2)
