@@ -5,7 +5,8 @@ that a term contributes to the item's own score, so a score of 1 is the whole it
 threshold serves items of all lengths. Postings lie in blocks with their largest share. A passage
 whose terms cannot add up to the threshold by their largest shares in any block of items is not looked up;
 the others walk the postings, skipping blocks that cannot reach it. All items above the threshold come
-back, and each is verified: the shingles of its question and of its answer must stand in the passage.
+back, and each is verified: the shingles of its question and of its answer must stand in the passage,
+or, of an item without an answer of its own, those of the whole text.
 
 The index is broadcast in parts of at most ``INDEX_WORDS`` words, each of which all passages ask, so a
 benchmark of any size works. Texts are read where they lie; nothing but findings is shuffled.
@@ -62,6 +63,8 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str, str]], frequency: dict[str, int], count: int, mean: float):
         self.ids = [i for i, _, _ in items]
         self.parts = [(terms(q), terms(a)) for _, q, a in items]
+        # Without an answer of its own, an item may also stand in two pieces, its last sentence apart.
+        self.pieces = [None if own[1] else [terms(x) for x in question_and_answer(q)] for (_, q, _), own in zip(items, self.parts)]
         self.numbers: dict[str, int] = {}
         postings: list[list[tuple[int, float]]] = []
         self.longest = 0
@@ -152,18 +155,22 @@ class ItemIndex:
         cursors[:] = [c for c in cursors if c[1] < len(self.items[c[2]])]
 
     def overlaps(self, item: int, passage: list[int], shingle: int) -> tuple[float, float]:
-        """Shares of the question's and the answer's shingles in the passage; 1 where there are none."""
-        shares = []
-        for words in self.parts[item]:
+        """Shares of the question's and the answer's shingles in the passage; 1 where there are none. Of an
+        item without an answer the share of the whole, or of its two pieces where both have more."""
+
+        def share(words: list[str]) -> float:
             own = [self.numbers[w] for w in words]
             size = min(shingle, len(own))
             if not size:
-                shares.append(1.0)
-                continue
+                return 1.0
             wanted = {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}
             there = {tuple(passage[i : i + size]) for i in range(len(passage) - size + 1)}
-            shares.append(len(wanted & there) / len(wanted))
-        return shares[0], shares[1]
+            return len(wanted & there) / len(wanted)
+
+        question, answer = map(share, self.parts[item])
+        if self.pieces[item] is not None:
+            question = max(question, min(map(share, self.pieces[item])))
+        return question, answer
 
 
 def passages(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -261,8 +268,7 @@ def _ask(index, threshold: float, overlap: float, shingle: int) -> Callable:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """``item_id``, question and answer. A table with the column text holds both in it: the last
-    sentence, if there are several, is the answer."""
+    """``item_id``, question and answer. A table with the column text holds whole items without answers."""
     if "question" in benchmark.columns:
         return benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "question", "answer")
     return benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("question"), F.lit(None).cast("string").alias("answer"))
@@ -272,7 +278,8 @@ def leaks(
     docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP, shingle: int = SHINGLE
 ) -> DataFrame:
     """One row per document and test item that stands in it: ``doc_id``, ``item_id``, the best
-    ``score`` and the shares of the item's ``shingle``-word shingles found.
+    ``score`` and the shares of the item's ``shingle``-word shingles found: of question and answer, or of the whole
+    text as the question where an item has no answer.
 
     Words are compared in lower case without surrounding marks. Null and empty texts, on either side,
     match nothing; neither do rows without id. Items that repeat an id are looked for each, and the
@@ -286,7 +293,7 @@ def leaks(
     frequency: Counter = Counter()
     count = total = 0
     for row in rows:
-        question, answer = (row.question or "", row.answer or "") if row.answer is not None else question_and_answer(row.question or "")
+        question, answer = row.question or "", row.answer or ""
         words = terms(question) + terms(answer)
         if not words:
             continue
