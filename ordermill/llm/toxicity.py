@@ -12,7 +12,8 @@ through whole texts of any length, and texts without evidence need none. A docum
 is a logistic function of its expected number of toxic tokens, their density and the highest marginal.
 
 Words, windows and the logistic function are fitted on a sample of at most ``MAX_DOCS`` labelled
-documents, ``MAX_WORDS`` words and ``MAX_WINDOWS`` windows, chosen by hashes of ids.
+documents and ``MAX_WINDOWS`` windows, chosen by hashes of ids. Every word that passes the tests is
+evidence with a weight of its own; the sample of documents bounds their number.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.common import Stored, fold, slices, texts, tidy
 
-MAX_DOCS, MAX_WORDS, MAX_WINDOWS, WINDOW = 20_000, 300, 4_000, 96
+MAX_DOCS, MAX_WINDOWS, WINDOW = 20_000, 4_000, 96
 MIN_DOCS, MIN_CONTEXTS, MIN_Z, MIN_LOG_ODDS = 3, 3, 2.5, 1.5
 STEPS, RATE, DECAY = 150, 0.2, 1e-3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -90,7 +91,7 @@ def evidence_words(taught: DataFrame, toxic: int, clean: int) -> list[str]:
         counts.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where(f"toxic >= {MIN_DOCS}")
         .withColumn("z", F.expr(f"({odds}) / sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))"))
-        .where(f"z >= {MIN_Z}").orderBy(F.desc("z"), "word").limit(10 * MAX_WORDS).collect()
+        .where(f"z >= {MIN_Z}").select("word").collect()
     )
     if not rows:
         return []
@@ -101,7 +102,7 @@ def evidence_words(taught: DataFrame, toxic: int, clean: int) -> list[str]:
         .agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean"))
         .withColumn("odds", F.expr(odds))
         .where(f"toxic >= {MIN_CONTEXTS} AND odds >= {MIN_LOG_ODDS}")
-        .orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "word").limit(MAX_WORDS).collect()
+        .orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "word").collect()
     )
     return [r.word for r in kept]
 
