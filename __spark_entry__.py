@@ -41,7 +41,8 @@ def _optional(name: str):
     return import_module(name) if there else None
 
 
-LLM, PIPELINE = _optional("ordermill.llm.entries"), _optional("corpus_pipeline")
+LLM = _optional("ordermill.llm.entries")
+PIPELINE = _optional("corpus_pipeline") if LLM else None  # its stages are that package's
 
 
 def _portable(df: DataFrame) -> DataFrame:
@@ -226,7 +227,7 @@ def queries() -> dict[str, Query]:
     found = dict(order_queries())
     if LLM:
         found |= LLM.QUERIES
-    if LLM and PIPELINE:
+    if PIPELINE:
         found["pipeline"] = PIPELINE.run
     return found
 
@@ -322,6 +323,6 @@ def oracle_sql() -> dict[str, str]:
     found = dict(ORACLE_SQL)
     if LLM:
         found |= LLM.ORACLE_SQL
-    if LLM and PIPELINE and PIPELINE.ORACLE_SQL:
+    if PIPELINE and PIPELINE.ORACLE_SQL:
         found["pipeline"] = PIPELINE.ORACLE_SQL
     return found

@@ -1,10 +1,13 @@
 """The driver's entry points without the optional packages."""
 
+import os
 import shutil
 import subprocess
 import sys
 from pathlib import Path
 
+import pytest
+
 REPO = Path(__file__).resolve().parents[1]
 CODE = """
 import __spark_entry__ as e
@@ -12,12 +15,14 @@ assert e.queries().keys() == e.order_queries().keys() == e.oracle_sql().keys()
 """
 
 
-def test_the_rest_works_alone(tmp_path):
-    """As when the folders of the training-data operators and the pipeline are deleted."""
-    for name in ("__spark_entry__.py", "oracle_queries.py"):
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_rest_works_alone(tmp_path, pipeline):
+    """As when the folders of the training-data operators are deleted, with the pipeline or without."""
+    for name in ("__spark_entry__.py", "oracle_queries.py", *["corpus_pipeline.py"] * pipeline):
         shutil.copy(REPO / name, tmp_path)
     shutil.copytree(REPO / "ordermill", tmp_path / "ordermill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    subprocess.run([sys.executable, "-c", CODE], cwd=tmp_path, check=True, timeout=120)
+    alone = os.environ | {"PYTHONPATH": str(tmp_path)}
+    subprocess.run([sys.executable, "-c", CODE], cwd=tmp_path, env=alone, check=True, timeout=120)
 
 
 def test_nothing_else_imports_the_optional_package():
