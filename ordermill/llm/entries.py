@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import alignment, ann, bpe, decontaminate, jaccard_join, passages, pii, quality, token_files, toxicity, word_lm
+from ordermill.llm import alignment, ann, bpe, decontaminate, jaccard_join, passages, pii, quality, token_files, toxicity, whitening, word_lm
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", spans)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond 64 bits is null."""
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = alignment.align(table(spark, sf_dir, "documents"), digest=_sha256)
     return aligned.withColumnRenamed("groups", "groups_sha256")
@@ -86,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op8_lm_score": op8_lm_score,
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
     "op13_alignment": op13_alignment,
 }
 # Only the exact join has a result that SQL can state; the others are tested against brute force.
