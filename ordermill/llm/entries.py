@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import alignment, ann, bpe, decontaminate, jaccard_join, passages, pii, quality, token_files, toxicity, whitening, word_lm
+from ordermill.llm import alignment, ann, bpe, decontaminate, jaccard_join, passages, pii, quality, secrets, token_files, toxicity, whitening, word_lm
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,13 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return white.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, secrets.train(secrets.labelled(docs)))
+    counts = (secrets.count_of(kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3])
+    return found.select("doc_id", *counts, F.sha2(secrets.written("base"), 256).alias("base_sha256"), secrets.written("spans").alias("spans"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = alignment.align(table(spark, sf_dir, "documents"), digest=_sha256)
     return aligned.withColumnRenamed("groups", "groups_sha256")
@@ -93,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op9_ann": op9_ann,
     "op10_toxicity": op10_toxicity,
     "op11_whitening": op11_whitening,
+    "op12_secrets": op12_secrets,
     "op13_alignment": op13_alignment,
 }
 # Only the exact join has a result that SQL can state; the others are tested against brute force.
