@@ -11,6 +11,7 @@ from importlib import import_module
 from importlib.util import find_spec
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,8 @@ from ordermill.plans import anomalies, cleaning, cohort, customers, quality, rep
 from ordermill.sources import testdata
 from ordermill.sources.lazy import LazyTables
 from ordermill.sources.schemas import CLEAN_SCHEMAS, SCHEMAS
-from ordermill.sources.tables import load_tables, read_csv_table, read_raw, write_tables
+from ordermill.sources.tables import drop_loaded, load_tables, read_csv_table, read_raw, write_tables
+from ordermill.sources.versions import published
 from oracle_queries import ORACLE_SQL
 
 # The amounts and gaps of the test tables are far above the defaults of the library.
@@ -76,9 +78,8 @@ def _dirty(plan: Callable[[Tables], DataFrame], **options: bool) -> Query:
 
 def _parsed(tables: Tables) -> Tables:
     """Raw tables whose order dates are read, with no order dropped."""
-    dates = cleaning.parse_mixed_timestamp(F.col("order_date"))
     return LazyTables(
-        orders=lambda: tables["orders"].withColumn("order_date", dates),
+        orders=lambda: cleaning.parsed_orders(tables["orders"]),
         order_items=lambda: tables["order_items"],
     )
 
@@ -135,6 +136,25 @@ def _written(name: str, spoil: bool = False) -> Callable[[Tables], DataFrame]:
     return run
 
 
+def _published(name: str) -> Callable[[Tables], DataFrame]:
+    """A table of the current version, after a second run of the pipeline was killed between two tables."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark = tables["orders"].sparkSession
+        folder, raw = scratch_path(spark, "published"), _raw(tables)
+        cleaning.run_pipeline(raw, folder, versioned=True)
+        # The items of the second run do not fit, after its other tables have been written.
+        killed = raw | {n: raw[n].limit(0) for n in ("customers", "products", "orders")}
+        killed["order_items"] = raw["order_items"].withColumn("quantity", F.raise_error(F.lit("killed")).cast("int"))
+        try:
+            cleaning.run_pipeline(killed, folder, versioned=True)
+        except PySparkException:
+            return published(spark, folder, CLEAN_SCHEMAS)[name]
+        raise RuntimeError("the second run was to fail")
+
+    return run
+
+
 def _loaded(name: str, managed: bool) -> Callable[[Tables], DataFrame]:
     """The content of a table that was written as CSV and loaded, as a view or a managed table."""
 
@@ -150,7 +170,7 @@ def _loaded(name: str, managed: bool) -> Callable[[Tables], DataFrame]:
         load_tables(spark, folder, [name], database="default", buckets=4, prefix=prefix)
         # The table goes once its content has been read.
         content = store(spark.table(f"default.{prefix}{name}"), "loaded")
-        spark.sql(f"DROP TABLE default.{prefix}{name}")
+        drop_loaded(spark, "default", prefix + name)
         return content
 
     return run
@@ -263,6 +283,10 @@ def order_queries() -> dict[str, Query]:
         **{
             f"c06_written_{n}": _dirty(_written(n), registered=True, regions=True) for n in SCHEMAS
         },
+        **{
+            f"c06_published_{n}": _dirty(_published(n), registered=True, regions=True)
+            for n in ("orders", "order_items")
+        },
         "c06_pipeline_report": _dirty(_written("report"), registered=True, regions=True),
         "c06_rejected_orders": _dirty(
             _written("rejected_orders", spoil=True), registered=True, regions=True

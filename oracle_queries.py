@@ -496,6 +496,7 @@ FROM pairs"""),
     **{f"s01_csv_{name}": _dirty(sql) for name, sql in _RAW.items()},
     **{f"s03_{how}_{name}": _dirty(sql) for name, sql in _RAW.items() for how in ("view", "managed")},
     **{f"c06_written_{name}": _dirty(sql) for name, sql in _CLEANED.items()},
+    **{f"c06_published_{name}": _dirty(_CLEANED[name]) for name in ("orders", "order_items")},
     "c06_pipeline_report": _findings(),
     "c06_rejected_orders": _dirty(f"""{_SPOILED}
 SELECT order_id, customer_id,

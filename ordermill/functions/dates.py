@@ -7,60 +7,84 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DAY_FIRST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})"
-_CLOCK = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?$"
 # Month names, English, in full or by their first three letters.
 MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-# Hour, minute, second, fraction, half of the day and zone, as groups 4 to 9 after the date's three.
-_TIME = (
-    r"(?:(?:T|\s+)(\d{1,2}):(\d{2})(?::(\d{2})(\.\d{1,6})?\d*)?"
-    r"\s*([aApP][mM])?\s*(Z|z|UTC|GMT|[+-]\d{2}:?\d{2})?)?$"
-)
 _NAME = r"([A-Za-z]{3,9})\.?"
-# What the three groups of a date are, by its form. Where both are numbers, d and m may change places.
+# What the three groups of a date are, by its form; the slash marks a form where both are numbers, so
+# that day and month may change places.
 DATE_FORMS = [
     (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", "ymd"),
     (r"(\d{4})(\d{2})(\d{2})", "ymd"),
-    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})", "dmy"),
+    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})", "d/m/y"),
     (rf"(\d{{1,2}})[-\s]{_NAME}[-,\s]+(\d{{4}})", "dmy"),
     (rf"{_NAME}\s+(\d{{1,2}}),?\s+(\d{{4}})", "mdy"),
 ]
+# Hour, minute, second, fraction, half of the day and zone.
+_TIME = (
+    r"(?:(?:T|\s+)(\d{1,2}):(\d{2})(?::(\d{2})(?:(\.\d{1,6})\d*)?)?"
+    r"\s*(?:([aApP])[mM])?\s*(Z|z|UTC|GMT|[+-]\d{2}:?\d{2})?)?"
+)
+PARTS = "ymd/HMSfhz"
+
+
+def _one_pass() -> tuple[str, str]:
+    """A pattern for every text, and the replacement that turns it into its ``PARTS``, comma-separated.
+
+    Exactly one form matches, so the groups of all forms that stand for a part can be written one after
+    another. A text of no form matches the last alternative, which has no groups.
+    """
+    of, at = {part: "" for part in PARTS}, 0
+    for _, order in DATE_FORMS:
+        for part in order.replace("/", ""):
+            at += 1
+            of[part] += f"${at}"
+            if part == "m" and "/" in order:
+                of["/"] += f"${at}"  # not empty where the two may be swapped
+    for part in PARTS[4:]:
+        at += 1
+        of[part] = f"${at}"
+    forms = "|".join(form for form, _ in DATE_FORMS)
+    return rf"^\s*(?:{forms}){_TIME}\s*$|(?s)^.*$", ",".join(of.values())
+
+
+_PATTERN, _REPLACEMENT = _one_pass()
 
 
 def _month(text: Column) -> Column:
     """The number of a month given in digits or by name; NULL for another word."""
     place = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(F.substring(text, 1, 3)))
-    return F.when(text.rlike(r"^\d+$"), text.try_cast("int")).when(place > 0, place.cast("int"))
+    return F.coalesce(text.try_cast("int"), F.when(place > 0, place.cast("int")))
 
 
-def _day(year: Column, month: Column, day: Column) -> Column:
-    """The date as text, NULL where there is no such day. Years of two digits lie in 1969 to 2068."""
-    number = year.try_cast("int")
-    century = F.when(F.length(year) > 2, 0).when(number < 69, 2000).otherwise(1900)
-    text = F.format_string("%04d-%02d-%02d", number + century, month, day.try_cast("int"))
-    return F.when(text.try_cast("date").isNotNull(), text)
+def _moment(parts: Column) -> Column:
+    """The timestamp of split ``PARTS``; NULL if its numbers are no date and time."""
 
+    def part(name: str) -> Column:
+        return F.get(parts, F.lit(PARTS.index(name)))
 
-def _read(text: Column, form: str, order: str) -> Column:
-    """A text of one form as a timestamp; NULL if its numbers are no date and time."""
+    def number(name: str) -> Column:
+        return part(name).try_cast("int")
 
-    def part(number: int) -> Column:
-        return F.nullif(F.regexp_extract(text, f"^{form}{_TIME}", number), F.lit(""))
+    year, hour, zone = number("y"), number("H"), part("z")
+    # Years of two digits lie in 1969 to 2068.
+    year = year + F.when(F.length(part("y")) > 2, 0).when(year < 69, 2000).otherwise(1900)
+    half = F.lower(part("h"))
+    of_twelve = F.when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+    hour = F.when(part("H") == "", 0).when(half == "", hour).otherwise(of_twelve)
+    second = F.concat(part("S"), part("f"))
+    # A sixtieth second would be carried over instead of being none.
+    second = F.when(part("S") == "", 0).when(part("S") < "60", second.try_cast("decimal(16,6)"))
+    minute = F.when(part("M") == "", 0).otherwise(number("M"))
 
-    at = {letter: part(i + 1) for i, letter in enumerate(order)}
-    day = _day(at["y"], _month(at["m"]), at["d"])
-    if order == "dmy" and form.count(r"\d{1,2}") == 2:
-        day = F.coalesce(day, _day(at["y"], _month(at["d"]), at["m"]))
-    hour, half, zone = part(4).try_cast("int"), F.lower(part(8)), part(9)
-    hour = F.when(half.isNull(), hour).when(hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0))
-    clock = F.format_string(" %02d:%s:%s%s", hour, part(5), F.coalesce(part(6), F.lit("00")), F.coalesce(part(7), F.lit("")))
-    # A text with a time of which the hour is none has no clock, and so no timestamp.
-    moment = F.when(part(4).isNull(), day).otherwise(F.concat(day, F.when(hour.isNotNull(), clock)))
-    moment = moment.try_cast("timestamp_ntz")
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
-    ahead = F.when(zone.rlike("^[+]"), minutes).when(zone.rlike("^-"), -minutes).otherwise(0)
-    return moment - F.make_dt_interval(mins=ahead)
+    def at(month: Column, day: Column) -> Column:
+        return F.try_make_timestamp_ntz(year, month, day, hour, minute, second)
+
+    moment = at(_month(part("m")), number("d"))
+    moment = F.coalesce(moment, F.when(part("/") != "", at(number("d"), number("m"))))
+    digits = F.translate(zone, "+-:", "")
+    ahead = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    shift = F.when(zone.startswith("+"), -ahead).when(zone.startswith("-"), ahead)
+    return F.coalesce(moment + F.make_dt_interval(mins=shift), moment)
 
 
 def parse_mixed_timestamp(raw: Column) -> Column:
@@ -69,16 +93,21 @@ def parse_mixed_timestamp(raw: Column) -> Column:
     ISO, ``2024/03/05``, ``20240305``, ``05-03-2024``, ``5-3-24``, ``05 Mar 2024`` and ``March 5, 2024``, with 24 or
     12 hours. Forms that begin with the year are never swapped; others are read day first, and month
     first where that gives no date (``05-25-2024``). A time with a zone is converted to UTC;
-    one without stays as it is. The two forms of the raw tables take the short way.
+    one without stays as it is. One pattern reads a text once, whatever its form.
+    """
+    parts = F.split(F.regexp_replace(raw, _PATTERN, _REPLACEMENT), ",")
+    # The lambda's variable keeps the parts, which the rest refers to many times.
+    return F.get(F.transform(F.array(parts), _moment), F.lit(0))
+
+
+def once(value: Column) -> Column:
+    """The value, computed in the projection where it stands and nowhere else.
+
+    A filter on a computed column would move below the projection and compute it again. What
+    is not deterministic stays, and the number of a task's partition is, if nothing else, no
+    constant.
     """
-    text = F.regexp_replace(raw, r"^\s+|\s+$", "")
-    day_first = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1").try_cast("timestamp_ntz")
-    month_first = F.regexp_replace(text, DAY_FIRST, "$3-$1-$2").try_cast("timestamp_ntz")
-    found = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}" + _CLOCK), text.try_cast("timestamp_ntz"))
-    found = found.when(text.rlike(DAY_FIRST + _CLOCK), F.coalesce(day_first, month_first))
-    for form, order in DATE_FORMS:
-        found = found.when(text.rlike(f"^{form}{_TIME}"), _read(text, form, order))
-    return found
+    return F.when(F.spark_partition_id() >= 0, value)
 
 
 def stamp_text(ts: Column) -> Column:

@@ -61,6 +61,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_paths() -> tuple[str, ...]:
+    """The paths given out and not removed yet, in their order."""
+    return tuple(_PATHS)
+
+
 def release(spark: SparkSession, first: int = 0) -> None:
     """Remove the intermediate data given out since place ``first``, all by default.
 

@@ -9,15 +9,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ordermill.functions.dates import parse_mixed_timestamp
+from ordermill.functions.dates import once, parse_mixed_timestamp
 from ordermill.functions.text import is_valid_email, title_case
 from ordermill.operators.joins import Tables
+from ordermill.operators.storage import store
 from ordermill.sources.lazy import LazyTables
 from ordermill.sources.tables import read_tables, write_tables
+from ordermill.sources.versions import commit, new_version
+
+
+def parsed_orders(orders: DataFrame) -> DataFrame:
+    """Orders whose date texts are timestamps, NULL for a text that is no date. Each text is read once,
+    whatever is asked of the result."""
+    return orders.withColumn("order_date", once(parse_mixed_timestamp(F.col("order_date"))))
 
 
 def clean_orders(orders: DataFrame, on_bad: str = "raise") -> DataFrame:
-    """Drop orders without a customer and turn the date texts into timestamps.
+    """Drop orders without a customer and turn the date texts into timestamps, each read once.
 
     A text that is no date fails the job, or with ``on_bad="quarantine"`` becomes NULL;
     ``bad_order_dates`` lists those rows.
@@ -27,21 +35,15 @@ def clean_orders(orders: DataFrame, on_bad: str = "raise") -> DataFrame:
     raw = F.col("order_date")
     parsed = parse_mixed_timestamp(raw)
     if on_bad == "raise":
-        message = F.concat(F.lit("not a date: "), raw)
-        unreadable = parsed.isNull() & raw.isNotNull()
-        parsed = F.when(unreadable, F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)
-    return orders.dropna(subset=["customer_id"]).withColumn("order_date", parsed)
-
-
-def is_bad_date() -> Column:
-    """Whether a raw order's date text cannot be read."""
-    raw = F.col("order_date")
-    return raw.isNotNull() & parse_mixed_timestamp(raw).isNull()
+        refused = F.raise_error(F.concat(F.lit("not a date: "), raw)).cast("timestamp_ntz")
+        parsed = F.coalesce(parsed, F.when(raw.isNotNull(), refused))
+    return orders.dropna(subset=["customer_id"]).withColumn("order_date", once(parsed))
 
 
 def bad_order_dates(orders: DataFrame) -> DataFrame:
     """Raw orders with a customer whose date text cannot be read."""
-    return orders.dropna(subset=["customer_id"]).filter(is_bad_date())
+    raw = F.col("order_date")
+    return orders.dropna(subset=["customer_id"]).filter(raw.isNotNull() & parse_mixed_timestamp(raw).isNull())
 
 
 def clean_products(products: DataFrame) -> DataFrame:
@@ -141,29 +143,39 @@ def _findings(counts: DataFrame, customers: DataFrame, sample: int = 3) -> DataF
 
 
 def run_pipeline(
-    tables: Tables, directory: str, fmt: str = "parquet", on_bad: str = "raise"
+    tables: Tables, directory: str, fmt: str = "parquet", on_bad: str = "raise", versioned: bool = False
 ) -> DataFrame:
     """Clean the raw tables, write the four results, and return the validation report.
 
-    Each raw table is read once. What is dropped or rejected is counted as the orders are written;
-    the other findings come from the written tables, where the columns concerned are unchanged.
-    With ``on_bad="quarantine"``, orders whose date cannot be read are kept with a NULL date, and
-    written as they came, with the text of the date, to ``rejected_orders``, which reads the orders
-    once more; the report counts them.
+    Each raw table is read once, and each date text too. What is dropped or rejected is counted as the
+    orders are written; the other findings come from the written tables, where the columns concerned
+    are unchanged. With ``on_bad="quarantine"``, orders whose date cannot be read are kept with a NULL
+    date, and written as they came, with the text of the date, to ``rejected_orders``; the report counts
+    them. With ``versioned`` the tables become the next version of the directory (``sources.versions``)
+    once all are written, so that readers see all of them or none.
     """
     orders = tables["orders"]
     spark, seen = orders.sparkSession, Observation("orders")
-    counted = [F.count_if(F.col("customer_id").isNull()).alias("null_customer_orders")]
-    if on_bad == "quarantine":
-        rejected = F.col("customer_id").isNotNull() & is_bad_date()
-        counted.append(F.count_if(rejected).alias("bad_order_dates"))
-    observed = orders.observe(seen, *counted)
-    cleaned = clean_tables({**tables, "orders": observed}, on_bad)
-    write_tables(cleaned, directory, fmt)
+    no_customer = F.count_if(F.col("customer_id").isNull()).alias("null_customer_orders")
+    target, rejected = new_version(directory) if versioned else directory, {}
     if on_bad == "quarantine":
-        write_tables({"rejected_orders": bad_order_dates(orders)}, directory, fmt)
-    written = read_tables(spark, directory, fmt, {n: df.schema for n, df in cleaned.items()})
+        # The texts of unreadable dates lie beside the timestamps, so both results come from one reading.
+        bad = F.col("order_date").isNotNull() & F.col("__moment").isNull() & F.col("customer_id").isNotNull()
+        parsed = orders.withColumn("__moment", once(parse_mixed_timestamp(F.col("order_date"))))
+        parsed = parsed.withColumn("__text", F.when(bad, F.col("order_date")))
+        parsed = parsed.observe(seen, no_customer, F.count("__text").alias("bad_order_dates"))
+        parsed = store(parsed.dropna(subset=["customer_id"]), "orders")
+        cleaned_orders = parsed.withColumn("order_date", F.col("__moment")).select(orders.columns)
+        rejects = parsed.where("__text IS NOT NULL").withColumn("order_date", F.col("__text"))
+        rejected = {"rejected_orders": rejects.select(orders.columns)}
+    else:
+        cleaned_orders = clean_orders(orders.observe(seen, no_customer), on_bad)
+    cleaned = {**clean_tables(tables, on_bad), "orders": cleaned_orders}
+    write_tables(cleaned | rejected, target, fmt)
+    written = read_tables(spark, target, fmt, {n: df.schema for n, df in cleaned.items()})
     orphans = count_orphan_items(written["order_items"], written["orders"])
     observed_counts = (F.lit(n).cast("bigint").alias(name) for name, n in seen.get.items())
     counts = orphans.select(F.col("n").alias("orphan_items"), *observed_counts)
+    if versioned:
+        commit(spark, directory, target, [*cleaned, *rejected], fmt)
     return _findings(counts, written["customers"])

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Iterable, Mapping
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.functions.dates import stamp_text
+from ordermill.functions.dates import once, stamp_text
+from ordermill.operators.storage import kept_paths, release, store
+from ordermill.sources import split_csv
 from ordermill.sources.lazy import LazyTables
 from ordermill.sources.schemas import NA_TOKENS, SCHEMAS
+from ordermill.sources.versions import KEPT
 
 # Quotes are doubled inside quoted fields; blanks at the ends of a field are data.
 CSV_OPTIONS = {
@@ -52,13 +57,20 @@ def read_csv_table(
 
     Columns are matched by position under a checked header. A record with too few or too many
     fields raises, and so does a value that does not fit its type. Line breaks inside quotes
-    are part of the text, which makes each file one task; for large files without any,
-    ``multiline=False`` splits them, and raises where a quoted break turns up after all.
+    are part of the text. Files larger than a task should read are split nevertheless, at the price of
+    a scan that counts quotes (``split_csv``). ``multiline=False`` spares that scan where there are no
+    such breaks, and raises where one turns up after all.
     """
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     # Pruned columns are not parsed, so that a broken record would pass where few are asked for.
-    options = CSV_OPTIONS | {"mode": "FAILFAST", "columnPruning": False, "multiLine": multiline}
-    raw = spark.read.options(**options, enforceSchema=False)
+    options = CSV_OPTIONS | {"mode": "FAILFAST", "columnPruning": False}
+    if multiline and split_csv.largest_file(spark, path) > split_csv.split_bytes(spark):
+        multiline, records = False, split_csv.read_records(spark, path, schema.fieldNames())
+        if records is not None:
+            options = {k: str(v) for k, v in options.items()}
+            fields = once(F.from_csv("value", ", ".join(f"`{f.name}` STRING" for f in schema), options))
+            return records.select(fields.alias("r")).select("r.*").select(*map(_typed, schema))
+    raw = spark.read.options(**options, multiLine=multiline, enforceSchema=False)
     return raw.schema(as_text).csv(path).select(*map(_typed, schema))
 
 
@@ -89,14 +101,18 @@ def write_tables(
 
 
 def read_tables(
-    spark: SparkSession, directory: str, fmt: str, schemas: Mapping[str, T.StructType]
+    spark: SparkSession,
+    directory: str,
+    fmt: str,
+    schemas: Mapping[str, T.StructType],
+    multiline: bool = True,
 ) -> LazyTables:
     """What ``write_tables`` wrote, with the given schemas."""
 
     def read(name: str, schema: T.StructType) -> DataFrame:
         path = f"{directory}/{name}.{fmt}"
         if fmt == "csv":
-            return read_csv_table(spark, path, schema)
+            return read_csv_table(spark, path, schema, multiline)
         return spark.read.schema(schema).format(fmt).load(path)
 
     return LazyTables(**{n: partial(read, n, schema) for n, schema in schemas.items()})
@@ -113,27 +129,57 @@ def _fits_buckets(df: DataFrame, key: str, buckets: int) -> bool:
     return total is None or largest * buckets <= 2 * total or largest <= MANY_ROWS
 
 
-def _read_whole(df: DataFrame) -> int:
-    """The number of rows, with every cell of them evaluated: a bare count prunes all columns."""
-    cells = F.xxhash64(*df.columns) if df.columns else F.lit(0)
-    return df.agg(F.count("*"), F.bit_xor(cells)).first()[0]
+def _stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """The table written once, every cell of it evaluated, and its number of rows."""
+    seen = Observation()
+    return store(df.observe(seen, F.count("*").alias("rows")), "loaded"), seen.get["rows"]
+
 
+def versions_of(database: str) -> str:
+    """The database that holds the content of a database's loaded tables."""
+    return f"{database}_versions"
 
-def _replace_table(spark: SparkSession, df: DataFrame, table: str, buckets: int | None) -> int:
-    """Save ``df`` as a managed table in place of an earlier one, which stays if that fails."""
-    fresh = f"{table}__{uuid.uuid4().hex}"
+
+def _replace_table(spark: SparkSession, df: DataFrame, database: str, name: str, buckets: int | None) -> None:
+    """Save ``df`` as the next content of a table, which stays as it is if that fails.
+
+    The table is a view of its content, a managed table in ``versions_of(database)``. Changing the
+    view is one step of the catalog, so there is no moment without a table of that name. The content
+    before stays for queries that began with it.
+    """
+    store_in = versions_of(database)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {store_in}")
+    fresh = f"{store_in}.{name}__{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     try:
         writer = df.write
         if buckets:
             writer = writer.bucketBy(buckets, "order_id").sortBy("order_id")
         writer.saveAsTable(fresh)
-        rows = spark.table(fresh).count()
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    return rows
+    view, known = f"{database}.{name}", spark.catalog.tableExists(f"{database}.{name}")
+    if known and spark.catalog.getTable(view).tableType != "VIEW":
+        # A table by an earlier release, which kept the content under the name itself.
+        spark.sql(f"DROP TABLE {view}")
+        known = False
+    spark.sql(f"{'ALTER' if known else 'CREATE'} VIEW {view} AS SELECT * FROM {fresh}")
+    for old in _contents(spark, database, name)[:-KEPT]:
+        spark.sql(f"DROP TABLE IF EXISTS {store_in}.{old}")
+
+
+def _contents(spark: SparkSession, database: str, name: str) -> list[str]:
+    """The stored contents of a loaded table, oldest first."""
+    pattern = re.compile(rf"{re.escape(name.lower())}__\d{{20}}_[0-9a-f]{{8}}")
+    tables = spark.sql(f"SHOW TABLES IN {versions_of(database)}").select("tableName").collect()
+    return sorted(r.tableName for r in tables if pattern.fullmatch(r.tableName.lower()))
+
+
+def drop_loaded(spark: SparkSession, database: str, name: str) -> None:
+    """Remove a loaded table with all of its contents."""
+    spark.sql(f"DROP VIEW IF EXISTS {database}.{name}")
+    for old in _contents(spark, database, name):
+        spark.sql(f"DROP TABLE IF EXISTS {versions_of(database)}.{old}")
 
 
 def load_tables(
@@ -145,14 +191,15 @@ def load_tables(
     database: str | None = None,
     buckets: int | None = None,
     prefix: str = "",
+    multiline: bool = True,
 ) -> DataFrame:
     """Load stored tables under ``prefix`` and their names, replacing earlier ones, and report row counts.
 
-    With ``database`` they are saved as managed tables there, else registered as temp views. With
-    ``buckets`` as well, orders and items are bucketed by order, so that no query shuffles them
+    With ``database`` they are saved there, else registered as temp views of a copy in the shared folder.
+    With ``buckets`` as well, orders and items are bucketed by order, so that no query shuffles them
     again to join the two; where one order is too large for a bucket, the status says so. Every
-    cell is read: a table that is missing or does not load is reported, an earlier one of its
-    name stays, and the others go on.
+    cell is read, and a CSV file is parsed once: a table that is missing or does not load is reported, an
+    earlier one of its name stays, and the others go on. ``multiline`` is that of ``read_csv_table``.
     """
     report = []
     for name in names:
@@ -160,17 +207,26 @@ def load_tables(
         status = "loaded"
         try:
             if fmt == "csv":
-                df = read_csv_table(spark, path, schemas[name])
+                df = read_csv_table(spark, path, schemas[name], multiline)
             else:
                 df = spark.read.format(fmt).load(path)
+            wanted = buckets if database and buckets and "order_id" in df.columns else None
+            first = len(kept_paths())
             if database is None:
-                rows = _read_whole(df)
+                df, rows = _stored(df)
                 df.createOrReplaceTempView(f"{prefix}{name}")
-            else:
-                wanted = buckets if buckets and "order_id" in df.columns else None
-                if wanted and not _fits_buckets(df, "order_id", wanted):
+            elif wanted:
+                # Stored once, since the sizes of the orders decide how it is saved.
+                df, rows = _stored(df)
+                if not _fits_buckets(df, "order_id", wanted):
                     wanted, status = None, "loaded without buckets: an order is too large for one"
-                rows = _replace_table(spark, df, f"{database}.{prefix}{name}", wanted)
+                _replace_table(spark, df, database, f"{prefix}{name}", wanted)
+                release(spark, first)
+            else:
+                seen = Observation()
+                observed = df.observe(seen, F.count("*").alias("rows"))
+                _replace_table(spark, observed, database, f"{prefix}{name}", None)
+                rows = seen.get["rows"]
             report.append((name, rows, status))
         except AnalysisException as error:
             missing = error.getCondition() == "PATH_NOT_FOUND"
