@@ -29,8 +29,11 @@ WORD_BPE = "word_bpe_49k.json"
 SHORT = 24
 NO_RANK = np.int64(1) << 62
 MEMO_ENTRIES, MEMO_BYTES = 100_000, 64
-# The split pattern of the vocabulary for lower-case ASCII text; fixed by its file.
-_ASCII_WORDS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
+# Letters up to U+024F, of which normalising changes the case alone; the pattern that splits them
+# into words is the vocabulary's, fixed by its file.
+LETTERS = "".join(c for c in map(chr, range(0x80, 0x250)) if c.isalpha() and c != "\u0130")
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{LETTERS}]+|[0-9]|[^ A-Za-z0-9{LETTERS}]+")
+PLAIN = re.compile(rf"[!-~{LETTERS}]+")
 
 
 def byte_symbols() -> list[str]:
@@ -156,11 +159,11 @@ class WordBpe:
 
     def split(self, chunk: bytes) -> list[bytes | int]:
         """The words of a chunk, and the ids of special tokens that stand in it."""
-        if chunk.isascii():
-            if b"<|" not in chunk:
-                return _ASCII_WORDS.findall(chunk.lower()) if not _control(chunk) else self._pieces(chunk.decode())
+        text = chunk.decode()
+        if "<|" not in text and PLAIN.fullmatch(text):
+            return [w.encode() for w in WORDS.findall(text.lower())]
         parts: list[bytes | int] = []
-        for k, part in enumerate(self._at_special.split(chunk.decode())):
+        for k, part in enumerate(self._at_special.split(text)):
             parts += [self.special[part]] if k % 2 else self._pieces(part)
         return parts
 
@@ -173,37 +176,35 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-def _control(chunk: bytes) -> bool:
-    """Whether a chunk has control characters, which the library may treat in its own way."""
-    return min(chunk) < 32 or max(chunk) == 127
+class Memo:
+    """Values of keys, computed once while kept.
 
-
-class ChunkMemo:
-    """What a text's chunks encode to: ``value(ids)`` of every chunk, computed once while kept.
-
-    ``encode`` takes the chunks that are missing. The memo starts anew when it is full and skips
-    long chunks, so its size is bounded; what it returns does not depend on what it holds.
+    Two generations are kept: when the young one is full it becomes the old one, and what is looked up
+    there is young again. So what comes often stays, and the size is bounded. ``compute`` takes the
+    keys that are missing; long keys are not kept. What it returns does not depend on what it holds.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], list], entries: int = MEMO_ENTRIES):
-        self._encode, self._entries, self._kept = encode, entries, {}
-
-    def values(self, texts: list[bytes]) -> Iterator[list]:
-        """For each text, the values of its chunks in order."""
-        split = [text.split() for text in texts]
-        kept = self._kept
-        if len(kept) > self._entries:
-            kept.clear()
-        missing = list({chunk for chunks in split for chunk in chunks if chunk not in kept})
-        late = {}
-        for chunk, value in zip(missing, self._encode(missing)):
-            (kept if len(chunk) <= MEMO_BYTES else late)[chunk] = value
-        for chunks in split:
-            yield [kept[c] for c in chunks] if not late else [kept[c] if c in kept else late[c] for c in chunks]
+    def __init__(self, compute: Callable[[list], list], entries: int = MEMO_ENTRIES):
+        self._compute, self._entries, self._young, self._old = compute, entries, {}, {}
+
+    def values(self, lists: list[list]) -> Iterator[list]:
+        """For each list of keys, their values in order."""
+        if len(self._young) > self._entries:
+            self._young, self._old = {}, self._young
+        young, old = self._young, self._old
+        fresh = {key for keys in lists for key in keys if key not in young}
+        young.update((key, old[key]) for key in fresh if key in old)
+        missing = [key for key in fresh if key not in young]
+        young.update(zip(missing, self._compute(missing)))
+        for keys in lists:
+            yield [young[key] for key in keys]
+        for key in missing:
+            if len(key) > MEMO_BYTES:
+                del young[key]
 
 
 class ChunkEncoder:
-    """Chunks to (number of ids, ids as text, tokens as text), with a memo of words."""
+    """Chunks to (number of ids, ids as text, tokens as text)."""
 
     def __init__(self, bpe: WordBpe):
         self.bpe, self._words = bpe, {}
@@ -238,23 +239,15 @@ class ChunkEncoder:
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_text string, decoded string"
 
 
-def encode_documents(
-    docs: DataFrame, tokenizer: str | None = None, digests: Callable[[str], str] | None = None
-) -> DataFrame:
-    """Every whole text of ``docs`` encoded and decoded again.
-
-    Returns doc_id, n_tokens, ids_text (decimal ids joined by one blank) and decoded; with
-    ``digests``, that function of the two texts instead of the texts. A null or empty text has no
-    tokens and two empty texts. Repeated rows give repeated rows; other columns are not read.
-    """
-    path = tokenizer or public_tokenizers.path(WORD_BPE)
+def coder(path: str, digests: Callable[[str], str] | None) -> Callable:
+    """Arrow batches of doc_id and text to ``SCHEMA``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = ChunkMemo(ChunkEncoder(WordBpe(path)))
+        memo = Memo(ChunkEncoder(WordBpe(path)))
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 counts, ids, decoded = [], [], []
-                for values in memo.values(texts_of(part)):
+                for values in memo.values([text.split() for text in texts_of(part)]):
                     values = [v for v in values if v[0]]
                     counts.append(sum(v[0] for v in values))
                     ids.append(" ".join([v[1] for v in values]))
@@ -266,4 +259,17 @@ def encode_documents(
                     names=["doc_id", "n_tokens", "ids_text", "decoded"],
                 )
 
-    return texts(docs).mapInArrow(tidy(run), SCHEMA)
+    return run
+
+
+def encode_documents(
+    docs: DataFrame, tokenizer: str | None = None, digests: Callable[[str], str] | None = None
+) -> DataFrame:
+    """Every whole text of ``docs`` encoded and decoded again.
+
+    Returns doc_id, n_tokens, ids_text (decimal ids joined by one blank) and decoded; with
+    ``digests``, that function of the two texts instead of the texts. A null or empty text has no
+    tokens and two empty texts. Repeated rows give repeated rows; other columns are not read, and an
+    empty table gives an empty one.
+    """
+    return texts(docs).mapInArrow(tidy(coder(tokenizer or public_tokenizers.path(WORD_BPE), digests)), SCHEMA)

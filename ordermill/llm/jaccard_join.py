@@ -40,7 +40,8 @@ from ordermill.operators.joins import BROADCAST_BYTES
 
 GROUPS, FINE, FANOUT = 128, 1_024, 32
 CELL_ROWS, CELL_SHINGLES = 4_096, 10_000_000
-ROW_WEIGHT = 200  # of a set besides its shingles, so that a cell of short ones is bounded too
+ROW_WEIGHT = 400  # of a set besides its shingles, mostly its points, so that a cell of short ones is bounded too
+VERIFIED = 1 << 18  # shingles of sets that are compared with one set at a time
 SAMPLE_DOCS, FREQUENT = 20_000, 100_000
 _FULL = 255  # a coordinate that stands for any larger one
 
@@ -145,7 +146,9 @@ def forest(
         found = where[tree.near(points[i], sizes[i])]
         found = found[label[found] != label[i]]
         while len(found):
-            some, found = found[:256], found[256:]
+            # As many at once as their sets take little memory, however long they are.
+            stop = max(1, int(np.searchsorted(np.cumsum(sizes[found]), VERIFIED)))
+            some, found = found[:stop], found[stop:]
             if sets is not None:
                 bound = np.minimum(fine[some], fine[i]).sum(axis=1, dtype=np.int64)
                 some = some[bound >= similarity.needed(sizes[some], sizes[i])]

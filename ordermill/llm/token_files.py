@@ -16,7 +16,6 @@ row for one attempt only, so files of lost or repeated attempts are never listed
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ordermill.llm import files
-from ordermill.llm.bpe import WORD_BPE
+from ordermill.llm.bpe import PLAIN, WORD_BPE, WORDS, Memo
 from ordermill.llm.common import slices, texts, tidy
 from ordermill.operators.storage import scratch_path
 
@@ -56,10 +55,6 @@ class WordIds:
     """
 
     KEPT, AT_ONCE = 200_000, 64
-    # Letters up to U+024F; the pattern itself is the vocabulary's, fixed by its file.
-    _LETTERS = "".join(c for c in map(chr, range(0x80, 0x250)) if c.isalpha() and c != "\u0130")
-    _WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[A-Za-z{_LETTERS}]+|[0-9]|[^ A-Za-z0-9{_LETTERS}]+")
-    _PLAIN = re.compile(rf"[!-~{_LETTERS}]+")
 
     def __init__(self, path: str, width: int):
         self._library = Tokenizer.from_file(path)
@@ -87,10 +82,10 @@ class WordIds:
                 at = end
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
-        kept, plain = self._kept, self._PLAIN.fullmatch
+        kept, plain = self._kept, PLAIN.fullmatch
         if len(kept) > self.KEPT:
             kept.clear()
-        split = [self._WORDS.findall(c.lower()) if plain(c) and "<|" not in c else None for c in chunks]
+        split = [WORDS.findall(c.lower()) if plain(c) and "<|" not in c else None for c in chunks]
         self._learn(list({w for words in split if words for w in words if w not in kept}))
         odd = [c for c, words in zip(chunks, split) if words is None]
         others = iter([x.tobytes() for x in self._encode(odd)])
@@ -109,7 +104,7 @@ def packed_ids(path: str, end_id: int, width: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to give out
-        encode, kind = WordIds(path, width), f"<u{width}"
+        encode, kind = Memo(WordIds(path, width)), f"<u{width}"
         end = np.array([end_id], kind).tobytes()
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -118,7 +113,7 @@ def packed_ids(path: str, end_id: int, width: int) -> Callable:
                     column = pc.ascii_lower(column)  # special tokens are the only case that counts
                 split = pc.ascii_split_whitespace(column)
                 words = split.flatten().dictionary_encode()
-                values = [*encode(words.dictionary.to_pylist()), end]
+                values = [*next(encode.values([words.dictionary.to_pylist()])), end]
                 sizes = np.array([len(v) // width for v in values], np.int64)
                 places, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(values), kind)
                 stops = split.offsets.to_numpy() - split.offsets[0].as_py()

@@ -25,7 +25,7 @@ def edge_rows():
 
 
 # Names that operators use inside, as columns of the input.
-CLASHING = "n score root rep block hub digest point base spans loose words label fold component_id held_out".split()
+CLASHING = "n score root rep block hub digest point base spans loose words label fold component_id held_out __pii_text __pii_base __pii_loose".split()
 
 
 @pytest.fixture(scope="session")
