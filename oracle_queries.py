@@ -516,3 +516,9 @@ FROM dirty_customers"""),
     "x01_dirty_orders": _dirty("SELECT * FROM dirty_orders"),
     "x01_dirty_order_items": _dirty("SELECT * FROM dirty_items"),
 }
+
+# The same reports over tables laid out by month.
+ORACLE_SQL |= {
+    f"{report[:3]}_monthly_layout": ORACLE_SQL[report]
+    for report in ("r01_period_metrics", "r03_top_products", "r04_executive_summary")
+}

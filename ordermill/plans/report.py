@@ -1,4 +1,8 @@
-"""Period reports against the previous period."""
+"""Period reports against the previous period.
+
+Where orders and items are laid out by month (``sources.monthly``), a report reads the months of its
+period alone.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +21,7 @@ from ordermill.functions.money import (
     with_amounts,
 )
 from ordermill.operators.joins import Tables, broadcast_if_small, valued_orders
+from ordermill.sources.monthly import of_period
 
 Day = str | dt.date
 GRAINS = ("day", "week", "month")
@@ -68,6 +73,7 @@ def _metrics(tables: Tables, orders: DataFrame, bucket: str, selective: bool) ->
 def period_metrics(tables: Tables, start: Day, end: Day) -> DataFrame:
     """One row: orders, customers and revenue of a period, zeros if nothing was sold."""
     start, end = period(start, end)
+    tables = of_period(tables, start, end)
     orders = tables["orders"].filter(_within(start, end)).withColumn("bucket", F.lit(0))
     return _metrics(tables, orders, "bucket", selective=True).agg(
         F.coalesce(F.max("total_orders"), F.lit(0)).alias("total_orders"),
@@ -81,7 +87,7 @@ def period_comparison(tables: Tables, start: Day, end: Day) -> DataFrame:
     start, end = period(start, end)
     before, last = previous_period(start, end)
     current = F.col("order_date") >= midnight(start)
-    counts = tables["orders"].filter(_within(before, end)).agg(
+    counts = of_period(tables, before, end)["orders"].filter(_within(before, end)).agg(
         F.count_if(current).alias("current"), F.count_if(~current).alias("previous")
     )
     rows = [
@@ -102,7 +108,9 @@ def top_products(tables: Tables, start: Day, end: Day, k: int = 3) -> DataFrame:
     Revenue is summed per product before the product table is joined. Orders that are not small
     filter the items before their shuffle all the same, through a Bloom filter (``joins.items_of``).
     """
-    in_period = tables["orders"].filter(_within(*period(start, end))).select("order_id")
+    start, end = period(start, end)
+    tables = of_period(tables, start, end)
+    in_period = tables["orders"].filter(_within(start, end)).select("order_id")
     orders, _ = broadcast_if_small(in_period)
     per_product = (
         with_amounts(tables["order_items"], "order_id", "product_id")
@@ -124,6 +132,7 @@ def executive_summary(tables: Tables, start: Day, end: Day) -> DataFrame:
     start, end = period(start, end)
     before, last = previous_period(start, end)
     is_current = F.col("order_date") >= midnight(start)
+    tables = of_period(tables, before, end)
     orders = tables["orders"].filter(_within(before, end)).withColumn("is_current", is_current)
     metrics = _metrics(tables, orders, "is_current", selective=True)
 
