@@ -39,7 +39,7 @@ from ordermill.llm.shingles import WordHashes, shingle_set
 from ordermill.operators.joins import BROADCAST_BYTES
 
 GROUPS, FINE, FANOUT = 128, 1_024, 32
-CELL_ROWS, CELL_SHINGLES = 4_096, 10_000_000
+CELL_ROWS, CELL_SHINGLES = 4_096, 6_000_000
 ROW_WEIGHT = 400  # of a set besides its shingles, mostly its points, so that a cell of short ones is bounded too
 VERIFIED = 1 << 18  # shingles of sets that are compared with one set at a time
 SAMPLE_DOCS, FREQUENT = 20_000, 100_000
@@ -244,33 +244,42 @@ def _array(data: bytes) -> np.ndarray:
 def _cell_worker(similarity: Similarity) -> Callable:
     """Sorted rows of cells to the edges of each cell's forest."""
 
-    def edges(cell: list[dict]) -> list[tuple[int, int]]:
-        f, c = cell[0]["f"], cell[0]["c"]
-        chunk, near = (np.array([r[k] for r in cell]) for k in ("chunk", "near"))
+    names = ("rep", "n", "chunk", "near", "point", "shingles")
+
+    def edges(key: tuple, cell: dict[str, list]) -> list[tuple[int, int]]:
+        _, f, c = key
+        reps, sizes = cell["rep"], np.array(cell["n"], np.int64)
+        chunk, near = np.array(cell["chunk"]), np.array(cell["near"])
         probes, targets = ~near & (chunk == f), chunk == c
         if f < 0:  # an unsplit block
-            probes, targets = ~near, np.ones(len(cell), bool)
-        sizes = np.array([r["n"] for r in cell], np.int64)
-        sets = [_array(r["shingles"]) for r in cell] if "shingles" in cell[0] else None
-        found = forest(points_of([r["point"] for r in cell]), sizes, sets, probes, targets, near, similarity)
-        return [(cell[i]["rep"], cell[j]["rep"]) for i, j in found]
+            probes, targets = ~near, np.ones(len(reps), bool)
+        sets = list(map(_array, cell["shingles"])) if "shingles" in cell else None
+        found = forest(points_of(cell.pop("point")), sizes, sets, probes, targets, near, similarity)
+        return [(reps[i], reps[j]) for i, j in found]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, at = [], None
+        # Columns of one cell at a time; a set is one object, however many cells a task has.
+        cell, at = {}, None
         out: list[tuple[int, int]] = []
         for batch in batches:
             heavy = "shingles" if "shingles" in batch.schema.names else "point"
             for part in slices(batch, heavy):
-                for row in part.to_pylist():
-                    key = (row["block"], row["f"], row["c"])
-                    if key != at:
-                        out += edges(cell) if cell else []
-                        cell, at = [], key
-                    cell.append(row)
+                keys = list(zip(*(part.column(n).to_pylist() for n in ("block", "f", "c"))))
+                first = 0
+                while first < len(keys):
+                    last = first + 1
+                    while last < len(keys) and keys[last] == keys[first]:
+                        last += 1
+                    if keys[first] != at:
+                        out += edges(at, cell) if cell else []
+                        cell, at = {n: [] for n in names if n in part.schema.names}, keys[first]
+                    for name, column in cell.items():
+                        column += part.column(name).slice(first, last - first).to_pylist()
+                    first = last
             if len(out) > 50_000:
                 yield _edge_batch(out)
                 out = []
-        out += edges(cell) if cell else []
+        out += edges(at, cell) if cell else []
         if out:
             yield _edge_batch(out)
 
@@ -344,7 +353,9 @@ def block_edges(
 
 
 def _solved(cells: DataFrame, similarity: Similarity) -> DataFrame:
-    dealt = cells.repartition("block", "f", "c").sortWithinPartitions("block", "f", "c", "rep")
+    # Not merged into fewer partitions, so that sorting them takes little memory.
+    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = cells.repartition(parts, "block", "f", "c").sortWithinPartitions("block", "f", "c", "rep")
     return dealt.mapInArrow(tidy(_cell_worker(similarity)), "a bigint, b bigint")
 
 
