@@ -193,8 +193,10 @@ class Memo:
             self._young, self._old = {}, self._young
         young, old = self._young, self._old
         fresh = {key for keys in lists for key in keys if key not in young}
-        young.update((key, old[key]) for key in fresh if key in old)
-        missing = [key for key in fresh if key not in young]
+        missing = fresh - old.keys()
+        for key in fresh - missing:
+            young[key] = old[key]
+        missing = list(missing)
         young.update(zip(missing, self._compute(missing)))
         for keys in lists:
             yield [young[key] for key in keys]

@@ -1,4 +1,8 @@
-"""Binary files in a folder that all executors reach, whatever file system it is on."""
+"""Binary files in a folder that all executors reach, whatever file system it is on.
+
+Paths come as ``operators.storage.qualified`` gives them: only one of the local file system, be it a disk
+that all machines mount, goes without a scheme.
+"""
 
 from __future__ import annotations
 

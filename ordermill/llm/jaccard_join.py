@@ -215,23 +215,20 @@ def frequent_shingles(given: DataFrame, shingle: int) -> tuple[np.ndarray, np.nd
     return keys[order], np.array([r.n for r in rows], np.int64)[order]
 
 
+def _near(similarity: Similarity, n: np.ndarray, points: np.ndarray, hub_n: np.ndarray, hub_points: np.ndarray) -> np.ndarray:
+    """Whether the bound lets each row be linked with its hub."""
+    return np.minimum(points, hub_points).sum(axis=1) >= similarity.needed(n, hub_n)
+
+
 def _marker(similarity: Similarity) -> Callable:
-    """Whether each row is near its block's hub: by the bound, or by the sets where they are."""
+    """Whether each row is near its block's hub, by the bound."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
             n, hub_n = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "hub_n"))
-            needed = similarity.needed(n, hub_n)
             points, hubs = (points_of(batch.column(c).to_pylist()) for c in ("point", "hub_point"))
-            near = np.minimum(points, hubs).sum(axis=1) >= needed
-            if "shingles" in batch.schema.names:
-                own, others = batch.column("shingles"), batch.column("hub_shingles")
-                for i in np.flatnonzero(near):
-                    common = overlaps(_array(own[i].as_py()), [_array(others[i].as_py())])
-                    near[i] = common[0] >= needed[i]
             keep = [c for c in batch.schema.names if not c.startswith("hub_")]
+            near = _near(similarity, n, points, hub_n, hubs)
             yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(near)], names=[*keep, "near"])
 
     return run
@@ -291,14 +288,16 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def block_edges(
-    weights: DataFrame, rows_of: Callable[[DataFrame, str, bool], DataFrame], weight: str, limit: int, similarity: Similarity,
-    stored: Stored,
+    weights: DataFrame, rows_of: Callable[[DataFrame, str, bool], DataFrame], marked_of: Callable[[DataFrame, DataFrame], DataFrame],
+    weight: str, limit: int, similarity: Similarity, stored: Stored,
 ) -> DataFrame:
     """Edges (a, b) that connect, in every block, what links within the block connect.
 
     ``weights`` has a row with block and weight for all or parts of each block. ``rows_of(blocks, how,
     hubs)`` gives the rows (block, rep, hub, n, point and perhaps shingles) in the given blocks
-    (``left_semi``) or in all others (``left_anti``), with ``hubs`` only those of hubs. Blocks of up to
+    (``left_semi``) or in all others (``left_anti``), with ``hubs`` only those of hubs; ``marked_of(blocks,
+    hubs)`` those in the given blocks with ``near``, whether they resemble their hub, whose columns are named
+    ``hub_``. Blocks of up to
     ``limit`` are one cell. In the others every row, of the weight ``weight``, is marked as near its hub or
     far; a cell holds about twice ``limit`` at most, or two rows.
     """
@@ -311,7 +310,6 @@ def block_edges(
     whole = whole.select(*kept, F.lit(False).alias("near"), none.alias("chunk"), none.alias("f"), none.alias("c"))
     if not some:
         return _solved(whole, similarity)
-    split = rows_of(sized(large), "left_semi", False)
     light = [c for c in kept if c != "block"]
     hubs = rows_of(sized(large), "left_semi", True)
     hubs = hubs.select(*(F.col(c).alias("hub" if c == "rep" else f"hub_{c}") for c in light)).dropDuplicates(["hub"])
@@ -320,10 +318,7 @@ def block_edges(
     size = sum((F.octet_length(c) for c in hubs.columns if c in ("hub_point", "hub_shingles")), F.lit(64))
     if (hubs.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES:
         hubs = F.broadcast(hubs)
-    marked = split.join(hubs, "hub")
-    schema = ", ".join(f"{c} {split.schema[c].dataType.simpleString()}" for c in [*kept, "hub"])
-    order = [*kept, "hub", *[c for c in hubs.columns if c != "hub"]]
-    marked = stored.put(marked.select(order).mapInArrow(tidy(_marker(similarity)), f"{schema}, near boolean"), "marked")
+    marked = stored.put(marked_of(sized(large), hubs).select(*kept, "hub", "near"), "marked")
     close = marked.where("near AND rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     stats = (
         marked.groupBy("block")
@@ -359,18 +354,28 @@ def _solved(cells: DataFrame, similarity: Similarity) -> DataFrame:
     return dealt.mapInArrow(tidy(_cell_worker(similarity)), "a bigint, b bigint")
 
 
-def _shingle_sets(shingle: int) -> Callable:
+def _shingle_sets(shingle: int, similarity: Similarity | None = None) -> Callable:
+    """Texts of a block to their sets; with the similarity, beside their hubs' sets, also whether they are near."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = [shingle_set(text, shingle, hashes) for text in texts_of(part)]
-                yield pa.record_batch(
-                    [part.column("block"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array(list(map(point_of, sets)), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                     part.column("block")],
-                    names=["block", "rep", "n", "point", "shingles", "hub"],
-                )
+                sizes, points = np.array([len(s) for s in sets], np.int64), list(map(point_of, sets))
+                columns = [
+                    part.column("block"), part.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(points, pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()), part.column("block"),
+                ]
+                names = ["block", "rep", "n", "point", "shingles", "hub"]
+                if similarity:
+                    hub_n, hubs = part.column("hub_n").to_numpy().astype(np.int64), points_of(part.column("hub_point").to_pylist())
+                    near = _near(similarity, sizes, points_of(points), hub_n, hubs)
+                    for i in np.flatnonzero(near):
+                        common = overlaps(sets[i], [_array(part.column("hub_shingles")[int(i)].as_py())])
+                        near[i] = common[0] >= similarity.needed(sizes[i], hub_n[i])
+                    columns, names = [*columns, pa.array(near)], [*names, "near"]
+                yield pa.record_batch(columns, names=names)
 
     return run
 
@@ -409,21 +414,35 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, num: int = 85, den: in
     def rows_in(blocks: DataFrame, how: str, hubs: bool) -> DataFrame:
         return (rows.where("rep = hub") if hubs else rows).join(blocks, "block", how)
 
+    def rows_marked(blocks: DataFrame, hubs: DataFrame) -> DataFrame:
+        order = ["block", "rep", "n", "point", "hub", *[c for c in hubs.columns if c != "hub"]]
+        both = rows_in(blocks, "left_semi", False).join(hubs, "hub").select(order)
+        return both.mapInArrow(tidy(_marker(similarity)), "block bigint, rep bigint, n int, point binary, hub bigint, near boolean")
+
     bounds = block_edges(
-        rows.select("block", F.lit(1).alias("weight")), rows_in, "1", CELL_ROWS, similarity, stored
+        rows.select("block", F.lit(1).alias("weight")), rows_in, rows_marked, "1", CELL_ROWS, similarity, stored
     )
     groups = components(bounds.distinct(), stored)
     groups = groups.union(groups.select(F.col("root").alias("node"), "root").distinct())
     groups = stored.put(groups.select(F.col("node").alias("doc_id"), F.col("root").alias("block")), "groups")
 
     # Groups: the sets of their documents, computed again from the texts where they lie.
-    def sets_of(blocks: DataFrame, how: str, hubs: bool) -> DataFrame:
+    columns = "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint"
+
+    def texts_in(blocks: DataFrame, how: str, hubs: bool) -> DataFrame:
         chosen = groups.where("doc_id = block") if hubs else groups
-        chosen = given.join(sized(chosen.join(blocks, "block", how)), "doc_id")
-        return chosen.mapInArrow(tidy(_shingle_sets(shingle)), "block bigint, rep bigint, n int, point binary, shingles binary, hub bigint")
+        return given.join(sized(chosen.join(blocks, "block", how)), "doc_id")
+
+    def sets_of(blocks: DataFrame, how: str, hubs: bool) -> DataFrame:
+        return texts_in(blocks, how, hubs).mapInArrow(tidy(_shingle_sets(shingle)), columns)
+
+    def sets_marked(blocks: DataFrame, hubs: DataFrame) -> DataFrame:
+        # The hub comes beside the text, so that a task needs one Python worker and not a second to compare.
+        both = texts_in(blocks, "left_semi", False).join(hubs.withColumnRenamed("hub", "block"), "block")
+        return both.mapInArrow(tidy(_shingle_sets(shingle, similarity)), f"{columns}, near boolean")
 
     weights = groups.join(sizes, "doc_id").select("block", (F.col("n") + ROW_WEIGHT).alias("weight"))
-    links = block_edges(weights, sets_of, f"n + {ROW_WEIGHT}", CELL_SHINGLES, similarity, stored)
+    links = block_edges(weights, sets_of, sets_marked, f"n + {ROW_WEIGHT}", CELL_SHINGLES, similarity, stored)
     roots = components(links, stored)
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")

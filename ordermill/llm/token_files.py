@@ -5,7 +5,9 @@ bytes, all documents one after another), ``<name>.docs`` (64-bit document ids) a
 ``<name>.offsets`` (64-bit, one more than documents: where each document starts within the part).
 The manifest, a Parquet table, has one row per part: its number, its first id's place in the whole
 (``base``, the prefix sum of the parts before), its counts and its file names. Parts are ranges
-of ascending document id.
+of ascending document id. Documents without an id come first; a part's row says how many of its first
+documents these are (``n_unnamed``), and their place in ``.docs`` holds 0. Documents of one id follow each
+other in no order that counts, so an id that many share fills several parts.
 
 Documents are encoded where they are read; what is shuffled are packed ids, by part numbers that
 come from quantiles of the id column alone, so nothing is encoded twice to find the cuts. A task
@@ -31,11 +33,12 @@ from tokenizers import Tokenizer
 from ordermill.llm import files
 from ordermill.llm.bpe import PLAIN, WORD_BPE, WORDS, Memo
 from ordermill.llm.common import slices, texts, tidy
-from ordermill.operators.storage import scratch_path
+from ordermill.operators.storage import qualified, scratch_path
 
 END_ID = 2
 SLICE, ROWS = 8 << 20, 500
-PART_SCHEMA = "part int, n_docs bigint, n_tokens bigint, width int, name string"
+PART_BYTES, LARGEST = 128 << 20, 1 << 50  # of input per part; estimates beyond the latter say nothing
+PART_SCHEMA = "part int, n_docs bigint, n_unnamed bigint, n_tokens bigint, width int, name string"
 SPAN_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
@@ -82,17 +85,19 @@ class WordIds:
                 at = end
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
-        kept, plain = self._kept, PLAIN.fullmatch
+        kept, plain, words_of = self._kept, PLAIN.fullmatch, WORDS.findall
         if len(kept) > self.KEPT:
             kept.clear()
-        split = [WORDS.findall(c.lower()) if plain(c) and "<|" not in c else None for c in chunks]
-        self._learn(list({w for words in split if words for w in words if w not in kept}))
-        odd = [c for c, words in zip(chunks, split) if words is None]
-        others = iter([x.tobytes() for x in self._encode(odd)])
-        return [
-            next(others) if words is None else kept[words[0]] if len(words) == 1 else b"".join([kept[w] for w in words])
-            for words in split
-        ]
+        # Most chunks are one word of letters; the others are split, or left to the library.
+        single = [c.lower() if c.isascii() and c.isalpha() else None for c in chunks]
+        rest = [c for c, word in zip(chunks, single) if word is None]
+        split = [words_of(c.lower()) if plain(c) and "<|" not in c else None for c in rest]
+        new = {w for w in single if w is not None and w not in kept}
+        new.update(w for words in split if words for w in words if w not in kept)
+        self._learn(list(new))
+        others = iter([x.tobytes() for x in self._encode([c for c, words in zip(rest, split) if words is None])])
+        joined = iter([next(others) if words is None else b"".join([kept[w] for w in words]) for words in split])
+        return [next(joined) if word is None else kept[word] for word in single]
 
 
 def packed_ids(path: str, end_id: int, width: int) -> Callable:
@@ -141,7 +146,7 @@ def _part_writer(folder: str, width: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_file, docs, ends, part, name = None, [], [np.zeros(1, np.int64)], None, None
-        total = 0
+        total = unnamed = 0
         try:
             for batch in batches:
                 if not batch.num_rows:
@@ -156,7 +161,8 @@ def _part_writer(folder: str, width: int) -> Callable:
                 sizes = np.array([len(row) // width for row in rows], np.int64)
                 ends.append(total + np.cumsum(sizes))
                 total += int(sizes.sum())
-                docs.append(batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
+                unnamed += batch.column("doc_id").null_count
+                docs.append(pc.fill_null(batch.column("doc_id"), 0).to_numpy().astype(np.int64))
         finally:
             if ids_file is not None:
                 ids_file.close()
@@ -168,8 +174,8 @@ def _part_writer(folder: str, width: int) -> Callable:
                     file.write(array.astype("<i8").tobytes())
         count = sum(map(len, docs))
         yield pa.record_batch(
-            [pa.array([part], pa.int32()), pa.array([count]), pa.array([total]), pa.array([width], pa.int32()), pa.array([name])],
-            names=["part", "n_docs", "n_tokens", "width", "name"],
+            [pa.array([part], pa.int32()), *(pa.array([x]) for x in (count, unnamed, total)), pa.array([width], pa.int32()), pa.array([name])],
+            names=["part", "n_docs", "n_unnamed", "n_tokens", "width", "name"],
         )
 
     return run
@@ -180,24 +186,30 @@ def write_token_files(
 ) -> DataFrame:
     """Encode ``docs`` into token files in ``folder`` and return the manifest, stored there too.
 
-    ``parts`` is the number of ranges, by default ``spark.sql.shuffle.partitions``. A null or empty
-    text is the end id alone. Rows with the same id stay, ordered by their ids; a row without an id
-    raises, because it has no place in the order. An empty table gives an empty manifest.
+    ``parts`` is the number of ranges, by default one per ``PART_BYTES`` of input as Spark estimates it, but
+    ``spark.sql.shuffle.partitions`` at least. A null or empty text is the end id alone. Rows without an id
+    come first, rows that repeat one stay, one after another. Long texts are encoded whole, other columns
+    are not read, and an empty table gives an empty manifest.
     """
     spark, path = docs.sparkSession, tokenizer or public_tokenizers.path(WORD_BPE)
-    width = id_width(path)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    given = texts(docs).selectExpr("coalesce(doc_id, raise_error('a document without doc_id')) AS doc_id", "text")
-    cuts = given.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 100 * parts)).head()[0]
+    folder, width = qualified(spark, folder), id_width(path)
+    parts = parts or _parts(docs)
+    given = texts(docs)
+    first = F.lit(-(1 << 63)).cast("bigint")  # stands for no id, before all others
+    key = F.coalesce("doc_id", first)
+    cuts = given.agg(F.percentile_approx(key, [k / parts for k in range(1, parts)] or [0.5], 100 * parts)).head()[0]
     part_of = F.lit(0)
     if cuts and parts > 1:
-        cuts = sorted(set(cuts))
-        part_of = F.expr(f"{len(cuts)} - aggregate({_constant(cuts)}, 0, (n, c) -> n + CAST(c >= doc_id AS INT))")
+        # The part of an id is the number of cuts below it; an id that fills several cuts is dealt to them.
+        cuts, numbers = sorted(cuts), F.monotonically_increasing_id()
+        below = F.expr(f"{len(cuts)} - aggregate({_constant(cuts)}, 0, (n, c) -> n + CAST(c >= key AS INT))")
+        equal = F.expr(f"aggregate({_constant(cuts)}, 0, (n, c) -> n + CAST(c = key AS INT))")
+        part_of = below + F.pmod(numbers, F.greatest(equal, F.lit(1)))
     packed = given.mapInArrow(tidy(packed_ids(path, end_id, width)), "doc_id bigint, ids binary")
     ordered = (
-        packed.withColumn("part", part_of.cast("int"))
+        packed.withColumn("key", key).withColumn("part", part_of.cast("int")).drop("key")
         .repartitionById(parts, F.col("part"))
-        .sortWithinPartitions("doc_id", "ids")
+        .sortWithinPartitions(F.asc_nulls_first("doc_id"))
     )
     where = f"{folder}/manifest"
     written = ordered.mapInArrow(tidy(_part_writer(folder, width)), PART_SCHEMA)
@@ -209,13 +221,21 @@ def write_token_files(
     return spark.read.parquet(where)
 
 
+def _parts(docs: DataFrame) -> int:
+    """How many parts the estimated size of the documents asks for."""
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, -(-size // PART_BYTES)) if size < LARGEST else least
+
+
 def _constant(cuts: list[int]) -> str:
-    return "array(" + ", ".join(f"{c}L" for c in cuts) + ")"
+    return "from_json('[" + ",".join(map(str, cuts)) + "]', 'array<bigint>')"
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens
     and ids_crc32, the crc32 of its ids as unsigned little-endian 32-bit integers."""
+    folder = qualified(spark, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,8 +247,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     some = slice(first, min(first + 10_000, len(docs)))
                     starts, ends = offsets[:-1][some], offsets[1:][some]
                     sums = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
+                    named = np.arange(some.start, some.stop) >= row["n_unnamed"]
                     yield pa.record_batch(
-                        [pa.array(docs[some]), pa.array(starts + row["base"]), pa.array(ends - starts), pa.array(sums, pa.int64())],
+                        [pa.array(docs[some], mask=~named), pa.array(starts + row["base"]), pa.array(ends - starts), pa.array(sums, pa.int64())],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 

@@ -12,8 +12,10 @@ through whole texts of any length, and texts without evidence need none. A docum
 is a logistic function of its expected number of toxic tokens, their density and the highest marginal.
 
 Words, windows and the logistic function are fitted on a sample of at most ``MAX_DOCS`` labelled
-documents and ``MAX_WINDOWS`` windows, chosen by hashes of ids. Every word that passes the tests is
-evidence with a weight of its own; the sample of documents bounds their number.
+documents, chosen by hashes of ids. Every word that passes the tests is evidence with a weight of its
+own; the sample of documents bounds their number. The field learns from the first ``MAX_WINDOWS``
+windows by hash and, for every evidence word, from the first ``WORD_WINDOWS`` that hold it, so none
+is without a window.
 """
 
 from __future__ import annotations
@@ -27,12 +29,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import Stored, fold, slices, texts, tidy
 
-MAX_DOCS, MAX_WINDOWS, WINDOW = 20_000, 4_000, 96
+MAX_DOCS, MAX_WINDOWS, WORD_WINDOWS, WINDOW = 20_000, 4_000, 8, 96
 MIN_DOCS, MIN_CONTEXTS, MIN_Z, MIN_LOG_ODDS = 3, 3, 2.5, 1.5
 STEPS, RATE, DECAY = 150, 0.2, 1e-3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -50,7 +52,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             found = (Counter(), Counter())
             for text, label in zip(_texts(part), part.column("label").to_pylist()):
-                found[label].update({w for w in _WORD.findall(text.lower()) if len(w) <= 64})
+                found[label].update(set(_WORD.findall(text.lower())))
             words = list(found[1])  # words of clean documents alone are no evidence
             yield pa.record_batch(
                 [pa.array(words, pa.string()), pa.array([found[1][w] for w in words], pa.int64()), pa.array([found[0][w] for w in words], pa.int64())],
@@ -285,12 +287,23 @@ def train_logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return weights
 
 
+def teaching_windows(windows: DataFrame) -> DataFrame:
+    """The windows (tokens, label, place) that the field learns from, in the order of their hashes."""
+    held = windows.select("place", F.explode(F.array_distinct("tokens")).alias("word")).where("word > 0")
+    first = Window.partitionBy("word").orderBy("place")
+    of_words = held.withColumn("n", F.row_number().over(first)).where(f"n <= {WORD_WINDOWS}").select("place")
+    chosen = windows.select("place").orderBy("place").limit(MAX_WINDOWS).union(of_words).distinct()
+    return windows.join(chosen, "place").select("tokens", "label", "place").orderBy("place")
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` (0 to 1) and toxic ``spans`` of every row of ``docs``.
 
     ``labels`` has doc_id and toxic; only rows whose crc32(doc_id) mod 5 is not 0 teach, and only
     texts are inputs. Texts without words score as such without evidence; with no labels, or
-    one class alone, every score is 0 and there are no spans. Rows without id have held_out null.
+    one class alone, every score is 0 and there are no spans. Rows without id have held_out null. Rows that
+    repeat stay, equal texts score alike, long ones are tagged whole, and an empty table gives an empty one.
+    Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
     stored = Stored(spark)
@@ -308,11 +321,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return given.select("doc_id", held_out, F.lit(0.0).alias("score"), F.expr(f"CAST(array() AS {SPANS})").alias("spans"))
     words = evidence_words(taught, sizes[1], sizes[0])
     numbers = {w: i + 1 for i, w in enumerate(words)}
-    windows = (
-        taught.mapInArrow(tidy(_windows(numbers)), "tokens array<int>, label int, place bigint")
-        .orderBy("place").limit(MAX_WINDOWS).collect()
-    )
-    field = train_field(words, [(r.tokens, r.label) for r in windows])
+    windows = stored.put(taught.mapInArrow(tidy(_windows(numbers)), "tokens array<int>, label int, place bigint"), "windows")
+    field = train_field(words, [(r.tokens, r.label) for r in teaching_windows(windows).collect()])
     # The documents' measures come out of the field; labels join them by id, not by text.
     seen = taught.select("doc_id", "text").mapInArrow(tidy(_tag(field)), MEASURES).drop("spans").distinct().join(known, "doc_id")
     table = seen.toArrow()

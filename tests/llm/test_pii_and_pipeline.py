@@ -232,6 +232,15 @@ def test_stages_take_edge_rows(spark, with_clashes, edge_rows):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_rows_without_id_stay_beside_repeated_ids(spark):
+    text = " ".join(prose(7, 40).split())
+    rows = [(1, text, "b", 2), (1, text, "a", 3), (None, prose(8, 40), "x", 1), (None, prose(8, 40), "x", 1), (1, prose(9, 40), "c", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars int")
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[2], rows[3], rows[4]], key=str)
+
+
 def test_run(spark):
     found = corpus_pipeline.run(spark, SF).collect()
     everything = {r.doc_id for r in table(spark, SF, "documents").collect()}

@@ -90,9 +90,31 @@ def test_token_files(with_clashes, edge_rows, library):
     assert list(map(tuple, found)) == spans(rows, library)
 
 
-def test_rows_without_id_raise(spark):
-    with pytest.raises(Exception, match="without doc_id"):
-        token_files.token_files_round_trip(spark.createDataFrame([(None, "a")], "doc_id bigint, text string"))
+def test_rows_without_id_come_first(spark, library):
+    rows = [(3, "c"), (None, "one two"), (-5, None), (None, "one two"), (0, "zero"), (None, "one two")]
+    found = token_files.token_files_round_trip(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    ordered = [r for r in rows if r[0] is None] + sorted((r for r in rows if r[0] is not None), key=lambda r: r[0])
+    assert list(map(tuple, found.orderBy("start").collect())) == spans(ordered, library)
+
+
+def test_an_id_of_many_rows_fills_several_parts(spark):
+    rows = [(i, "the of") for i in range(50)] + [(50, "the of")] * 300 + [(51 + i, "the of") for i in range(50)] + [(None, "the")] * 200
+    folder = scratch_path(spark, "many")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    manifest = token_files.write_token_files(docs, folder, parts=12).collect()
+    assert max(r.n_docs for r in manifest) < 130 and sum(r.n_unnamed for r in manifest) == 200
+    found = token_files.read_token_files(spark, folder).orderBy("start").collect()
+    ids = [r.doc_id for r in found]
+    assert ids[:200] == [None] * 200 and ids[200:] == sorted(d for d, _ in rows if d is not None)
+    assert [r.start for r in found] == [sum(x.n_tokens for x in found[:k]) for k in range(len(found))]
+
+
+def test_parts_follow_the_size_of_the_input(spark, monkeypatch):
+    docs = table(spark, SF, "documents")
+    assert token_files._parts(docs) == 8
+    monkeypatch.setattr(token_files, "PART_BYTES", 1 << 12)
+    assert token_files._parts(docs) > 20
+    assert token_files._parts(spark.createDataFrame([(1, "a")], "doc_id bigint, text string")) == 8  # of no known size
 
 
 def test_op2_on_a_whole_table(spark, library):
