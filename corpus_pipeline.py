@@ -4,7 +4,8 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run`` write
 again as the next stage's docs. All but the last return the columns of ``documents``. Ids of documents
 that go are broadcast if their size allows it and joined by a shuffle otherwise; texts otherwise stay
 where they are. Rows without doc_id are never rejected, as no decision can name them; a null text
-counts as empty; an empty table passes through.
+counts as empty; an empty table passes through. Columns beside those that a stage reads may have any
+names; long texts are read whole.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.llm import bpe, decontaminate, jaccard_join, pii, quality
-from ordermill.llm.common import sized, table
+from ordermill.llm.common import repeated_ids, sized, table
 from ordermill.operators.storage import scratch_path, temporary
 
 QUALITY_KEPT = 0.3
@@ -33,11 +34,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the smallest id; rows that repeat id and text are one."""
+    """Of each group of linked documents the smallest id. Of rows that repeat id and text one stays, the
+    first by the text of all its columns; rows without an id all stay."""
     found = jaccard_join.jaccard_components(docs, SHINGLE, *SIMILARITY)
     kept = _without(docs, found.where("component_id <> doc_id"))
-    rows, ids = found.where("doc_id IS NOT NULL").agg(F.count("*"), F.count_distinct("doc_id")).head()
-    return kept.dropDuplicates(["doc_id", "text"]) if rows > ids else kept
+    if not repeated_ids(found):
+        return kept
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    named = kept.where("doc_id IS NOT NULL").groupBy("doc_id", "text").agg(F.min_by(row, F.to_json(row)).alias("r"))
+    return named.select("r.*").union(kept.where("doc_id IS NULL"))
 
 
 def keep_off_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
