@@ -6,19 +6,20 @@ All queries run over the whole tables of the given directory, through the adapte
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from importlib import import_module
 from importlib.util import find_spec
 from uuid import uuid4
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import stamp_text
 from ordermill.operators.joins import Tables
 from ordermill.operators.storage import scratch_path, store
-from ordermill.plans import anomalies, cleaning, cohort, customers, quality, report, sales
+from ordermill.plans import anomalies, cleaning, cohort, customers, quality, report, sales, sql_functions
 from ordermill.sources import testdata
 from ordermill.sources.lazy import LazyTables
 from ordermill.sources.monthly import read_monthly, write_monthly
@@ -227,6 +228,48 @@ def _monthly(plan: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFram
     return run
 
 
+def _from_sql(call: str, **arguments: object) -> Callable[[Tables], DataFrame]:
+    """A report called from SQL with bind parameters, over tables under their names."""
+
+    def run(tables: Tables) -> DataFrame:
+        spark, prefix = tables["orders"].sparkSession, f"sql_{uuid4().hex}_"
+        for name in ("orders", "order_items", "products"):
+            tables[name].createOrReplaceTempView(prefix + name)
+        sql_functions.register(spark, prefix)
+        return spark.sql(f"SELECT * FROM {prefix}{call}", args=arguments)
+
+    return run
+
+
+def _missing_table(tables: Tables) -> DataFrame:
+    """The load report of a folder in which one table is missing; the others are loaded."""
+    spark = tables["orders"].sparkSession
+    folder, prefix = scratch_path(spark, "incomplete"), f"incomplete_{uuid4().hex}_"
+    write_tables({n: df for n, df in _raw(tables).items() if n != "products"}, folder)
+    outcome = load_tables(spark, folder, prefix=prefix)
+    try:
+        read_raw(spark, folder)
+    except AnalysisException as error:
+        raw = spark.createDataFrame([("all raw tables", None, error.getCondition())], outcome.schema)
+    return outcome.union(raw)
+
+
+def _argument_dates(tables: Tables) -> DataFrame:
+    """Which texts pass as the first day of a report: the first days of all months with orders, in three forms."""
+    months = tables["orders"].select(F.trunc("order_date", "month").alias("day")).distinct().dropna()
+    texts = [F.date_format("day", form) for form in ("yyyy-MM-dd", "dd-MM-yyyy", "yyyy-MM")]
+    rows = months.select(F.explode(F.array(*texts)).alias("argument")).collect()  # bounded by the calendar
+
+    def accepted(text: str) -> bool:
+        try:
+            return bool(report.period(text, "2999-12-31"))
+        except ValueError:
+            return False
+
+    found = [(r.argument, accepted(r.argument)) for r in rows]
+    return months.sparkSession.createDataFrame(found, "argument string, accepted boolean")
+
+
 def _date_texts(tables: Tables) -> DataFrame:
     """Order dates written in eight forms and read again."""
     forms = [
@@ -342,6 +385,14 @@ def order_queries() -> dict[str, Query]:
         "r05_week_report": _clean(lambda t: report.grain_report(t, "week")),
         "r05_month_report": _clean(lambda t: report.grain_report(t, "month")),
         "r05_shared_orders": _clean(_shared_orders),
+        "f18_argument_dates": _clean(_argument_dates),
+        "p11_period_metrics_in_sql": _clean(
+            _from_sql("period_metrics(:first, :last)", first=dt.date(2000, 3, 1), last=dt.date(2000, 3, 31))
+        ),
+        "p11_top_products_in_sql": _clean(
+            _from_sql("top_products(:first, :last, :k)", first=dt.date(2000, 3, 1), last=dt.date(2000, 3, 31), k=3)
+        ),
+        "s04_missing_table": _dirty(_missing_table, registered=True, regions=True),
         "s01_csv_customers": _dirty(_csv_round_trip("customers"), registered=True),
         "s01_csv_products": _dirty(_csv_round_trip("products")),
         "s01_csv_orders": _dirty(_csv_round_trip("orders"), regions=True),

@@ -522,3 +522,24 @@ ORACLE_SQL |= {
     f"{report[:3]}_monthly_layout": ORACLE_SQL[report]
     for report in ("r01_period_metrics", "r03_top_products", "r04_executive_summary")
 }
+
+ORACLE_SQL |= {
+    "p11_period_metrics_in_sql": ORACLE_SQL["r01_period_metrics"],
+    "p11_top_products_in_sql": "SELECT * REPLACE (CAST(product_id AS VARCHAR) AS product_id) FROM ("
+    + ORACLE_SQL["r03_top_products"]
+    + ")",
+    # The three tables that are there, the one that is not, and a run that needs them all.
+    "s04_missing_table": _dirty("""
+SELECT 'customers' AS "table", count(*) AS rows, 'loaded' AS status FROM dirty_customers
+UNION ALL SELECT 'products', NULL, 'missing'
+UNION ALL SELECT 'orders', count(*), 'loaded' FROM dirty_orders
+UNION ALL SELECT 'order_items', count(*), 'loaded' FROM dirty_items
+UNION ALL SELECT 'all raw tables', NULL, 'PATH_NOT_FOUND'"""),
+    "f18_argument_dates": _shop("""
+, months AS (
+  SELECT DISTINCT date_trunc('month', order_date) AS day FROM shop_orders WHERE order_date IS NOT NULL
+)
+SELECT strftime(day, '%Y-%m-%d') AS argument, true AS accepted FROM months
+UNION ALL SELECT strftime(day, '%d-%m-%Y'), false FROM months
+UNION ALL SELECT strftime(day, '%Y-%m'), false FROM months"""),
+}

@@ -51,10 +51,38 @@ PARTS = {
 }
 
 
+_TOO_LARGE = (
+    f"abs(CAST(quantity AS DOUBLE) * {_PRICE} * (100 - {_DISCOUNT})) >= 9e14"
+    f" THEN {_raised('overflow in the revenue of a line')}"
+)
+# A line as one number: of millionths if it is plain, else the hundredfold decimal.
+_LINE = {
+    "__plain": f"CASE WHEN {_TOO_LARGE} WHEN {_PLAIN} THEN {_MILLIONTHS} END",
+    "__fine": f"CASE WHEN {_PLAIN} THEN NULL"
+    f" WHEN NOT {_KEPT} THEN raise_error('more decimals in a price or discount than are kept')"
+    f" ELSE {_FINE} END",
+}
+_OF_LINE = {
+    "units": ("__plain div 1000000", "__fine div 100"),
+    "millionths": ("__plain % 1000000", "CAST((__fine % 100) * 10000 AS BIGINT)"),
+    "rest": ("__plain - __plain", "CAST((((__fine % 100) * 10000) % 1) * 1000000 AS BIGINT)"),
+}
+
+
 def with_amounts(items: DataFrame, *keep: str) -> DataFrame:
     """The columns ``keep``, and ``quantity * unit_price * (1 - discount_percent / 100)`` as
-    ``units``, ``millionths`` and ``rest``; all are NULL if a factor is, and sums skip them."""
-    return items.select(*keep, *(F.expr(part).alias(name) for name, part in PARTS.items()))
+    ``units``, ``millionths`` and ``rest``; all are NULL if a factor is, and sums skip them. The line is
+    computed once, its parts from it."""
+    lines = items.select(*keep, *(F.expr(line).alias(name) for name, line in _LINE.items()))
+    parts = ((n, f"CASE WHEN __fine IS NULL THEN {plain} ELSE {fine} END") for n, (plain, fine) in _OF_LINE.items())
+    return lines.select(*keep, *(F.expr(part).alias(name) for name, part in parts))
+
+
+def amounts_sql(table: str, *keep: str) -> str:
+    """``with_amounts`` of a table as a query."""
+    lines = ", ".join([*keep, *(f"{line} AS {name}" for name, line in _LINE.items())])
+    parts = [f"CASE WHEN __fine IS NULL THEN {plain} ELSE {fine} END AS {n}" for n, (plain, fine) in _OF_LINE.items()]
+    return f"SELECT {', '.join([*keep, *parts])} FROM (SELECT {lines} FROM {table})"
 
 
 def _joined(units: Column, millionths: Column, rest: Column) -> Column:

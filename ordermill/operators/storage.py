@@ -23,7 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
     executor, so there it is an error. All processes of a ``local-cluster`` share one disk.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    setting = spark.conf.get("spark.checkpoint.dir", None)
+    folder = qualified(spark, setting) if setting else context.getCheckpointDir()
     local = re.match(r"local(\[|$)", context.master)
     if folder and (local or context.master.startswith("local-cluster") or not _is_local(spark, folder)):
         return folder
@@ -33,14 +34,25 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark understands it: one without a scheme lies in the default file system, which only
+    where that is the local one goes without saying."""
+    if urlsplit(path).scheme:
+        return path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    if urlsplit(conf.get("fs.defaultFS")).scheme in ("", "file"):
+        return path
+    if path.startswith("/"):
+        return conf.get("fs.defaultFS").rstrip("/") + path
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return given.getFileSystem(conf).makeQualified(given).toString()
+
+
 def _is_local(spark: SparkSession, folder: str) -> bool:
     """Whether a folder lies on the disk of whichever machine looks. A mounted shared disk has to be
     named as such: ``spark.ordermill.sharedFiles=true`` vouches for ``file:`` paths."""
-    scheme = urlsplit(folder).scheme
-    if not scheme:
-        scheme = urlsplit(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")).scheme
     vouched = spark.conf.get("spark.ordermill.sharedFiles", "false") == "true"
-    return scheme in ("", "file") and not vouched
+    return urlsplit(qualified(spark, folder)).scheme in ("", "file") and not vouched
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

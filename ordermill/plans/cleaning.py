@@ -6,7 +6,7 @@ stay in the data, as long as the caller does not split them off.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import once, parse_mixed_timestamp

@@ -6,6 +6,7 @@ from urllib.parse import urlsplit
 
 import pytest
 
+from ordermill.operators import storage
 from ordermill.operators.storage import release, scratch_path, shared_folder, store, temporary
 
 
@@ -68,3 +69,16 @@ def test_stored_rows_are_read_from_the_shared_folder(spark):
     stored = store(spark.range(5), "five")
     assert all(named in file for file in stored.inputFiles())
     assert stored.count() == 5
+
+
+def test_paths_without_a_scheme_lie_in_the_default_file_system(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert storage.qualified(spark, "/tmp/x") == "/tmp/x"
+    conf.set("fs.defaultFS", "hdfs://store:8020/")
+    try:
+        assert storage.qualified(spark, "/tmp/x") == "hdfs://store:8020/tmp/x"
+        assert storage.qualified(spark, "file:///tmp/x") == "file:///tmp/x"
+        assert not storage._is_local(spark, "/tmp/x") and storage._is_local(spark, "file:/tmp/x")
+    finally:
+        conf.set("fs.defaultFS", before)
