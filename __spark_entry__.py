@@ -390,7 +390,7 @@ def order_queries() -> dict[str, Query]:
             _from_sql("period_metrics(:first, :last)", first=dt.date(2000, 3, 1), last=dt.date(2000, 3, 31))
         ),
         "p11_top_products_in_sql": _clean(
-            _from_sql("top_products(:first, :last, :k)", first=dt.date(2000, 3, 1), last=dt.date(2000, 3, 31), k=3)
+            _from_sql("top_products(:first, :last)", first=dt.date(2000, 3, 1), last=dt.date(2000, 3, 31))
         ),
         "s04_missing_table": _dirty(_missing_table, registered=True, regions=True),
         "s01_csv_customers": _dirty(_csv_round_trip("customers"), registered=True),

@@ -30,7 +30,7 @@ def _dated(prefix: str) -> str:
     )
 
 
-def _functions(prefix: str) -> dict[str, tuple[str, str, str]]:
+def _functions(prefix: str, k: int) -> dict[str, tuple[str, str, str]]:
     """Per function its parameters, its columns and its query."""
     days = "first_day DATE, last_day DATE"
     per_order = f"SELECT order_id, {_SUMS} FROM ({amounts_sql(f'{prefix}order_items', 'order_id')}) GROUP BY order_id"
@@ -47,25 +47,23 @@ def _functions(prefix: str) -> dict[str, tuple[str, str, str]]:
             f" FROM ({_dated(prefix)}) JOIN ({per_order}) USING (order_id)",
         ),
         "top_products": (
-            f"{days}, k INT",
+            days,
             "product_id STRING, product_name STRING, product_revenue DOUBLE",
-            "SELECT product_id, product_name, product_revenue FROM ("
-            " SELECT CAST(product_id AS STRING) AS product_id, product_name,"
-            " CAST(round(sum(revenue), 2) AS DOUBLE) AS product_revenue,"
-            " row_number() OVER (ORDER BY round(sum(revenue), 2) DESC, product_id) AS place"
+            "SELECT CAST(product_id AS STRING), product_name, CAST(round(sum(revenue), 2) AS DOUBLE) AS r"
             f" FROM ({per_product}) JOIN {prefix}products USING (product_id) GROUP BY product_id, product_name"
-            ") WHERE place <= k",
+            f" ORDER BY r DESC, product_id LIMIT {k}",
         ),
     }
 
 
-def register(spark: SparkSession, prefix: str = "") -> list[str]:
+def register(spark: SparkSession, prefix: str = "", k: int = 3) -> list[str]:
     """Make the reports callable from SQL under ``prefix`` and their names, which are returned. The tables must
     have been loaded under the same prefix, a database included (``shop.``); the functions themselves
-    are temporary, so their names take only what follows the database."""
+    are temporary, so their names take only what follows the database. ``k`` is the number of top
+    products, which a query cannot bind, as a limit has to be known when it is planned."""
     own = prefix.rpartition(".")[2]
     names = []
-    for name, (parameters, columns, query) in _functions(prefix).items():
+    for name, (parameters, columns, query) in _functions(prefix, int(k)).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {own}{name}({parameters}) RETURNS TABLE ({columns}) RETURN {query}")
         names.append(own + name)
     return names

@@ -1,5 +1,6 @@
 """What the plans look like, and how they cope with keys that own a third of all rows."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -238,3 +239,46 @@ def test_broadcasts_are_measured(spark, monkeypatch):
     assert not joins.broadcast_if_small(spark.range(50).select("id", F.lit("é" * 7).alias("t")))[1]
     assert not joins.broadcast_if_small(spark.range(70))[1]
     assert joins.broadcast_if_small(short.filter("id < 0"))[1]
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_date_text_is_read_once(spark):
+    """One pattern per row, whatever asks for the date: a filter on it, or several columns made of it."""
+    orders = spark.createDataFrame([("O1", "C1", "05 Mar 2024 10:00 pm")], "order_id string, customer_id string, order_date string")
+    late = quality.future_orders({"orders": cleaning.parsed_orders(orders)}, "2024-01-01")
+    twice = cleaning.clean_orders(orders).selectExpr("order_date", "date_trunc('month', order_date) AS m").where("m > '2024-01-01'")
+    kept = cleaning.clean_orders(orders, "quarantine").where("order_date IS NULL")
+    for df in (late, twice, kept):
+        plan = optimized(df)
+        assert plan.count("regexp_replace(") == 1 and "regexp_extract" not in plan and "RLIKE" not in plan
+
+
+def test_cohorts_shuffle_each_table_once(spark, no_broadcast):
+    """Customers and their days by customer, then one row per cohort and task; nothing distinct is counted."""
+    orders = spark.createDataFrame([("O1", "C1", "2024-03-05")], "order_id string, customer_id string, d string")
+    orders = orders.selectExpr("order_id", "customer_id", "CAST(d AS TIMESTAMP_NTZ) AS order_date")
+    people = spark.createDataFrame([("C1", "2024-03-01")], "customer_id string, d string")
+    people = people.selectExpr("customer_id", "CAST(d AS TIMESTAMP_NTZ) AS registration_date")
+    plan = plan_of(cohort.retention_rate({"orders": orders, "customers": people}))
+    assert plan.count("Exchange hashpartitioning") == 3 and "distinct" not in plan and "Expand" not in plan
+
+
+def test_one_hash_per_injected_row(spark):
+    items = testdata.order_items(spark, SF_DIR)
+    for df in (anomalies.dirty_order_items(items, extra=True), anomalies.dirty_order_items(items, extra=True).where("discount_percent > 100")):
+        assert optimized(df).count("md5(") == 1
+
+
+def test_top_products_in_sql_hand_on_their_first_rows_alone(spark):
+    from ordermill.plans import sql_functions
+
+    tables = testdata.tables(spark, SF_DIR)
+    for name in ("orders", "order_items", "products"):
+        tables[name].createOrReplaceTempView(f"plans_{name}")
+    assert sql_functions.register(spark, "plans_") == ["plans_period_metrics", "plans_top_products"]
+    query = "SELECT * FROM plans_top_products(:first, :last)"
+    plan = plan_of(spark.sql(query, args={"first": dt.date(2000, 3, 1), "last": dt.date(2000, 3, 31)}))
+    assert "TakeOrderedAndProject(limit=3" in plan and "Window" not in plan
