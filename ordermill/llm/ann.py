@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from ordermill.llm.common import Stored, tidy
 
-SAMPLE, TRIALS, LISTS, ROUNDS, RECALL = 20_000, 200, 1_024, 12, 0.98
+SAMPLE, PER_LIST, TRIALS, LISTS, ROUNDS, RECALL = 20_000, 20, 200, 16_384, 12, 0.98
 COLUMNS, DOUBT, SLACK = 16, 2.1, 1e-9
 BLOCK_ROWS, CHUNK_QUERIES = 20_000, 5_000
 SEED = 20_240_602
@@ -47,13 +47,19 @@ def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=1) / lengths
 
 
+def owners(sample: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of each vector, some vectors at a time."""
+    parts = (sample[k : k + 2_000] @ centres.T for k in range(0, len(sample), 2_000))
+    return np.concatenate([p.argmax(axis=1) for p in parts]) if len(sample) else np.empty(0, np.int64)
+
+
 def centroids_of(sample: np.ndarray, lists: int) -> np.ndarray:
     """Spherical k-means of unit vectors."""
     draw = np.random.default_rng(SEED)
     distinct = np.unique(sample, axis=0)
     centres = distinct[draw.choice(len(distinct), min(lists, len(distinct)), replace=False)]
     for _ in range(ROUNDS):
-        owner = (sample @ centres.T).argmax(axis=1)
+        owner = owners(sample, centres)
         sums = np.zeros_like(centres)
         np.add.at(sums, owner, sample)
         length = np.sqrt((sums * sums).sum(axis=1))
@@ -63,8 +69,7 @@ def centroids_of(sample: np.ndarray, lists: int) -> np.ndarray:
 
 def probes_needed(sample: np.ndarray, centres: np.ndarray, k: int, recall: float) -> int:
     """How many lists hold that share of the true neighbours of trial queries within the sample."""
-    order = np.argsort(-(sample @ centres.T), axis=1, kind="stable")
-    owner = order[:, 0]
+    owner = owners(sample, centres)
     step = max(1, len(sample) // TRIALS)
     ranks = []
     for i in range(0, len(sample), step):
@@ -72,7 +77,7 @@ def probes_needed(sample: np.ndarray, centres: np.ndarray, k: int, recall: float
         near[i] = -np.inf
         best = np.argsort(-near, kind="stable")[:k]
         place = np.empty(len(centres), np.int64)
-        place[order[i]] = np.arange(len(centres))
+        place[np.argsort(-(centres @ sample[i]), kind="stable")] = np.arange(len(centres))
         ranks.extend(place[owner[best]])
     if not ranks:
         return len(centres)
@@ -163,7 +168,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float =
     ties go to the smaller vec_id. Vectors that are null, zero, or hold null or non-finite
     components take no part, nor do those of another length than most. A query finds no row
     of its own vec_id. Rows that repeat a vec_id are candidates each; of queries that repeat one, the
-    smallest vector asks. Fewer candidates than k give fewer rows, an empty table none.
+    smallest vector asks. Fewer candidates than k give fewer rows, an empty table none. Other columns are
+    not read, whatever their names. The index is fitted on about ``SAMPLE`` vectors, or ``PER_LIST`` per
+    list where that is more; there are as many lists as the root of the number of vectors, ``LISTS`` at most.
     """
     spark = vectors.sparkSession
     stored, last = Stored(spark), Stored(spark)
@@ -179,19 +186,22 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, recall: float =
     size = common["size"]
     rows, asked = rows.where(F.size("vec") == size), clean(queries).where(F.size("vec") == size)
     asked = asked.groupBy("vec_id").agg(F.min("vec").alias("vec"))
-    share = max(1, min(1 << 20, (SAMPLE << 20) // common["count"]))
-    sample = rows.where(f"pmod(xxhash64(vec_id), {1 << 20}) < {share}").limit(2 * SAMPLE).orderBy("vec_id").toArrow()
+    # As many lists as a list has vectors, so that the work of a query grows with the root of the table.
+    lists = max(1, min(LISTS, int(common["count"] ** 0.5)))
+    wanted = max(SAMPLE, PER_LIST * lists)
+    share = max(1, min(1 << 20, (wanted << 20) // common["count"]))
+    sample = rows.where(f"pmod(xxhash64(vec_id), {1 << 20}) < {share}").limit(2 * wanted).orderBy("vec_id").toArrow()
     if not sample.num_rows:
-        sample = rows.orderBy("vec_id").limit(SAMPLE).toArrow()
+        sample = rows.orderBy("vec_id").limit(wanted).toArrow()
     units = _unit(_matrix(sample.column("vec").combine_chunks(), size))
-    centres = centroids_of(units, max(1, min(LISTS, int(common["count"] ** 0.5))))
+    centres = centroids_of(units, lists)
     probes = probes_needed(units, centres, k, recall)
     rotation = np.linalg.qr(np.random.default_rng(SEED).normal(size=(size, size)))[0]
 
     schema = "vec_id bigint, vec array<double>, lists array<int>"
     indexed = rows.mapInArrow(tidy(_lists(centres, 1, "lists")), schema).select("vec_id", "vec", F.col("lists")[0].alias("list"))
     indexed = stored.put(indexed, "lists")
-    # One row per list, a thousand at most; rows per block and queries per chunk follow from them.
+    # One row per list, ``LISTS`` at most; rows per block and queries per chunk follow from them.
     probed = stored.put(
         asked.mapInArrow(tidy(_lists(centres, probes, "lists")), schema).select(F.col("vec_id").alias("query_id"), "vec", F.explode("lists").alias("list")),
         "probes",
