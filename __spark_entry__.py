@@ -384,6 +384,7 @@ def order_queries() -> dict[str, Query]:
         "r05_day_report": _clean(lambda t: report.grain_report(t, "day")),
         "r05_week_report": _clean(lambda t: report.grain_report(t, "week")),
         "r05_month_report": _clean(lambda t: report.grain_report(t, "month")),
+        "r05_all_grains": _clean(report.grain_reports),
         "r05_shared_orders": _clean(_shared_orders),
         "f18_argument_dates": _clean(_argument_dates),
         "p11_period_metrics_in_sql": _clean(

@@ -543,3 +543,7 @@ SELECT strftime(day, '%Y-%m-%d') AS argument, true AS accepted FROM months
 UNION ALL SELECT strftime(day, '%d-%m-%Y'), false FROM months
 UNION ALL SELECT strftime(day, '%Y-%m'), false FROM months"""),
 }
+
+ORACLE_SQL["r05_all_grains"] = " UNION ALL ".join(
+    f"SELECT '{grain}' AS grain, * FROM ({ORACLE_SQL[f'r05_{grain}_report']})" for grain in ("day", "week", "month")
+)

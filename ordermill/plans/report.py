@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ordermill.functions.dates import as_date, midnight
@@ -56,14 +56,18 @@ def _metrics(tables: Tables, orders: DataFrame, bucket: str, selective: bool) ->
     customer moves on. So an order listed under several customers counts once, while its revenue
     counts with each listing.
     """
-    valued = valued_orders(tables, orders.select("order_id", "customer_id", bucket), selective)
-    listed = Window.partitionBy(bucket, "order_id").orderBy("customer_id")
+    return _totals(valued_orders(tables, orders.select("order_id", "customer_id", bucket), selective), bucket)
+
+
+def _totals(valued: DataFrame, *buckets: str) -> DataFrame:
+    """The metrics of orders that have their amounts, per value of the columns ``buckets``."""
+    listed = Window.partitionBy(*buckets, "order_id").orderBy("customer_id")
     per_customer = (
         valued.withColumn("first", (F.row_number().over(listed) == 1).cast("bigint"))
-        .groupBy(bucket, "customer_id")
+        .groupBy(*buckets, "customer_id")
         .agg(F.sum("first").alias("orders"), *[whole_sum(a).alias(a) for a in AMOUNTS])
     )
-    return per_customer.groupBy(bucket).agg(
+    return per_customer.groupBy(*buckets).agg(
         F.sum("orders").alias("total_orders"),
         F.count("customer_id").alias("unique_customers"),
         money(total_revenue()).alias("total_revenue"),
@@ -162,12 +166,32 @@ def grain_report(tables: Tables, grain: str = "month") -> DataFrame:
     """Metrics per day, week (from Monday) or month, against the previous bucket with sales."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}, not {grain!r}")
-    day = F.to_date("order_date")
-    bucket = day if grain == "day" else F.trunc(day, grain)
+    bucket = _bucket(F.to_date("order_date"), grain)
     dated = tables["orders"].filter(F.col("order_date").isNotNull()).withColumn("bucket", bucket)
-    metrics = _metrics(tables, dated, "bucket", selective=False)
     # One row per bucket is left, and buckets are bounded by the calendar.
-    in_time = Window.orderBy("bucket")
+    compared = _against_previous(_metrics(tables, dated, "bucket", selective=False), Window.orderBy("bucket"))
+    return compared.orderBy("period_start")
+
+
+def grain_reports(tables: Tables) -> DataFrame:
+    """``grain_report`` of all grains, told apart by the column ``grain``, from one scan of the items: they
+    are summed per order, and only the orders with their sums stand in three buckets each."""
+    day = F.col("day")
+    buckets = [F.struct(F.lit(g).alias("grain"), _bucket(day, g).alias("bucket")) for g in GRAINS]
+    dated = tables["orders"].filter(F.col("order_date").isNotNull())
+    valued = valued_orders(tables, dated.select("order_id", "customer_id", F.to_date("order_date").alias("day")))
+    metrics = _totals(valued.select("*", F.inline(F.array(*buckets))).drop("day"), "grain", "bucket")
+    in_time = Window.partitionBy("grain").orderBy("bucket")
+    return _against_previous(metrics, in_time, "grain").orderBy("grain", "period_start")
+
+
+def _bucket(day: Column, grain: str) -> Column:
+    """The first day of the bucket that a day is in."""
+    return day if grain == "day" else F.trunc(day, grain)
+
+
+def _against_previous(metrics: DataFrame, in_time: WindowSpec, *keep: str) -> DataFrame:
+    """Metrics per bucket with their changes against the previous bucket with sales."""
     previous = metrics.withColumns(
         {
             "prev_revenue": F.lag("total_revenue").over(in_time),
@@ -175,10 +199,11 @@ def grain_report(tables: Tables, grain: str = "month") -> DataFrame:
         }
     )
     return previous.select(
+        *keep,
         F.col("bucket").alias("period_start"),
         "total_orders",
         "unique_customers",
         "total_revenue",
         percent_change(F.col("total_revenue"), F.col("prev_revenue")).alias("revenue_change"),
         percent_change(F.col("total_orders"), F.col("prev_orders")).alias("orders_change"),
-    ).orderBy("period_start")
+    )

@@ -282,3 +282,9 @@ def test_top_products_in_sql_hand_on_their_first_rows_alone(spark):
     query = "SELECT * FROM plans_top_products(:first, :last)"
     plan = plan_of(spark.sql(query, args={"first": dt.date(2000, 3, 1), "last": dt.date(2000, 3, 31)}))
     assert "TakeOrderedAndProject(limit=3" in plan and "Window" not in plan
+
+
+def test_all_grains_come_from_one_scan_of_the_items(spark, no_broadcast):
+    plan = plan_of(report.grain_reports(testdata.tables(spark, SF_DIR)))
+    assert plan.count("lineitem.parquet") == plan.count("orders.parquet") == 1
+    assert plan.count("Exchange hashpartitioning(order_id") == 2  # items and orders, before the buckets
