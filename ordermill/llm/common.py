@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ordermill.operators.joins import BROADCAST_BYTES
 from ordermill.operators.storage import delete, scratch_path
 
-SLICE_BYTES, BATCH_BYTES = 4 << 20, 16 << 20
+SLICE_BYTES, BATCH_BYTES = 4 << 20, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -229,7 +229,7 @@ def _ask(index, threshold: float, overlap: float, shingle: int) -> Callable:
         items = cloudpickle.loads(index.value)
         foreign = len(items.numbers)
         for batch in batches:
-            for part in slices(batch, "text", 6 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 # Arrow numbers the words of a slice; only distinct ones become terms here. White
                 # space beyond ASCII is cut out of the few words that hold it.
                 split = pc.ascii_split_whitespace(pc.fill_null(part.column("text"), ""))
