@@ -39,7 +39,7 @@ from ordermill.llm.shingles import WordHashes, shingle_set
 from ordermill.operators.joins import BROADCAST_BYTES
 
 GROUPS, FINE, FANOUT = 128, 1_024, 32
-CELL_ROWS, CELL_SHINGLES = 4_096, 6_000_000
+CELL_ROWS, CELL_SHINGLES = 4_096, 16_000_000
 ROW_WEIGHT = 400  # of a set besides its shingles, mostly its points, so that a cell of short ones is bounded too
 VERIFIED = 1 << 18  # shingles of sets that are compared with one set at a time
 SAMPLE_DOCS, FREQUENT = 20_000, 100_000
