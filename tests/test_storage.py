@@ -82,3 +82,20 @@ def test_paths_without_a_scheme_lie_in_the_default_file_system(spark):
         assert not storage._is_local(spark, "/tmp/x") and storage._is_local(spark, "file:/tmp/x")
     finally:
         conf.set("fs.defaultFS", before)
+
+
+def test_a_folder_that_executors_turn_out_to_share_will_do_on_a_cluster(spark, tmp_path, monkeypatch):
+    """As where master and workers stand on one machine, or the folder on a disk that all have mounted."""
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    named = storage.qualified(spark, spark.conf.get("spark.checkpoint.dir"))
+    assert shared_folder(spark) == named
+    assert store(spark.range(6), "six").count() == 6
+    assert not list(Path(urlsplit(named).path).glob("ordermill-trial-*"))
+    release(spark)
+
+
+def test_a_folder_that_cannot_be_shared_is_an_error_on_a_cluster(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(storage, "qualified", lambda spark, path: "file:///proc/ordermill")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(spark)
