@@ -63,7 +63,7 @@ CUES = {
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 FEATURES = {"kind": 4, "size": 6, "tail": 4, "cue": 2, "edge": 2, "before": 2, "after": 2}
 CONTEXT = 24
-SAMPLE_DOCS, ROUNDS, RATE, PRECISION, LEAST_EVIDENCE = 50_000, 20, 0.4, 0.9, 20
+ROUNDS, RATE, PRECISION, LEAST_EVIDENCE = 20, 0.4, 0.9, 20
 
 
 def _digits(t: Column) -> Column:
@@ -245,14 +245,13 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame) -> Model:
-    """Fit on the candidates of at most about ``SAMPLE_DOCS`` documents, chosen by their id's hash; the
-    thresholds on the quarter of them that is held out.
+    """Fit on the candidates of all documents but a quarter, chosen by their id's hash; the thresholds on
+    that quarter.
 
     A kind's threshold is the least score from which on ``PRECISION`` of its candidates are base spans, at
     least ``LEAST_EVIDENCE`` of them; a kind without is never added to.
     """
-    share = max(1, min(1 << 20, (SAMPLE_DOCS << 20) // max(1, docs.count())))
-    rows = candidates(docs.where(f"pmod(xxhash64(CAST(doc_id AS BIGINT)), {1 << 20}) < {share}"))
+    rows = candidates(docs)
     names, held = list(FEATURES), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0).alias("held")
     table = rows.groupBy(held, *names).agg(F.count("*").alias("total"), F.count_if("positive").alias("good")).collect()
 

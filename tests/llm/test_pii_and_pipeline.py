@@ -247,3 +247,14 @@ def test_run(spark):
     ids = [r.doc_id for r in found]
     assert len(set(ids)) == len(ids) and 0 < len(ids) < len(everything)
     assert all(r.n_tokens == len(r.ids_text.split()) for r in found)
+
+
+def test_every_document_teaches(spark, monkeypatch):
+    """Far more documents than the model once took: each candidate is counted, for the trees or for a threshold."""
+    taught = []
+    boost, calibrated = pii.boost, pii.calibrated
+    monkeypatch.setattr(pii, "boost", lambda x, good, total: taught.append(total.sum()) or boost(x, good, total))
+    monkeypatch.setattr(pii, "calibrated", lambda model, x, good, total: taught.append(total.sum()) or calibrated(model, x, good, total))
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "concat('write to a', id, '@b.co') AS text")
+    pii.train(docs)
+    assert sum(taught) == 60_000
