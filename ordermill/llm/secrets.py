@@ -5,7 +5,7 @@ Other strings that might be secrets, long runs of key characters outside of thes
 log-likelihood ratio of two first-order character models, of random strings and of ordinary identifiers,
 and added where it reaches a threshold.
 
-Both models are learned from labelled strings. ``labelled`` makes such a sample: random are digests in the
+Both models are learned from labelled strings. ``labelled`` gives them, of all documents: random are digests in the
 three alphabets that keys are written in, which are random by construction, and the documents' own base
 secrets; ordinary are, outside of these, the words and identifiers that several documents hold, which a
 random string hardly does, and all numbers. Training sees counts per pair of characters, at most
@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.llm.common import Stored
 from ordermill.llm.spans import PLACE, apart, free_name, joined, located, place
 
 KINDS = ("assign", "access", "hex", "random")
@@ -39,7 +40,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 _KEY = "A-Za-z0-9+/_=-"
 CANDIDATE = rf"(?<![\p{{L}}\p{{N}}+/_=.@-])[{_KEY}]{{{LEAST},}}+(?![\p{{L}}\p{{N}}@])"
 WORD = rf"(?<![\p{{L}}\p{{N}}])[{_KEY}]{{4,}}+(?![\p{{L}}\p{{N}}])"
-SAMPLE_DOCS, PRIOR, QUIET, BACKOFF = 10_000, float(np.log(1e6)), 0.9995, 16
+PRIOR, QUIET, BACKOFF = float(np.log(1e6)), 0.9995, 16
 
 
 def base_spans(text: Column) -> Column:
@@ -60,29 +61,25 @@ def value_of(t: Column) -> Column:
     return F.regexp_replace(t, "^" + _ASSIGN, "")
 
 
-def _sample(docs: DataFrame, most: int) -> DataFrame:
+def labelled(docs: DataFrame) -> DataFrame:
+    """Distinct strings of all documents with their label, ``value`` and ``random``."""
     given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    share = max(1, min(1 << 20, (most << 20) // max(1, given.count())))
-    return given.where(f"pmod(xxhash64(doc_id), {1 << 20}) < {share}")
-
-
-def labelled(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
-    """Distinct strings with their label, ``value`` and ``random``, from about ``most`` documents at most,
-    chosen by their id's hash."""
-    sample = _sample(docs, most)
-    spans = sample.withColumn("base", base_spans(F.col("text"))).select("doc_id", "text", "base")
     digest = F.sha2(F.col("doc_id").cast("string"), 256)
     upper = F.concat(*(F.conv(F.substring(digest, k, 12), 16, 36) for k in (1, 13)))
     made = F.array(digest, F.base64(F.unhex(digest)), upper)
     held = F.transform(F.filter("base", lambda s: s["kind"] != 0), lambda s: s["t"])
-    random = spans.select(F.explode(F.concat(made, held)).alias("value"))
+    random = given.withColumn("base", base_spans(F.col("text"))).select(F.explode(F.concat(made, held)).alias("value"))
     # What the base patterns match is taken out of the text; a blank keeps its neighbours apart.
     rest = F.col("text")
     for kind in BASE:
         rest = F.regexp_replace(rest, BASE[kind], " ")
-    words = sample.select("doc_id", F.explode(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))).alias("value"))
+    words = given.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0)))).alias("value"))
+    # Two documents hold a word if its smallest and largest id differ; rows without an id are one document.
+    ids = words.groupBy("value").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count_if(F.col("doc_id").isNull()).alias("unnamed")
+    )
     number = F.col("value").rlike("^[0-9/_=+-]+$")
-    ordinary = words.distinct().groupBy("value").count().where((F.col("count") > 1) | number).select("value")
+    ordinary = ids.where(F.expr("low < high OR (low IS NOT NULL AND unnamed > 0)") | number).select("value")
     both = random.withColumn("random", F.lit(True)).union(ordinary.withColumn("random", F.lit(False)))
     return both.where("value IS NOT NULL").distinct()
 
@@ -139,6 +136,8 @@ def train(samples: DataFrame) -> Model | None:
     that only a share of ``1 - QUIET`` of held-out ordinary strings of candidate length exceeds. Without
     strings of both labels there is no model.
     """
+    stored = Stored(samples.sparkSession)
+    samples = stored.put(samples, "labelled")  # two jobs read them
     part = F.pmod(F.xxhash64("value"), F.lit(4))
     width = len(ALPHABET) + 1
     counts = {label: np.zeros((width, width)) for label in (True, False)}
@@ -146,11 +145,13 @@ def train(samples: DataFrame) -> Model | None:
         # ``count`` is a method of rows, so the last column is taken by its place.
         counts[r.random][r.a, r.b] += r[-1]
     if not all(c.any() for c in counts.values()):
+        stored.drop()
         return None
     model = Model(ratios_of(counts), PRIOR)
     long = samples.where((part == 0) & ~F.col("random") & (F.length("value") >= LEAST))
     loud = long.agg(F.percentile_approx(model.score(F.col("value")), QUIET, 100_000)).head()[0]
     model.threshold = max(PRIOR, loud or PRIOR)
+    stored.drop()
     return model
 
 

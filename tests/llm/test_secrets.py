@@ -147,3 +147,16 @@ def test_op12_on_a_whole_table(spark):
 def test_no_python_on_the_main_path(spark):
     plan = entries.op12_secrets(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_every_document_teaches(spark):
+    """More documents than the models once took: each has a word that one other document holds and a digest."""
+    docs = spark.range(12_000).selectExpr("id AS doc_id", "concat('word', char(97 + id div 2 % 26), lpad(translate(id div 2, '0123456789', 'qrstuvwxyz'), 5, 'k')) AS text")
+    rows = secrets.labelled(docs).groupBy("random").count().collect()
+    assert {r.random: r[1] for r in rows} == {True: 36_000, False: 6_000}
+
+
+def test_words_of_one_document_alone_teach_nothing(spark):
+    rows = [(1, "alpha alpha beta gamma"), (1, "alpha delta"), (2, "beta 1234"), (None, "gamma omega"), (None, "omega")]
+    found = secrets.labelled(spark.createDataFrame(rows, SCHEMA)).where("NOT random").collect()
+    assert {r.value for r in found} == {"beta", "gamma", "1234"}
