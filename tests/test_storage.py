@@ -99,3 +99,16 @@ def test_a_folder_that_cannot_be_shared_is_an_error_on_a_cluster(spark, monkeypa
     monkeypatch.setattr(storage, "qualified", lambda spark, path: "file:///proc/ordermill")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(spark)
+
+
+def test_where_the_checkpoint_folder_is_not_shared_a_cluster_takes_its_warehouse(spark, monkeypatch):
+    """Tables are shared there already. The trial decides about a machine-local one."""
+    warehouse = Path(urlsplit(spark.conf.get("spark.sql.warehouse.dir")).path)
+    named = storage.qualified(spark, spark.conf.get("spark.checkpoint.dir"))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    monkeypatch.setattr(storage, "_TRIALS", {(spark.sparkContext.applicationId, named): False})
+    stored = store(spark.range(7), "seven")
+    assert stored.count() == 7 and list(warehouse.glob("ordermill-seven-*"))
+    assert not list(warehouse.glob("ordermill-trial-*"))
+    release(spark)
+    assert not list(warehouse.glob("ordermill-seven-*"))
